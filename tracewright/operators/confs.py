@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -11,12 +12,13 @@ _EMPTY = "map<string,string>"
 
 def merge_confs(*layers: Column) -> Column:
     """Layers as one map; a later layer's value wins. A null layer is empty."""
-    merged = F.coalesce(layers[0], F.create_map().cast(_EMPTY))
-    for layer in layers[1:]:
-        later = F.coalesce(layer, F.create_map().cast(_EMPTY))
-        kept = F.map_filter(merged, lambda k, v, later=later: ~F.map_contains_key(later, k))
-        merged = F.map_concat(kept, later)
-    return merged
+
+    def over(earlier: Column, later: Column) -> Column:
+        kept = F.map_filter(earlier, lambda k, v: ~F.map_contains_key(later, k))
+        return F.map_concat(kept, later)
+
+    filled = [F.coalesce(layer, F.create_map().cast(_EMPTY)) for layer in layers]
+    return reduce(over, filled)
 
 
 def conf_value(conf: str | Column, key: str, default: str) -> Column:

@@ -13,10 +13,12 @@ ALL_FIRED, TARGET_MISSED, UNCHECKED = 0, 1, 2
 
 
 def missing_targets(targets: str | Column, fired: str | Column) -> Column:
-    """Targets that did not fire, in target order with repeats."""
+    """Targets that did not fire, in target order with repeats; null where the
+    fired tags are unknown."""
     targets = F.col(targets) if isinstance(targets, str) else targets
     fired = F.col(fired) if isinstance(fired, str) else fired
-    return F.filter(targets, lambda tag: ~F.array_contains(fired, tag))
+    unfired = F.filter(targets, lambda tag: ~F.array_contains(fired, tag))
+    return F.when(fired.isNotNull(), unfired)
 
 
 def label_score(catalog: DataFrame, logs: DataFrame, reports: DataFrame) -> DataFrame:

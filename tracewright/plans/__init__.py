@@ -6,6 +6,10 @@ from types import ModuleType
 
 _MODULES = (
     "workload_queries",
+    "log_queries",
+    "catalog_queries",
+    "matrix_queries",
+    "detector_queries",
 )
 
 
