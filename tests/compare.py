@@ -6,7 +6,6 @@
 from __future__ import annotations
 
 import glob
-import math
 import os
 import sys
 import time
@@ -43,11 +42,18 @@ def _key(row: tuple) -> tuple:
 
 
 def _same(a, b) -> bool:
-    if isinstance(a, float) and isinstance(b, float):
-        return a == b or math.isclose(a, b, rel_tol=1e-12) or (math.isnan(a) and math.isnan(b))
     return type(a) is type(b) and a == b
 
 
+TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+}
+
+
 def difference(result: DataFrame, connection: duckdb.DuckDBPyConnection, sql: str) -> str | None:
     """What differs between a query's result and its SQL, or None."""
     columns = sorted(result.columns)
@@ -57,6 +63,10 @@ def difference(result: DataFrame, connection: duckdb.DuckDBPyConnection, sql: st
     if sorted(names) != columns:
         return f"columns {columns} against {sorted(names)}"
     order = [names.index(c) for c in columns]
+    declared = {d[0]: str(d[1]) for d in relation.description}
+    for column, spark_type in result.select(*columns).dtypes:
+        if TYPES.get(spark_type) != declared[column]:
+            return f"{column} is {spark_type} against {declared[column]}"
     wanted = sorted((tuple(r[i] for i in order) for r in relation.fetchall()), key=_key)
     if len(found) != len(wanted):
         return f"{len(found)} rows against {len(wanted)}"

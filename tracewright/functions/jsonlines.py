@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tracewright.functions.once import computed_once
 from tracewright.functions.text import stripped
 
 BLANK, NOT_UTF8, NOT_JSON, MISSING_EVENT, OK = (
@@ -15,32 +16,40 @@ BLANK, NOT_UTF8, NOT_JSON, MISSING_EVENT, OK = (
 )
 
 
-def parsed_line(text: Column) -> Column:
-    """``[line, seal]`` as a variant, null if that is no JSON.
-
-    The parser ignores text after the first value, so the line sits in an
-    array closed by its own hash: anything but one whole value before the
-    comma leaves element 1 something other than the hash.
-    """
-    return F.try_parse_json(F.concat(F.lit("["), text, F.lit(","), F.xxhash64(text), F.lit("]")))
+def _stripped_if_needed(line: str) -> Column:
+    """Trimming a character set walks the whole line; one that starts and ends
+    with braces has nothing to trim."""
+    braced = F.startswith(F.col(line), F.lit("{")) & F.endswith(F.col(line), F.lit("}"))
+    return F.when(braced, F.col(line)).otherwise(stripped(line))
 
 
 def with_verdict(lines: DataFrame, line: str = "value") -> DataFrame:
     """Add ``verdict`` (see the names above) and ``event``, the text of the
-    line's ``Event``, parsing each line once."""
-    text = stripped(line)
-    parsed = lines.withColumn("_parsed", parsed_line(text))
-    whole = F.try_variant_get("_parsed", "$[1]", "long").eqNullSafe(F.xxhash64(text))
-    has_event = F.try_variant_get("_parsed", "$[0].Event", "variant").isNotNull()
+    line's ``Event``, trimming and parsing each line once.
+
+    The parser ignores text after the first value, so the line is parsed in an
+    array closed by its own hash, ``[line, seal]``: anything but one whole value
+    before the comma leaves element 1 something other than the seal.
+    """
+    text, seal = F.col("_text"), F.col("_seal")
+    sealed = F.concat(F.lit("["), text, F.lit(","), seal, F.lit("]"))
+    parsed = (
+        lines.withColumn("_text", _stripped_if_needed(line))
+        .withColumn("_seal", F.xxhash64(text))
+        .withColumn("_parsed", F.try_parse_json(sealed))
+    )
+    whole = F.try_variant_get("_parsed", "$[1]", "long").eqNullSafe(seal)
+    event = F.try_variant_get("_parsed", "$[0].Event", "variant")
     verdict = (
         F.when(text == "", BLANK)
         .when(~F.is_valid_utf8(F.col(line)), NOT_UTF8)
         .when(~whole, NOT_JSON)
-        .when(~has_event, MISSING_EVENT)
+        .when(event.isNull(), MISSING_EVENT)
         .otherwise(OK)
     )
-    event = F.when(verdict == OK, F.try_variant_get("_parsed", "$[0].Event", "string"))
-    return parsed.withColumns({"verdict": verdict, "event": event}).drop("_parsed")
+    name = F.try_variant_get("_parsed", "$[0].Event", "string")
+    judged = computed_once(parsed, verdict=verdict, event=F.when(verdict == OK, name))
+    return judged.drop("_text", "_seal", "_parsed")
 
 
 def event_kind(event: str | Column) -> Column:

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tracewright.operators.quantiles import quantiles_of_counts, value_counts
 from tracewright.operators.skew import salted_join
+from tracewright.sources.tables import LogTables
 
 STAGE = ("log_id", "stage_id", "stage_attempt")
 MIB = 1 << 20
@@ -383,20 +384,6 @@ def detect_incomplete(applications: DataFrame) -> DataFrame:
 # All findings.
 
 
-@dataclass(frozen=True)
-class LogTables:
-    """The inputs of :func:`findings`, one frame per table."""
-
-    tasks: DataFrame
-    stages: DataFrame
-    jobs: DataFrame
-    executors: DataFrame
-    applications: DataFrame
-    scans: DataFrame
-    updates: DataFrame
-    rdds: DataFrame | None = None
-
-
 def _rolled_up(tag: str, detected: DataFrame) -> DataFrame:
     return detected.groupBy("log_id").agg(
         F.lit(tag).alias("tag"),

@@ -16,10 +16,11 @@ from tracewright.sources.reports import fired_tags_of_findings
 STAGE = "log_id, stage_id, stage_attempt"
 
 SKEW = f"""
-SELECT {STAGE}, count(*) AS n_tasks, quantile_cont(duration_ms, 0.5) AS median,
-  quantile_cont(duration_ms, 0.95) AS p95, round(p95 / median, 6) AS ratio,
-  coalesce(p95 / median >= 3 AND count(*) >= 2, false) AS fires
-FROM tasks WHERE NOT failed AND NOT killed GROUP BY {STAGE}
+SELECT {STAGE}, n_tasks, median, round(upper, 6) AS p95, round(upper / median, 6) AS ratio,
+  coalesce(upper / median >= 3 AND n_tasks >= 2, false) AS fires
+FROM (SELECT {STAGE}, count(*) AS n_tasks, quantile_cont(duration_ms, 0.5) AS median,
+    quantile_cont(duration_ms, 0.95) AS upper
+  FROM tasks WHERE NOT failed AND NOT killed GROUP BY {STAGE})
 """
 STRAGGLER = f"""
 SELECT {STAGE}, n_tasks, n_stragglers, waste_ms, log_ms,
@@ -131,9 +132,9 @@ def with_ctes(*ctes: str) -> str:
 @query(
     "supplier_skew",
     """
-SELECT n_name, s_name, n_lines, median, p95, round(p95 / median, 6) AS ratio,
-  coalesce(p95 / median >= 3 AND n_lines >= 2, false) AS fires
-FROM (SELECT l_suppkey, count(*) AS n_lines, quantile_cont(cents, 0.5) AS median, quantile_cont(cents, 0.95) AS p95
+SELECT n_name, s_name, n_lines, median, round(upper, 6) AS p95, round(upper / median, 6) AS ratio,
+  coalesce(upper / median >= 3 AND n_lines >= 2, false) AS fires
+FROM (SELECT l_suppkey, count(*) AS n_lines, quantile_cont(cents, 0.5) AS median, quantile_cont(cents, 0.95) AS upper
   FROM (SELECT l_suppkey, round(l_extendedprice * 100)::BIGINT AS cents FROM lineitem) GROUP BY 1)
 JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
 """,
@@ -157,7 +158,7 @@ def supplier_skew(spark: SparkSession, folder: str) -> DataFrame:
             "s_name",
             F.col("n_values").alias("n_lines"),
             "median",
-            "p95",
+            F.round("p95", 6).alias("p95"),
             F.round(ratio, 6).alias("ratio"),
             F.coalesce((ratio >= 3) & (F.col("n_values") >= 2), F.lit(False)).alias("fires"),
         )
@@ -167,7 +168,7 @@ def supplier_skew(spark: SparkSession, folder: str) -> DataFrame:
 @query("detect_skew", with_ctes(T) + SKEW)
 def detect_skew(spark: SparkSession, folder: str) -> DataFrame:
     found = detectors.detect_skew(given.line_tasks(spark, folder))
-    return found.withColumn("ratio", F.round("ratio", 6))
+    return found.withColumns({c: F.round(c, 6) for c in ("p95", "ratio")})
 
 
 @query("detect_straggler", with_ctes(T) + STRAGGLER)
@@ -336,7 +337,8 @@ FINDINGS_CTE = with_ctes(T, S, A, E, J, C, U, INDEX_CTE) + (
 def parsed_findings(spark: SparkSession, folder: str) -> DataFrame:
     lines = given.all_lines(given.direct_tables(spark, folder))
     staged = stage_events(lines, scratch_path(spark, "events"))
-    return detectors.findings(given.parsed_tables(staged))
+    found = tables.stored(tables.log_tables(staged), scratch_path(spark, "tables"))
+    return detectors.findings(found)
 
 
 @query("findings", FINDINGS_CTE + "SELECT log_id, tag, fires, evidence FROM findings")

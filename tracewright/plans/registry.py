@@ -28,3 +28,11 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Repartition a scan of fewer tasks than cores, before costly per-row work.
+    Larger inputs already have the tasks and are left alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    few = df._jdf.queryExecution().toRdd().getNumPartitions() < cores
+    return df.repartition(cores) if few else df

@@ -11,9 +11,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tracewright.operators.detectors import LogTables
-from tracewright.plans.registry import table
+from tracewright.functions.once import computed_once
+from tracewright.plans.registry import spread, table
 from tracewright.sources import tables
+from tracewright.sources.tables import LogTables
 
 EPOCH_MS = 788918400000
 
@@ -190,18 +191,6 @@ def direct_tables(spark: SparkSession, folder: str) -> LogTables:
     )
 
 
-def parsed_tables(lines: DataFrame) -> LogTables:
-    return LogTables(
-        tasks=tables.tasks(lines),
-        stages=tables.stages(lines),
-        jobs=tables.jobs(lines),
-        executors=tables.executors(lines),
-        applications=tables.applications(lines),
-        scans=tables.file_scans(lines),
-        updates=tables.block_updates(lines),
-    )
-
-
 def _line(df: DataFrame, event: str | Column, seq: Column | None = None, **fields: Column) -> DataFrame:
     """Rows as event lines; ``_`` in a field name stands for a space."""
     event = F.lit(event) if isinstance(event, str) else event
@@ -209,7 +198,8 @@ def _line(df: DataFrame, event: str | Column, seq: Column | None = None, **field
         event.alias("Event"), *[c.alias(name.replace("_", " ")) for name, c in fields.items()]
     )
     seq = F.lit(0).cast("long") if seq is None else seq
-    return df.select("log_id", seq.alias("seq"), F.to_json(record).alias("value"))
+    rendered = computed_once(df, value=F.to_json(record))
+    return rendered.select("log_id", seq.alias("seq"), "value")
 
 
 def _record(**fields: Column) -> Column:
@@ -217,7 +207,7 @@ def _record(**fields: Column) -> Column:
 
 
 def task_lines(tasks: DataFrame) -> DataFrame:
-    c = F.col
+    c, tasks = F.col, spread(tasks)
     reason = (
         F.when(c("killed"), "TaskKilled").when(c("failed"), "ExceptionFailure").otherwise("Success")
     )

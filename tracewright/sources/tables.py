@@ -10,9 +10,14 @@ prunes the scan as well.
 
 from __future__ import annotations
 
+from dataclasses import dataclass, fields
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tracewright.functions.jsonlines import event_kind
+from tracewright.functions.once import computed_once
 
 TASK_END = "SparkListenerTaskEnd"
 STAGE_SUBMITTED = "SparkListenerStageSubmitted"
@@ -28,7 +33,7 @@ APP_END = "SparkListenerApplicationEnd"
 ENVIRONMENT = "SparkListenerEnvironmentUpdate"
 
 _TASK = """
-Event STRING, `Stage ID` LONG, `Stage Attempt ID` LONG,
+`Stage ID` LONG, `Stage Attempt ID` LONG,
 `Task End Reason` STRUCT<Reason: STRING>,
 `Task Info` STRUCT<Index: LONG, Attempt: LONG, `Launch Time`: LONG, `Finish Time`: LONG,
   `Executor ID`: STRING, Host: STRING, Speculative: BOOLEAN, Failed: BOOLEAN, Killed: BOOLEAN>,
@@ -37,43 +42,42 @@ Event STRING, `Stage ID` LONG, `Stage Attempt ID` LONG,
   `Shuffle Write Metrics`: STRUCT<`Shuffle Bytes Written`: LONG>>
 """
 _STAGE = """
-Event STRING, `Stage Info` STRUCT<`Stage ID`: LONG, `Stage Attempt ID`: LONG, `Stage Name`: STRING,
+`Stage Info` STRUCT<`Stage ID`: LONG, `Stage Attempt ID`: LONG, `Stage Name`: STRING,
   `Number of Tasks`: LONG, `Submission Time`: LONG, `Completion Time`: LONG, `Failure Reason`: STRING>
 """
 _RDDS = """
-Event STRING, `Stage Info` STRUCT<`RDD Info`: ARRAY<STRUCT<`RDD ID`: LONG, Name: STRING,
+`Stage Info` STRUCT<`RDD Info`: ARRAY<STRUCT<`RDD ID`: LONG, Name: STRING,
   `Number of Partitions`: LONG, `Storage Level`: STRUCT<`Use Disk`: BOOLEAN, `Use Memory`: BOOLEAN>>>>
 """
 _JOB = """
-Event STRING, `Job ID` LONG, `Submission Time` LONG, `Completion Time` LONG,
+`Job ID` LONG, `Submission Time` LONG, `Completion Time` LONG,
 `Job Result` STRUCT<Result: STRING>
 """
 _EXECUTOR = """
-Event STRING, Timestamp LONG, `Executor ID` STRING,
+Timestamp LONG, `Executor ID` STRING,
 `Executor Info` STRUCT<Host: STRING, `Total Cores`: LONG>
 """
 _BLOCK = """
-Event STRING, `Block Updated Info` STRUCT<`Block ID`: STRING,
+`Block Updated Info` STRUCT<`Block ID`: STRING,
   `Storage Level`: STRUCT<`Use Disk`: BOOLEAN, `Use Memory`: BOOLEAN>,
   `Memory Size`: LONG, `Disk Size`: LONG>
 """
-_SQL = "Event STRING, executionId LONG"
-_APP = "Event STRING, `App ID` STRING, Timestamp LONG"
-_CONF = "Event STRING, `Spark Properties` MAP<STRING, STRING>"
+_SQL = "executionId LONG"
+_CONF = "`Spark Properties` MAP<STRING, STRING>"
 
 # A file scan's location in a plan's text, and the paths inside its brackets.
 _LOCATION = r'"Location":"[^"\[]*\[([^"\]]*)\]'
 
 
 def _events(lines: DataFrame, schema: str, *kinds: str) -> DataFrame:
-    """Lines of some event classes with their parsed fields in ``e``."""
-    mentions = F.lit(False)
-    for kind in kinds:
-        mentions = mentions | F.col("value").contains(kind)
+    """Lines of some event classes with their parsed fields in ``e``. The class
+    is read apart from the full parse, so other lines skip that."""
     if "kind" in lines.columns:
-        lines = lines.where(F.col("kind").isin(*kinds))
-    parsed = lines.where(mentions).withColumn("e", F.from_json("value", schema))
-    return parsed.where(event_kind(F.col("e.Event")).isin(*kinds))
+        mine = F.col("kind").isin(*kinds)
+    else:
+        mentions = reduce(or_, [F.col("value").contains(kind) for kind in kinds])
+        mine = mentions & event_kind(F.get_json_object("value", "$.Event")).isin(*kinds)
+    return computed_once(lines.where(mine), e=F.from_json("value", schema))
 
 
 def _flag(field: str) -> Column:
@@ -195,15 +199,22 @@ def file_scans(lines: DataFrame) -> DataFrame:
 def applications(lines: DataFrame) -> DataFrame:
     """One row per log: start and end of its application, ``n_ends`` end events.
     Logs without any application event are kept."""
-    kind = event_kind(F.get_json_object("value", "$.Event"))
-    stamp = F.get_json_object("value", "$.Timestamp").cast("long")
-    # Only application lines are parsed; the rest just witness their log.
-    of_app = F.col("value").contains("SparkListenerApplication")
-    kind = F.when(of_app, kind)
-    return lines.groupBy("log_id").agg(
-        F.min(F.when(kind == APP_START, stamp)).alias("started_ms"),
-        F.max(F.when(kind == APP_END, stamp)).alias("ended_ms"),
-        F.count_if(kind == APP_END).alias("n_ends"),
+    if "kind" in lines.columns:
+        kind = F.col("kind")
+    else:
+        # Only application lines are parsed; the rest just witness their log.
+        of_app = F.col("value").contains("SparkListenerApplication")
+        kind = F.when(of_app, event_kind(F.get_json_object("value", "$.Event")))
+    ours = F.when(kind.isin(APP_START, APP_END), F.col("value"))
+    stamped = lines.select(
+        "log_id",
+        kind.alias("kind"),
+        F.get_json_object(ours, "$.Timestamp").cast("long").alias("stamp"),
+    )
+    return stamped.groupBy("log_id").agg(
+        F.min(F.when(F.col("kind") == APP_START, F.col("stamp"))).alias("started_ms"),
+        F.max(F.when(F.col("kind") == APP_END, F.col("stamp"))).alias("ended_ms"),
+        F.count_if(F.col("kind") == APP_END).alias("n_ends"),
     )
 
 
@@ -212,3 +223,44 @@ def confs(lines: DataFrame) -> DataFrame:
     return _events(lines, _CONF, ENVIRONMENT).select(
         F.col("log_id").alias("id"), F.col("e.`Spark Properties`").alias("conf")
     )
+
+
+@dataclass(frozen=True)
+class LogTables:
+    """The typed tables of a set of logs."""
+
+    tasks: DataFrame
+    stages: DataFrame
+    jobs: DataFrame
+    executors: DataFrame
+    applications: DataFrame
+    scans: DataFrame
+    updates: DataFrame
+    rdds: DataFrame | None = None
+
+
+def log_tables(lines: DataFrame) -> LogTables:
+    """All tables of some log lines; ``seq`` must order each log's lines."""
+    return LogTables(
+        tasks=tasks(lines),
+        stages=stages(lines),
+        jobs=jobs(lines),
+        executors=executors(lines),
+        applications=applications(lines),
+        scans=file_scans(lines),
+        updates=block_updates(lines),
+        rdds=cached_rdds(lines),
+    )
+
+
+def stored(found: LogTables, path: str) -> LogTables:
+    """Write each table to Parquet and return scans of them, so the detectors'
+    many passes read typed columns and parse nothing again."""
+
+    def store(name: str, df: DataFrame | None) -> DataFrame | None:
+        if df is None:
+            return None
+        df.write.mode("overwrite").parquet(f"{path}/{name}")
+        return df.sparkSession.read.schema(df.schema).parquet(f"{path}/{name}")
+
+    return LogTables(**{f.name: store(f.name, getattr(found, f.name)) for f in fields(LogTables)})
