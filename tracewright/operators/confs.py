@@ -34,7 +34,11 @@ def with_defaults(conf: str | Column, defaults: Mapping[str, str]) -> Column:
 
 def conf_diff(conf: Column, base: Column) -> Column:
     """Entries of ``conf`` that ``base`` lacks or has another value for."""
-    return F.map_filter(conf, lambda k, v: ~v.eqNullSafe(F.try_element_at(base, k)))
+
+    def differs(key: Column, value: Column) -> Column:
+        return ~F.map_contains_key(base, key) | ~value.eqNullSafe(F.try_element_at(base, key))
+
+    return F.map_filter(conf, differs)
 
 
 def exploded(df: DataFrame, conf: Column, id_column: str = "id") -> DataFrame:
