@@ -143,17 +143,11 @@ def external_ingest(files: DataFrame, validity: DataFrame, catalog: DataFrame) -
     # Many files may share a stem: find each id's winner map-side, then match
     # the files to it with the crowded ids split.
     order = F.struct(path_parts("path").alias("parts"), F.col("path").alias("path"))
-    winners = (
-        named.where(F.col("reason").isNull())
-        .groupBy("id")
-        .agg(F.min(order)["path"].alias("_winner"))
-    )
+    winner = F.min(F.when(F.col("reason").isNull(), order))["path"]
     ids = (
         named.groupBy("id")
-        .agg(F.lit(1).alias("_one"))
-        .join(winners, "id", "left")
+        .agg(winner.alias("_winner"))
         .join(catalog.select("id", F.lit(True).alias("_known")), "id", "left")
-        .drop("_one")
     )
     status = (
         F.when(F.col("_known"), KNOWN)

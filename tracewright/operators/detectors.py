@@ -355,10 +355,12 @@ def detect_partial_cache(
     without it, partitions ever updated are counted. A partition on disk only
     counts apart from those in memory.
     """
+    # The state as a number keeps the aggregate a hash aggregate.
+    state = F.col("in_memory").cast("int") + 2 * F.col("on_disk").cast("int")
     last = updates.groupBy("log_id", "rdd_id", "partition").agg(
-        F.max_by(F.struct("in_memory", "on_disk"), "seq").alias("last")
+        F.max_by(state, "seq").alias("last")
     )
-    in_memory, on_disk = F.col("last.in_memory"), F.col("last.on_disk")
+    in_memory, on_disk = F.col("last") % 2 == 1, F.col("last") >= 2
     per_rdd = last.groupBy("log_id", "rdd_id").agg(
         F.count_if(in_memory).alias("n_in_memory"),
         F.count_if(on_disk & ~in_memory).alias("n_on_disk"),

@@ -92,14 +92,25 @@ def star_join(fact: DataFrame, dimensions: Sequence[Dimension]) -> DataFrame:
     return joined
 
 
+def affordable_salts(fact: DataFrame, dimensions: Sequence[Dimension]) -> int:
+    """Salts that keep each dimension's copies under a quarter of the fact, by
+    size estimates; 1 leaves skew to adaptive execution."""
+    largest = max(planned_bytes(d.table) for d in dimensions)
+    return max(1, min(SALTS, planned_bytes(fact) // (4 * max(largest, 1))))
+
+
 def shuffled_star_join(
-    fact: DataFrame, dimensions: Sequence[Dimension], spread: Sequence[str], salts: int = SALTS
+    fact: DataFrame,
+    dimensions: Sequence[Dimension],
+    spread: Sequence[str],
+    salts: int | None = None,
 ) -> DataFrame:
     """The star join by sort-merge with no broadcast, hot keys split by salt.
 
     All dimensions that share a key column reuse one (key, salt) partitioning
     of the fact, so such a chain shuffles the fact once.
     """
+    salts = affordable_salts(fact, dimensions) if salts is None else salts
     joined = with_salt(fact, spread, salts)
     for dimension in dimensions:
         copies = replicate(dimension.table, salts).hint("merge")

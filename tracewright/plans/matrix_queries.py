@@ -341,4 +341,4 @@ def config_diff(spark: SparkSession, folder: str) -> DataFrame:
 @query("partition_profile")
 def partition_profile(spark: SparkSession, folder: str) -> DataFrame:
     keys = table(spark, folder, "lineitem").select("l_orderkey")
-    return partitions.partition_profile(keys.repartition("l_orderkey"))
+    return partitions.partition_profile(keys)

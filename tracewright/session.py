@@ -27,10 +27,26 @@ def scratch_root(spark: SparkSession) -> str:
     return folder
 
 
+def task_count(spark: SparkSession) -> int:
+    """Tasks for work whose cost does not show in its rows, such as reading
+    files named by path: one wave of cores at least, more if configured."""
+    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(configured, spark.sparkContext.defaultParallelism)
+
+
+def _qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme Spark would read it under, for readers in tasks."""
+    jvm = spark._jvm
+    found = jvm.org.apache.hadoop.fs.Path(path)
+    configuration = spark._jsparkSession.sessionState().newHadoopConf()
+    return found.getFileSystem(configuration).makeQualified(found).toString()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the scratch root that nothing has written to yet."""
     app = spark.sparkContext.applicationId
-    return f"{scratch_root(spark)}/tracewright/{app}/{name}-{uuid.uuid4().hex}"
+    root = _qualified(spark, scratch_root(spark))
+    return f"{root}/tracewright/{app}/{name}-{uuid.uuid4().hex}"
 
 
 def planned_bytes(df: DataFrame) -> int:

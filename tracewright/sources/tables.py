@@ -4,8 +4,8 @@ updates, SQL scans and applications.
 Input lines have ``log_id`` and ``value``; ``seq``, where present, orders a
 log's lines. Each reader keeps its own event class with a substring test before
 it parses, and parses only the fields it returns. Over
-:func:`tracewright.sources.lines.stage_events` output the ``kind`` partition
-prunes the scan as well.
+:func:`tracewright.sources.lines.stage_events` output the filter on ``kind``
+reaches the scan instead.
 """
 
 from __future__ import annotations
