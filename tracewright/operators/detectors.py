@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tracewright.operators.quantiles import quantiles_of_counts, value_counts
+from tracewright.operators.quantiles import grouped_quantiles, quantiles_of_counts, value_counts
 from tracewright.operators.skew import salted_join
 from tracewright.sources.tables import LogTables
 
@@ -66,8 +66,9 @@ def _or_zero(column: Column) -> Column:
 
 def stage_quantiles(tasks: DataFrame, measure: str = "duration_ms") -> DataFrame:
     """Median and P95 of a measure over each stage's successful tasks."""
-    counts = value_counts(tasks.where(_succeeded()), STAGE, measure)
-    return quantiles_of_counts(counts, STAGE, measure, {"median": 0.5, "p95": 0.95})
+    return grouped_quantiles(
+        tasks.where(_succeeded()), STAGE, measure, {"median": 0.5, "p95": 0.95}
+    )
 
 
 def detect_skew(
@@ -147,9 +148,9 @@ def _against_peers(per_unit: DataFrame, unit: str, t: Thresholds) -> DataFrame:
 
 def detect_slow_host(tasks: DataFrame, t: Thresholds = DEFAULTS, unit: str = "host") -> DataFrame:
     """HOST by time: a unit's median task time against the stage's units."""
-    keys = [*STAGE, unit]
-    counts = value_counts(tasks.where(_succeeded()), keys, "duration_ms")
-    medians = quantiles_of_counts(counts, keys, "duration_ms", {"level": 0.5})
+    medians = grouped_quantiles(
+        tasks.where(_succeeded()), [*STAGE, unit], "duration_ms", {"level": 0.5}
+    )
     return _against_peers(medians.withColumnRenamed("n_values", "n_tasks"), unit, t)
 
 

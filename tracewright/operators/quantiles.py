@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -13,26 +15,33 @@ _BUCKET_BITS = 12
 
 def _bucket(value: str) -> Column:
     octave = f"cast(floor(log2(greatest(`{value}`, 1))) as int)"
-    return F.expr(
+    bucket = F.expr(
         f"{octave} * {1 << (_BUCKET_BITS + 1)}L"
         f" + shiftright(`{value}`, greatest({octave} - {_BUCKET_BITS}, 0))"
     )
+    return F.coalesce(bucket, F.lit(0).cast("long"))
 
 
 def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Rows per distinct value of each group: ``keys, value, n``."""
-    return df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("n"))
+    """Rows per distinct value of each group: ``keys, value, n``.
+
+    Rows with a null key or value belong to no group. They are filtered here,
+    before any join would: then all uses of the counts have the same plan, and
+    Spark computes and shuffles them once.
+    """
+    present = reduce(and_, [F.col(c).isNotNull() for c in (*keys, value)])
+    return df.where(present).groupBy(*keys, value).agg(F.count("*").alias("n"))
 
 
 def quantiles_of_counts(
     counts: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float]
 ) -> DataFrame:
-    """Interpolated quantiles of ``counts`` (``keys, value, n``): ``keys,
-    n_values`` and one column per entry of ``probs`` (name to probability).
+    """Interpolated quantiles of :func:`value_counts`: ``keys, n_values`` and one
+    column per entry of ``probs`` (name to probability).
 
-    ``value`` must be a non-negative integer and the keys non-null. A first
-    pass ranks value buckets, a second ranks values inside the few buckets
-    that hold a wanted rank; no task sees a whole group.
+    ``value`` must be a non-negative integer. A first pass ranks value buckets,
+    a second ranks values inside the few buckets that hold a wanted rank; no
+    task sees a whole group.
     """
     keys = list(keys)
     counts = counts.withColumn("_bucket", _bucket(value))
@@ -50,10 +59,6 @@ def quantiles_of_counts(
     holds_rank = [
         (F.col(r) >= F.col("_before")) & (F.col(r) < F.col("_upto")) for r in rank_names
     ]
-    any_rank = holds_rank[0]
-    for condition in holds_rank[1:]:
-        any_rank = any_rank | condition
-
     buckets = (
         counts.groupBy(*keys, "_bucket")
         .agg(F.sum("n").alias("_n"))
@@ -61,7 +66,7 @@ def quantiles_of_counts(
         .withColumn("n_values", F.sum("_n").over(by_key))
         .withColumn("_before", F.col("_upto") - F.col("_n"))
         .select("*", *wanted)
-        .where(any_rank)
+        .where(reduce(or_, holds_rank))
         .drop("_n", "_upto")
     )
     in_bucket = (

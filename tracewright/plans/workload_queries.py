@@ -146,7 +146,8 @@ def line_star(spark: SparkSession, folder: str) -> tuple[DataFrame, list[workloa
 
 @query("star_join_chain", STAR_JOIN)
 def star_join_chain(spark: SparkSession, folder: str) -> DataFrame:
-    return workload.star_join(*line_star(spark, folder))
+    fact, dimensions = line_star(spark, folder)
+    return workload.workload_join(fact, dimensions, ["l_orderkey", "l_linenumber"])
 
 
 @query("star_join_merge_hint", STAR_JOIN)
