@@ -134,8 +134,9 @@ def external_ingest(files: DataFrame, validity: DataFrame, catalog: DataFrame) -
     ``path, reason`` for invalid files. Status is ``known`` (id already in the
     catalog), ``invalid`` with the reason, ``duplicate`` (another valid file
     with this id has a smaller path) or ``accepted``. Adds ``id, dest,
-    source_url``.
+    source_url`` and keeps other columns of ``files``.
     """
+    kept = [c for c in files.columns if c not in ("path", "name", "repo", "branch", "subpath")]
     id_ = F.concat(F.lit("external-"), stem("name"))
     named = files.withColumn("id", id_).join(
         validity.where(F.col("reason").isNotNull()).select("path", "reason"), "path", "left"
@@ -165,10 +166,13 @@ def external_ingest(files: DataFrame, validity: DataFrame, catalog: DataFrame) -
         external_url(F.col("repo"), F.col("branch"), F.col("subpath"), F.col("name")).alias(
             "source_url"
         ),
+        *kept,
     )
 
 
-def external_entries(decided: DataFrame, stored: DataFrame, license: Column, tag: Column) -> DataFrame:
+def external_entries(
+    decided: DataFrame, stored: DataFrame, license_name: Column, tag: Column
+) -> DataFrame:
     """Catalog entries of the accepted files; ``stored`` has ``path, checksum,
     size_bytes``."""
     accepted = decided.where(F.col("status") == ACCEPTED).join(stored, "path")
@@ -179,7 +183,7 @@ def external_entries(decided: DataFrame, stored: DataFrame, license: Column, tag
         "checksum",
         F.lit(EXTERNAL).alias("source"),
         "source_url",
-        license.alias("license"),
+        license_name.alias("license"),
         tag_date(tag).alias("fetched_at"),
         "size_bytes",
     )
