@@ -10,8 +10,8 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tracewright.functions.draws import uniform
-from tracewright.operators.skew import SALTS, replicate, with_salt
-from tracewright.session import broadcast_limit, planned_bytes
+from tracewright.operators.skew import replicate, with_salt
+from tracewright.session import broadcast_limit, planned_bytes, task_count
 
 # Share of rows on the injected hot key, default table sizes.
 HOT_SHARE = 0.8
@@ -93,10 +93,12 @@ def star_join(fact: DataFrame, dimensions: Sequence[Dimension]) -> DataFrame:
 
 
 def affordable_salts(fact: DataFrame, dimensions: Sequence[Dimension]) -> int:
-    """Salts that keep each dimension's copies under a quarter of the fact, by
-    size estimates; 1 leaves skew to adaptive execution."""
+    """One salt per shuffle task, so a hot key can reach all of them, as long as
+    each dimension's copies stay under a quarter of the fact by size estimates.
+    Beyond that adaptive execution splits what is left."""
     largest = max(planned_bytes(d.table) for d in dimensions)
-    return max(1, min(SALTS, planned_bytes(fact) // (4 * max(largest, 1))))
+    affordable = planned_bytes(fact) // (4 * max(largest, 1))
+    return max(1, min(task_count(fact.sparkSession), affordable))
 
 
 def shuffled_star_join(

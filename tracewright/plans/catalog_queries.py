@@ -8,7 +8,7 @@ from tracewright.functions.text import is_tag
 from tracewright.operators import catalog, labels
 from tracewright.plans.log_queries import DOC_CODEC, DOC_SUFFIX, LINES_CTE, event_lines
 from tracewright.plans.registry import query, table
-from tracewright.session import scratch_path
+from tracewright.session import scratch_path, staged
 from tracewright.sources import layout, lines, reports
 
 TAG = "v2026-01-15"
@@ -205,7 +205,7 @@ def external_ingest(spark: SparkSession, folder: str) -> DataFrame:
     owned = event_lines(spark, folder)
     half = "cast(log_id div 2 as string)"
     path = F.expr(UPSTREAM.format(half=half).replace("user_id", "log_id"))
-    validity = lines.validity(owned.withColumn("path", path), "path")
+    validity = staged(lines.validity(owned.withColumn("path", path), "path"), "validity")
     known = table(spark, folder, "customer").where("c_mktsegment = 'BUILDING'")
     known = known.select(F.concat(F.lit("external-u"), "c_custkey").alias("id"))
     name = F.substring_index("path", "/", -1)

@@ -49,6 +49,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/tracewright/{app}/{name}-{uuid.uuid4().hex}"
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to scratch space and read back: computed once however
+    often it is used, and safe against lost executors."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def planned_bytes(df: DataFrame) -> int:
     """The optimizer's size estimate of ``df``; runs no job."""
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())

@@ -199,18 +199,19 @@ def file_scans(lines: DataFrame) -> DataFrame:
 def applications(lines: DataFrame) -> DataFrame:
     """One row per log: start and end of its application, ``n_ends`` end events.
     Logs without any application event are kept."""
+    stamp = F.get_json_object("value", "$.Timestamp").cast("long")
     if "kind" in lines.columns:
-        kind = F.col("kind")
+        # All logs from their id column alone; texts of application events only.
+        nothing = F.lit(None)
+        witnesses = lines.select(
+            "log_id", nothing.cast("string").alias("kind"), nothing.cast("long").alias("stamp")
+        )
+        ours = lines.where(F.col("kind").isin(APP_START, APP_END))
+        stamped = ours.select("log_id", "kind", stamp.alias("stamp")).union(witnesses)
     else:
-        # Only application lines are parsed; the rest just witness their log.
         of_app = F.col("value").contains("SparkListenerApplication")
         kind = F.when(of_app, event_kind(F.get_json_object("value", "$.Event")))
-    ours = F.when(kind.isin(APP_START, APP_END), F.col("value"))
-    stamped = lines.select(
-        "log_id",
-        kind.alias("kind"),
-        F.get_json_object(ours, "$.Timestamp").cast("long").alias("stamp"),
-    )
+        stamped = lines.select("log_id", kind.alias("kind"), F.when(of_app, stamp).alias("stamp"))
     return stamped.groupBy("log_id").agg(
         F.min(F.when(F.col("kind") == APP_START, F.col("stamp"))).alias("started_ms"),
         F.max(F.when(F.col("kind") == APP_END, F.col("stamp"))).alias("ended_ms"),
