@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tracewright.operators import confs, labels, runs, versions
+from tracewright.operators import confs, labels, runs, scenarios, versions
 from tracewright.sources.reports import listed_versions
 
 
@@ -128,3 +128,32 @@ def test_listing_without_versions_raises_when_strict(spark):
     assert listed_versions(page).count() == 0
     with pytest.raises(Exception, match="no version directories"):
         listed_versions(page, strict=True).collect()
+
+
+@pytest.mark.parametrize("run", ["pairwise-02", "pairwise-07", "cache-memory-only", "spark-4.2-parquet-baseline"])
+def test_join_scenarios_run(spark, table, tmp_path, run):
+    settings = {r.id: r.settings for r in runs.run_settings(table).collect()}[run]
+    small = {**settings, "row_count": "3000", "shuffle_partitions": "4"}
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    out = str(tmp_path / "out")
+    found = scenarios.run_scenario(spark, small, out)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert spark.read.parquet(out).count() == 3000
+    if settings["second_action"] == "count":
+        assert found.first().n_rows == 3000
+    elif settings["second_action"] == "reread":
+        assert found.agg(F.sum("n_rows")).first()[0] == 3000
+
+
+@pytest.mark.parametrize("mode", runs.DML_MODES)
+def test_dml_scenarios_pass_their_checks(spark, table, tmp_path, mode):
+    settings = {r.id: r.settings for r in runs.run_settings(table).collect()}[f"delta-{mode}"]
+    small = {**settings, "row_count": "2000", "shuffle_partitions": "4"}
+    checks = scenarios.run_scenario(spark, small, str(tmp_path / "table")).collect()
+    assert checks and all(c.ok for c in checks)
+
+
+def test_failing_runs_are_refused(spark, table, tmp_path):
+    settings = {r.id: r.settings for r in runs.run_settings(table).collect()}["failure-job"]
+    with pytest.raises(ValueError):
+        scenarios.run_scenario(spark, settings, str(tmp_path / "x"))

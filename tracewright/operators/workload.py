@@ -92,6 +92,15 @@ def star_join(fact: DataFrame, dimensions: Sequence[Dimension]) -> DataFrame:
     return joined
 
 
+def merged_star_join(fact: DataFrame, dimensions: Sequence[Dimension]) -> DataFrame:
+    """The star join by plain sort-merge: a hot key stays whole, which is what a
+    run meant to show skew in its log needs."""
+    joined = fact
+    for dimension in dimensions:
+        joined = joined.join(dimension.table.hint("merge"), dimension.key, "inner")
+    return joined
+
+
 def affordable_salts(fact: DataFrame, dimensions: Sequence[Dimension]) -> int:
     """One salt per shuffle task, so a hot key can reach all of them, as long as
     each dimension's copies stay under a quarter of the fact by size estimates.
@@ -174,9 +183,11 @@ def run_workload(
     persist_mode: str = "none",
     second_action: str = "none",
     staging_path: str | None = None,
+    force_merge: bool = False,
 ) -> DataFrame:
     """One full run: optional Parquet staging, optional caching, the join, the
-    write, and a second action over the fact.
+    write, and a second action over the fact. ``force_merge`` joins by
+    :func:`merged_star_join` in place of :func:`workload_join`.
 
     Returns the second action's result: counts per key (``reread``), a row
     count (``count``), or the joined table as written (``none``).
@@ -184,7 +195,11 @@ def run_workload(
     if staging_path is not None:
         fact = stage_as_parquet(fact, staging_path)
     fact = persisted(fact, persist_mode)
-    write_output(workload_join(fact, dimensions, ["row_id"]), output, table_format)
+    if force_merge:
+        joined = merged_star_join(fact, dimensions)
+    else:
+        joined = workload_join(fact, dimensions, ["row_id"])
+    write_output(joined, output, table_format)
     if second_action == "reread":
         return key_counts(fact)
     if second_action == "count":

@@ -57,10 +57,17 @@ def _task_sql(dialect: dict[str, str]) -> dict[str, str]:
     }
 
 
+
+
+def epoch_ms(column: str) -> str:
+    """Milliseconds of a zoneless timestamp read as UTC, in any session zone."""
+    return f"unix_millis(from_utc_timestamp(CAST({column} AS TIMESTAMP), current_timezone()))"
+
+
 SPARK_DIALECT = {
     "div": "div",
     "text": "STRING",
-    "launch": "unix_millis(CAST(l_shipdate AS TIMESTAMP))",
+    "launch": epoch_ms("l_shipdate"),
 }
 DUCK_DIALECT = {"div": "//", "text": "VARCHAR", "launch": "epoch_us(l_shipdate) // 1000"}
 
@@ -148,7 +155,7 @@ def customer_executors(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def order_jobs(spark: SparkSession, folder: str) -> DataFrame:
-    submitted = F.unix_millis(F.col("o_orderdate").cast("timestamp"))
+    submitted = F.expr(epoch_ms("o_orderdate"))
     status = F.col("o_orderstatus")
     return table(spark, folder, "orders").select(
         _app("o_custkey div 75").alias("log_id"),
