@@ -8,6 +8,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from tracewright.session import map_in_arrow
+
 PartitionFunction = Callable[[int, int, Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
 
@@ -19,7 +21,7 @@ def map_partitions(df: DataFrame, function: PartitionFunction, schema: str) -> D
         context = TaskContext.get()
         yield from function(context.partitionId(), context.attemptNumber(), batches)
 
-    return df.mapInArrow(run, schema)
+    return map_in_arrow(df, run, schema)
 
 
 def _profile(index: int, attempt: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import io
 import tempfile
 import uuid
+import zipfile
+from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tracewright.storage import resolve
+
 CHECKPOINT_DIR_CONF = "spark.checkpoint.dir"
 
 
@@ -57,6 +63,41 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_shipped: set[str] = set()
+
+
+def _ship_package(spark: SparkSession) -> None:
+    """Give Python workers this package, once per application. A package that
+    was itself submitted as an archive is there already."""
+    application = spark.sparkContext.applicationId
+    package = Path(__file__).parent
+    if application in _shipped or not package.is_dir():
+        return
+    archive = io.BytesIO()
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    uri = f"{scratch_path(spark, 'package')}.zip"
+    filesystem, path = resolve(uri)
+    filesystem.create_dir(path.rsplit("/", 1)[0], recursive=True)
+    with filesystem.open_output_stream(path) as stream:
+        stream.write(archive.getvalue())
+    spark.sparkContext.addPyFile(uri)
+    _shipped.add(application)
+
+
+def map_in_arrow(df: DataFrame, function: Callable, schema: str) -> DataFrame:
+    """``df.mapInArrow`` with this package importable in the workers."""
+    _ship_package(df.sparkSession)
+    return df.mapInArrow(function, schema)
+
+
+def map_in_pandas(df: DataFrame, function: Callable, schema) -> DataFrame:
+    """``df.mapInPandas`` with this package importable in the workers."""
+    _ship_package(df.sparkSession)
+    return df.mapInPandas(function, schema)
+
+
 def planned_bytes(df: DataFrame) -> int:
     """The optimizer's size estimate of ``df``; runs no job."""
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())

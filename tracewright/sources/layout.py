@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tracewright.functions.text import MARKER_PREFIX, ROLLED_NAME, codec_of, path_parts
 from tracewright.operators.skew import salted_join
+from tracewright.session import map_in_arrow
 
 
 def event_files(files: DataFrame) -> DataFrame:
@@ -151,12 +152,9 @@ def dir_checksum(files: DataFrame) -> DataFrame:
         path_parts("path").alias("_parts"),
         line.alias("line"),
     )
-    return (
-        manifest.repartition("log_id")
-        .sortWithinPartitions("log_id", "_parts")
-        .select("log_id", "line")
-        .mapInArrow(_directory_digests, "log_id string, checksum string")
-    )
+    ordered = manifest.repartition("log_id").sortWithinPartitions("log_id", "_parts")
+    schema = "log_id string, checksum string"
+    return map_in_arrow(ordered.select("log_id", "line"), _directory_digests, schema)
 
 
 def log_relpath(run_id: str | Column, is_dir_log: str | Column, name: str | Column) -> Column:
