@@ -67,7 +67,7 @@ def test_stem_and_parts(spark):
 @pytest.mark.parametrize(
     "name, is_dir, path",
     [
-        ("local-1", False, "logs/run/".rstrip("/") + ".ndjson"),
+        ("local-1", False, "logs/run.ndjson"),
         ("local-1.zstd", False, "logs/run.zstd"),
         ("eventlog_v2_app", True, "logs/run/eventlog_v2_app"),
     ],

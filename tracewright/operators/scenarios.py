@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tracewright.operators import dml, workload
+from tracewright.session import staged
 
 # Settings that are Spark confs a session can change; the rest of a run's
 # confs are fixed when its application is submitted.
@@ -22,7 +23,8 @@ def run_scenario(spark: SparkSession, settings: Mapping[str, str], output: str)
 
     ``settings`` is the full map of :func:`tracewright.operators.runs.run_settings`.
     Returns the result of the join workload's second action, or the count
-    checks of a DML run, which raise where the table is not as stated.
+    checks of a DML run; a check that fails raises. Everything runs here, under
+    the run's confs.
     """
     if settings["failure"] != "none":
         raise ValueError("runs that fail on purpose are not workloads")
@@ -31,8 +33,12 @@ def run_scenario(spark: SparkSession, settings: Mapping[str, str], output: str)
         spark.conf.set(conf, settings[name])
     try:
         if settings["dml"] != "none":
-            return _run_dml(spark, settings["dml"], int(settings["row_count"]), output)
-        return _run_join(spark, settings, output)
+            found = _run_dml(spark, settings["dml"], int(settings["row_count"]), output)
+        else:
+            found = _run_join(spark, settings, output)
+            if settings["second_action"] == "none":
+                return found
+        return staged(found, "scenario")
     finally:
         for conf, value in before.items():
             spark.conf.set(conf, value)

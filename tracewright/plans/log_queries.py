@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tracewright.functions.text import codec_of
+from tracewright.operators import corpus
 from tracewright.plans.encoding import write_encoded
 from tracewright.plans.registry import query, table
 from tracewright.session import scratch_path
 from tracewright.sources import decode, layout, lines
+from tracewright.sources.files import list_logs
 
 # Every third user's log has damaged lines of several kinds; all have blanks.
 EVENT_JSON = """'{{"Event":"' || event_type || '","event_id":' || event_id{text} || ',"props":' || props || '}}'"""
@@ -348,6 +350,22 @@ def decode_logs(spark: SparkSession, folder: str) -> DataFrame:
     return decoded.groupBy("value").agg(F.count("*").alias("n_lines"))
 
 
+@query(
+    "validate_logs",
+    LINES_CTE
+    + """
+SELECT layout, n_events FROM (SELECT 'single-file' AS layout, count(*) AS n_events
+FROM verdicts WHERE verdict = 'ok')
+""",
+)
+def validate_logs(spark: SparkSession, folder: str) -> DataFrame:
+    """Encoded logs listed from their folder and validated, events in total."""
+    path = scratch_path(spark, "encoded")
+    write_encoded(event_lines(spark, folder), "event_id", path)
+    checked = corpus.validate_logs(list_logs(spark, [path]))
+    return checked.groupBy("layout").agg(F.sum("n_events").alias("n_events"))
+
+
 @query(
     "decode_event_counts",
     LINES_CTE
