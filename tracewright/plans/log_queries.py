@@ -362,7 +362,7 @@ def validate_logs(spark: SparkSession, folder: str) -> DataFrame:
     """Encoded logs listed from their folder and validated, events in total."""
     path = scratch_path(spark, "encoded")
     write_encoded(event_lines(spark, folder), "event_id", path)
-    checked = corpus.validate_logs(list_logs(spark, [path]))
+    checked = corpus.validate_logs(list_logs(spark, [f"{path}/logs"]))
     return checked.groupBy("layout").agg(F.sum("n_events").alias("n_events"))
 
 
