@@ -1,5 +1,7 @@
-import pytest
+import json
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from tracewright.functions.jsonlines import with_verdict
@@ -91,3 +93,59 @@ def test_staged_events_drop_bad_lines(spark, tmp_path):
     df = spark.createDataFrame(rows, "log_id string, seq long, value string")
     staged = lines.stage_events(df, str(tmp_path / "events"))
     assert [(r.kind, r.seq) for r in staged.collect()] == [("SparkListenerJobEnd", 0)]
+
+
+def model_verdict(line):
+    """What the line is, by Python's own parser; None where the two parsers are
+    known to differ (repeated keys, NaN and infinities)."""
+    text = line.strip()
+    if not text:
+        return "blank"
+
+    def pairs(found):
+        if len({k for k, _ in found}) != len(found):
+            raise LookupError
+        return dict(found)
+
+    def constant(name):
+        raise LookupError
+
+    try:
+        record = json.loads(text, object_pairs_hook=pairs, parse_constant=constant)
+    except LookupError:
+        return None
+    except ValueError:
+        return "not_json"
+    return "ok" if isinstance(record, dict) and "Event" in record else "missing_event"
+
+
+def test_fuzzed_lines_agree_with_python(spark):
+    rng = random.Random(11)
+    seeds = [c[0] for c in CASES] + [
+        '{"Event":"a","n":-1.5e3,"t":true,"s":"\\u00e9\\n","l":[{},[]],"o":{"k":null}}',
+        '{"a":{"b":[1,2,{"c":"d"}]},"Event":""}',
+        '[{"Event":1},0]',
+    ]
+    alphabet = '{}[]",:0123456789eE+-.\\ntrufalsEvn x\t'
+    lines_in = []
+    for _ in range(4000):
+        text = list(rng.choice(seeds))
+        for _ in range(rng.randrange(4)):
+            at = rng.randrange(len(text) + 1)
+            action = rng.randrange(3)
+            if action == 0:
+                text.insert(at, rng.choice(alphabet))
+            elif text and at < len(text):
+                if action == 1:
+                    del text[at]
+                else:
+                    text[at] = rng.choice(alphabet)
+        lines_in.append("".join(text))
+    df = spark.createDataFrame(list(enumerate(lines_in)), "i int, value string")
+    found = {r.i: r.verdict for r in with_verdict(df).collect()}
+    wrong = [
+        (line, found[i], model_verdict(line))
+        for i, line in enumerate(lines_in)
+        if model_verdict(line) not in (None, found[i])
+    ]
+    assert not wrong, wrong[:10]
