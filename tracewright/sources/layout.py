@@ -12,11 +12,21 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tracewright.functions.text import MARKER_PREFIX, ROLLED_NAME, codec_of, path_parts
+from tracewright.functions.text import (
+    CODECS,
+    MARKER_PREFIX,
+    ROLLED_NAME,
+    codec_of,
+    path_parts,
+)
 from tracewright.operators.skew import salted_join
 from tracewright.session import map_in_arrow
 
 
+# All codecs a file can have, in the order mixed ones are reported.
+STORED_CODECS = tuple(sorted((*CODECS, "none")))
+
+
 def event_files(files: DataFrame) -> DataFrame:
     """Rolled event files with their index ``idx`` and ``codec``."""
     index = F.regexp_extract("name", ROLLED_NAME, 1)
@@ -32,11 +42,16 @@ def rolling_dir_check(files: DataFrame) -> DataFrame:
     ``1..k``, whether a marker exists, the codecs, and the first ``error``."""
     is_event = F.col("is_file") & F.col("name").rlike(ROLLED_NAME)
     idx = F.when(is_event, F.regexp_extract("name", ROLLED_NAME, 1).cast("long"))
+    codec = F.when(is_event, codec_of("name"))
     # Copies of one index collapse first, so no directory needs a distinct pass.
-    by_index = files.groupBy("log_id", idx.alias("idx")).agg(
-        F.count(idx).alias("n"),
-        F.bool_or(F.startswith(F.col("name"), F.lit(MARKER_PREFIX))).alias("marker"),
-        F.collect_set(F.when(is_event, codec_of("name"))).alias("codecs"),
+    by_index = (
+        files.withColumns({"idx": idx, "codec": codec})
+        .groupBy("log_id", "idx")
+        .agg(
+            F.count("idx").alias("n"),
+            F.bool_or(F.startswith(F.col("name"), F.lit(MARKER_PREFIX))).alias("marker"),
+            *[F.bool_or(F.col("codec") == c).alias(f"_{c}") for c in STORED_CODECS],
+        )
     )
     checked = by_index.groupBy("log_id").agg(
         F.sum("n").alias("n_files"),
@@ -44,14 +59,9 @@ def rolling_dir_check(files: DataFrame) -> DataFrame:
         F.max("idx").alias("max_idx"),
         F.count("idx").alias("_indexes"),
         F.bool_or("marker").alias("has_marker"),
-        *[
-            F.bool_or(F.array_contains("codecs", codec)).alias(f"_{codec}")
-            for codec in ("lz4", "none", "snappy", "zstd")
-        ],
-    )
-    present = F.array(
-        *[F.when(F.col(f"_{c}"), F.lit(c)) for c in ("lz4", "none", "snappy", "zstd")]
+        *[F.bool_or(f"_{c}").alias(f"_{c}") for c in STORED_CODECS],
     )
+    present = F.array(*[F.when(F.col(f"_{c}"), F.lit(c)) for c in STORED_CODECS])
     checked = checked.withColumn("codecs", F.array_compact(present)).withColumn(
         "contiguous",
         (F.col("n_files") > 0)
