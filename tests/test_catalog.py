@@ -35,7 +35,7 @@ def test_append_skips_or_raises_on_duplicates(spark):
     assert sorted(r.id for r in catalog.append_entries(old, new).collect()) == ["a", "b", "c"]
     assert [r.id for r in catalog.duplicates(new, old).collect()] == ["b"]
     assert [r.id for r in catalog.pending(new, old).collect()] == ["c"]
-    with pytest.raises(Exception, match="already has an entry with id b"):
+    with pytest.raises(Exception, match="already in the catalog: b"):
         catalog.append_entries(old, new, strict=True).collect()
 
 

@@ -95,7 +95,7 @@ def append_entries(catalog: DataFrame, new: DataFrame, strict: bool = False) ->
     if not strict:
         return catalog.unionByName(pending(new, catalog), allowMissingColumns=True)
     known = catalog.select("id", F.lit(True).alias("_known"))
-    message = F.concat(F.lit("catalog already has an entry with id "), F.col("id"))
+    message = F.concat(F.lit("already in the catalog: "), F.col("id"))
     checked = (
         new.join(known, "id", "left")
         .withColumn("id", F.when(F.col("_known"), F.raise_error(message)).otherwise(F.col("id")))

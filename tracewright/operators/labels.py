@@ -11,6 +11,15 @@ from tracewright.sources.reports import fired_tags
 ACCEPTABLE_EXITS = (0, 3)
 ALL_FIRED, TARGET_MISSED, UNCHECKED = 0, 1, 2
 
+# The texts of errors and report lines.
+LOG_NOT_FOUND = "log not found: "
+CHECKSUM_DIFFERS = "checksum differs from catalog: "
+STATUS_UNCHECKED, STATUS_MISSED, STATUS_OK = "UNCHECKED", "MISSED", "ok"
+LINE_UNCHECKED = "UNCHECKED: %s: %s"
+LINE_MISSED = "MISSED: %s: %s did not fire (fired: %s)"
+LINE_OK = "ok: %s"
+NOTHING_FIRED = "none"
+
 
 def missing_targets(targets: str | Column, fired: str | Column) -> Column:
     """Targets that did not fire, in target order with repeats; null where the
@@ -46,10 +55,10 @@ def label_score(catalog: DataFrame, logs: DataFrame, reports: DataFrame) -> Data
         F.lit("analyzer exited "), F.col("exit_code").cast("string"), F.lit(": "), F.trim("message")
     )
     error = (
-        F.when(F.col("_stored").isNull(), F.concat(F.lit("log not found: "), "path"))
+        F.when(F.col("_stored").isNull(), F.concat(F.lit(LOG_NOT_FOUND), "path"))
         .when(
             F.col("_stored") != F.col("checksum"),
-            F.concat(F.lit("checksum differs from catalog: "), "path"),
+            F.concat(F.lit(CHECKSUM_DIFFERS), "path"),
         )
         .when(F.col("_analyzed").isNull(), F.lit("no report"))
         .when(~F.col("exit_code").isin(*ACCEPTABLE_EXITS), exit_error)
@@ -76,29 +85,26 @@ def score_against_findings(catalog: DataFrame, fired: DataFrame) -> DataFrame:
         "targets",
         "fired",
         missing_targets("targets", "fired").alias("missing"),
-        F.when(F.col("fired").isNull(), "log not found").alias("error"),
+        F.when(F.col("fired").isNull(), F.concat(F.lit(LOG_NOT_FOUND), "id")).alias("error"),
     )
 
 
 def status() -> Column:
     return (
-        F.when(F.col("error").isNotNull(), "UNCHECKED")
-        .when(F.size("missing") > 0, "MISSED")
-        .otherwise("ok")
+        F.when(F.col("error").isNotNull(), STATUS_UNCHECKED)
+        .when(F.size("missing") > 0, STATUS_MISSED)
+        .otherwise(STATUS_OK)
     )
 
 
 def label_report(scores: DataFrame) -> DataFrame:
     """One printable line per scored entry: ``id, line``."""
-    fired = F.when(F.size("fired") > 0, F.array_join("fired", ", ")).otherwise("none")
-    missed = F.concat(
-        F.lit("MISSED: "), "id", F.lit(": "), F.array_join("missing", ", "),
-        F.lit(" did not fire (fired: "), fired, F.lit(")"),
-    )
+    fired = F.when(F.size("fired") > 0, F.array_join("fired", ", ")).otherwise(NOTHING_FIRED)
+    missed = F.format_string(LINE_MISSED, "id", F.array_join("missing", ", "), fired)
     line = (
-        F.when(F.col("error").isNotNull(), F.concat(F.lit("UNCHECKED: "), "id", F.lit(": "), "error"))
+        F.when(F.col("error").isNotNull(), F.format_string(LINE_UNCHECKED, "id", "error"))
         .when(F.size("missing") > 0, missed)
-        .otherwise(F.concat(F.lit("ok: "), "id"))
+        .otherwise(F.format_string(LINE_OK, "id"))
     )
     return scores.select("id", line.alias("line"))
 

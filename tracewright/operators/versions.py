@@ -8,6 +8,11 @@ from tracewright.functions.text import minor_line, version_text
 
 NEWER, UNLISTED, UNPINNED = "newer", "not listed", "not pinned"
 
+# The sentence for each kind of difference.
+SAYS_NEWER = "%s: pinned %s, upstream has %s"
+SAYS_UNLISTED = "%s: pinned %s is not on the dist listing"
+SAYS_UNPINNED = "%s: not pinned, upstream has %s"
+
 
 def latest_patch_per_line(versions: DataFrame) -> DataFrame:
     """The highest patch of each (major, minor), lines ascending."""
@@ -46,8 +51,8 @@ def version_drift(pinned: DataFrame, upstream: DataFrame) -> DataFrame:
 def drift_message(drift: DataFrame) -> DataFrame:
     """Add the drift as a sentence, ``message``."""
     message = (
-        F.when(F.col("kind") == NEWER, F.format_string("%s: pinned %s, upstream has %s", "line", "pinned", "upstream"))
-        .when(F.col("kind") == UNLISTED, F.format_string("%s: pinned %s is not on the dist listing", "line", "pinned"))
-        .otherwise(F.format_string("%s: not pinned, upstream has %s", "line", "upstream"))
+        F.when(F.col("kind") == NEWER, F.format_string(SAYS_NEWER, "line", "pinned", "upstream"))
+        .when(F.col("kind") == UNLISTED, F.format_string(SAYS_UNLISTED, "line", "pinned"))
+        .otherwise(F.format_string(SAYS_UNPINNED, "line", "upstream"))
     )
     return drift.withColumn("message", message)
