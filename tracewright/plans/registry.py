@@ -34,5 +34,4 @@ def spread(df: DataFrame) -> DataFrame:
     """Repartition a scan of fewer tasks than cores, before costly per-row work.
     Larger inputs already have the tasks and are left alone."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    few = df._jdf.queryExecution().toRdd().getNumPartitions() < cores
-    return df.repartition(cores) if few else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

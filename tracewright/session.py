@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import re
 import tempfile
 import uuid
 import zipfile
@@ -105,4 +106,6 @@ def planned_bytes(df: DataFrame) -> int:
 
 def broadcast_limit(spark: SparkSession) -> int:
     """``spark.sql.autoBroadcastJoinThreshold`` in bytes, negative when off."""
-    return int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold").strip().lower()
+    number, unit = re.fullmatch(r"(-?[0-9]+)\s*([a-z]*)", text).groups()
+    return int(number) << {"": 0, "k": 10, "m": 20, "g": 30, "t": 40}[unit.rstrip("b")[:1]]
