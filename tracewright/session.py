@@ -12,8 +12,6 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tracewright.storage import resolve
-
 CHECKPOINT_DIR_CONF = "spark.checkpoint.dir"
 
 
@@ -79,10 +77,11 @@ def _ship_package(spark: SparkSession) -> None:
         for source in sorted(package.rglob("*.py")):
             out.write(source, source.relative_to(package.parent))
     uri = f"{scratch_path(spark, 'package')}.zip"
-    filesystem, path = resolve(uri)
-    filesystem.create_dir(path.rsplit("/", 1)[0], recursive=True)
-    with filesystem.open_output_stream(path) as stream:
-        stream.write(archive.getvalue())
+    path = spark._jvm.org.apache.hadoop.fs.Path(uri)
+    configuration = spark._jsparkSession.sessionState().newHadoopConf()
+    stream = path.getFileSystem(configuration).create(path)
+    stream.write(archive.getvalue())
+    stream.close()
     spark.sparkContext.addPyFile(uri)
     _shipped.add(application)
 
