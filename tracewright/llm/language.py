@@ -17,8 +17,8 @@ Characters outside the vocabulary count as their UTF-8 byte pieces.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -31,11 +31,13 @@ from tracewright.session import map_in_arrow
 
 UNDETERMINED = "und"
 ROUNDS = 3
-PER_LANGUAGE = 200
+PER_LANGUAGE = 300
 #: Added to each expected piece count.
 SMOOTHING = 0.05
 #: Words whose likelihoods a worker keeps at most.
 KEPT = 300_000
+#: Words in one lattice.
+TOGETHER = 20_000
 #: Longer words are summed with rescaling, as their likelihood underflows.
 PLAIN = 30
 _LETTER = regex.compile(r"\p{L}")
@@ -43,98 +45,178 @@ _LETTER = regex.compile(r"\p{L}")
 _SPACES = " \t\n\v\f\r"
 
 
+class Trie:
+    """The pieces of a vocabulary by their characters, as arrays for numpy."""
+
+    def __init__(self, vocabulary: Vocabulary) -> None:
+        children: dict[int, int] = {}
+        piece_at = [-1]
+        for piece, number in vocabulary.ids.items():
+            node = 0
+            for character in piece:
+                key = node << 21 | ord(character)
+                if key not in children:
+                    children[key] = len(piece_at)
+                    piece_at.append(-1)
+                node = children[key]
+            piece_at[node] = number
+        self.pieces = np.array(piece_at, np.int32)
+        keys = np.fromiter(children, np.int64, len(children))
+        self.mask = (1 << (4 * len(keys)).bit_length()) - 1
+        self.keys = np.full(self.mask + 1, -1, np.int64)
+        self.nodes = np.zeros(self.mask + 1, np.int32)
+        self.probes = 0
+        targets = np.fromiter(children.values(), np.int64, len(children))
+        while len(keys):
+            slots = self._slots(keys, self.probes)
+            free = self.keys[slots] == -1
+            self.keys[slots[free]] = keys[free]  # of several for one slot the last stays
+            stored = self.keys[slots] == keys
+            self.nodes[slots[stored]] = targets[stored]
+            keys, targets = keys[~stored], targets[~stored]
+            self.probes += 1
+        self.byte_ids = np.array(vocabulary.byte_ids)
+        self.longest = max(map(len, vocabulary.ids))
+
+    def _slots(self, keys: np.ndarray, probe: int) -> np.ndarray:
+        mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return ((mixed >> np.uint64(36)).astype(np.int64) + probe) & self.mask
+
+    def child(self, nodes: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """The node after ``codes``, or -1."""
+        keys = nodes.astype(np.int64) << 21 | codes
+        found = np.full(len(keys), -1, np.int32)
+        open_ = np.arange(len(keys))
+        for probe in range(self.probes):
+            slots = self._slots(keys[open_], probe)
+            held = self.keys[slots]
+            hit = held == keys[open_]
+            found[open_[hit]] = self.nodes[slots[hit]]
+            open_ = open_[~hit & (held != -1)]
+            if not len(open_):
+                break
+        return found
+
+
 class Lattice:
-    """The pieces inside a word, with one weight per piece and language."""
-
-    def __init__(self, vocabulary: Vocabulary, weights: np.ndarray) -> None:
-        self.weights = weights  # pieces x languages
-        self.rows = weights.tolist()
-        self.ids = vocabulary.ids
-        self.byte_ids = vocabulary.byte_ids
-        self.longest = max(map(len, self.ids))
-        self.prefixes = {p[:n] for p in self.ids for n in range(1, len(p) + 1)}
-
-    def edges(self, word: str) -> Iterator[tuple[int, int, tuple[int, ...]]]:
-        """``(start, end, piece ids)`` over ``SPACE + word``, by start."""
-        text = SPACE + word
-        ids, prefixes, count = self.ids, self.prefixes, len(text)
-        for start in range(count):
-            single = ids.get(text[start])
-            if single is None:
-                raw = text[start].encode("utf-8", "surrogatepass")
-                yield start, start + 1, tuple(self.byte_ids[b] for b in raw)
-            else:
-                yield start, start + 1, (single,)
-            for end in range(start + 2, min(start + self.longest, count) + 1):
-                part = text[start:end]
-                if part not in prefixes:
-                    break
-                found = ids.get(part)
-                if found is not None:
-                    yield start, end, (found,)
-
-    def weight(self, pieces: tuple[int, ...]) -> list[float]:
-        if len(pieces) == 1:
-            return self.rows[pieces[0]]
-        return self.weights[list(pieces)].prod(0).tolist()
-
-    def log_likelihood(self, word: str) -> list[float]:
-        """Per language, the log of the summed weight of all segmentations."""
-        if len(word) > PLAIN:
-            return self._long(word).tolist()
-        languages = range(self.weights.shape[1])
-        forward = [[0.0] * len(languages) for _ in range(len(word) + 2)]
-        forward[0] = [1.0] * len(languages)
-        for start, end, pieces in self.edges(word):
-            source, target, weight = forward[start], forward[end], self.weight(pieces)
-            for n in languages:
-                target[n] += source[n] * weight[n]
-        if min(forward[-1]) < 1e-290:
-            return self._long(word).tolist()
-        return [math.log(x) for x in forward[-1]]
-
-    def _long(self, word: str) -> np.ndarray:
-        """As above, each position divided by its size so far."""
-        window: dict[int, np.ndarray] = {0: np.ones(self.weights.shape[1])}
-        scale = np.zeros(self.weights.shape[1])
-        at = 0
-        for start, end, pieces in self.edges(word):
-            if start != at:
-                window.pop(at)
-                at = start
-                size = window[at].copy()
-                scale += np.log(size)
-                for place in window:
-                    window[place] = window[place] / size
-            more = window[start] * np.exp(np.log(self.weights[list(pieces)]).sum(0))
-            window[end] = window[end] + more if end in window else more
-        return scale + np.log(window[len(word) + 1])
-
-    def expect(self, word: str, language: int) -> Iterator[tuple[int, float]]:
-        """Expected uses of each piece in ``word`` under one language."""
-        edges = [(s, e, p, self.weight(p)[language]) for s, e, p in self.edges(word)]
-        forward = [0.0] * (len(word) + 2)
-        backward = [0.0] * (len(word) + 2)
-        forward[0] = backward[-1] = 1.0
-        for start, end, _, weight in edges:
-            forward[end] += forward[start] * weight
-        for start, end, _, weight in reversed(edges):
-            backward[start] += backward[end] * weight
-        total = forward[-1]
-        if total < 1e-290:
-            return
-        for start, end, pieces, weight in edges:
-            expected = forward[start] * weight * backward[end] / total
-            if expected > 1e-12:
-                for piece in pieces:
-                    yield piece, expected
+    """All pieces inside each of some words, with their weights.
+
+    A word is read as ``SPACE + word``; its states, one more than its characters,
+    follow those of the word before. An edge is a piece between two states. A
+    character that is no piece gets one edge with the weight of its byte pieces.
+    """
+
+    def __init__(self, trie: Trie, words: list[str]) -> None:
+        text = "".join(SPACE + w for w in words)
+        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
+        ends = np.cumsum(sizes)
+        self.first = ends - sizes + np.arange(len(words))
+        self.last = self.first + sizes
+        self.states = len(codes) + len(words)
+        word = np.repeat(np.arange(len(words)), sizes)
+        within = np.arange(len(codes)) - np.repeat(ends - sizes, sizes)
+        end = np.repeat(ends, sizes)
+        at, node = np.arange(len(codes)), np.zeros(len(codes), np.int32)
+        found, reach = [], 0
+        while len(at):
+            inside = at + reach < end[at]
+            at, node = at[inside], node[inside]
+            node = trie.child(node, codes[at + reach])
+            on = node >= 0
+            at, node = at[on], node[on]
+            reach += 1
+            piece = trie.pieces[node]
+            hit = piece >= 0
+            found.append((at[hit], np.full(hit.sum(), reach), piece[hit]))
+        single = np.zeros(len(codes), bool)
+        if found:
+            single[found[0][0]] = True
+        self.unknown = np.flatnonzero(~single)
+        raws = [text[n].encode("utf-8", "surrogatepass") for n in self.unknown.tolist()]
+        self.unknown_bytes = [trie.byte_ids[list(raw)] for raw in raws]
+        found.append((self.unknown, np.ones(len(raws), np.int64), -1 - np.arange(len(raws))))
+        at, size, self.piece = (np.concatenate(c) for c in zip(*found))
+        step = within[at] * (trie.longest + 1) + size
+        order = np.argsort(step, kind="stable")
+        self.piece, self.word = self.piece[order], word[at[order]]
+        self.source = at[order] + word[at[order]]
+        self.target = self.source + size[order]
+        step = step[order]
+        # In one step all edges leave the same place in their word, over one length.
+        cuts = np.flatnonzero(np.diff(step)) + 1
+        self.steps = list(zip([0, *cuts.tolist()], [*cuts.tolist(), len(step)])) if len(step) else []
+
+    def weights(self, table: np.ndarray, language: np.ndarray | None = None) -> np.ndarray:
+        """Of each edge: a row of ``table``, or its cell in the word's language."""
+        known = np.maximum(self.piece, 0)
+        column = None if language is None else language[self.word]
+        found = table[known] if column is None else table[known, column]
+        for edge in np.flatnonzero(self.piece < 0).tolist():
+            product = table[self.unknown_bytes[-1 - self.piece[edge]]].prod(0)
+            found[edge] = product if column is None else product[column[edge]]
+        return found
+
+    def forward(self, weights: np.ndarray) -> np.ndarray:
+        """Summed weight of all ways from a word's first state to each state."""
+        sums = np.zeros((self.states, *weights.shape[1:]))
+        sums[self.first] = 1.0
+        for low, high in self.steps:
+            sums[self.target[low:high]] += sums[self.source[low:high]] * weights[low:high]
+        return sums
+
+    def backward(self, weights: np.ndarray) -> np.ndarray:
+        sums = np.zeros((self.states, *weights.shape[1:]))
+        sums[self.last] = 1.0
+        for low, high in reversed(self.steps):
+            sums[self.source[low:high]] += sums[self.target[low:high]] * weights[low:high]
+        return sums
+
+    def log_likelihood(self, table: np.ndarray) -> np.ndarray:
+        """Per word and language, the log of the summed weight of all segmentations."""
+        with np.errstate(divide="ignore"):
+            return np.log(self.forward(self.weights(table))[self.last])
+
+    def expected(self, table: np.ndarray, language: np.ndarray, uses: np.ndarray) -> np.ndarray:
+        """Expected uses of each piece and language; words have one language each."""
+        weights = self.weights(table, language)
+        forward, backward = self.forward(weights), self.backward(weights)
+        total = forward[self.last][self.word]
+        share = forward[self.source] * weights * backward[self.target] * uses[self.word] / total
+        sums = np.zeros(table.shape)
+        known = self.piece >= 0
+        np.add.at(sums, (self.piece[known], language[self.word[known]]), share[known])
+        for edge in np.flatnonzero(~known).tolist():
+            for byte in self.unknown_bytes[-1 - self.piece[edge]]:
+                sums[byte, language[self.word[edge]]] += share[edge]
+        return sums
+
+
+def long_log_likelihood(trie: Trie, word: str, table: np.ndarray) -> np.ndarray:
+    """As ``Lattice.log_likelihood``, for a word of any length: every state is
+    divided by its own sum before its edges leave, so nothing underflows."""
+    lattice = Lattice(trie, [word])
+    weights = np.maximum(lattice.weights(table), 1e-200)
+    reach = trie.longest
+    sums = np.zeros((lattice.states + reach + 1, table.shape[1]))
+    scale = np.zeros(table.shape[1])
+    sums[0] = 1.0
+    by_source = np.argsort(lattice.source, kind="stable")
+    starts = np.searchsorted(lattice.source[by_source], np.arange(lattice.states + 1))
+    for state in range(lattice.states - 1):
+        size = sums[state].copy()
+        scale += np.log(size)
+        sums[state + 1 : state + reach] /= size
+        edges = by_source[starts[state] : starts[state + 1]]
+        sums[lattice.target[edges]] += weights[edges]
+    return scale + np.log(sums[lattice.states - 1])
 
 
 class Model:
     """Languages in order of name, and their piece probabilities."""
 
-    def __init__(self, vocabulary: Vocabulary, languages: list[str], weights: np.ndarray) -> None:
-        self.vocabulary, self.languages, self.weights = vocabulary, languages, weights
+    def __init__(self, trie: Trie, languages: list[str], weights: np.ndarray) -> None:
+        self.trie, self.languages, self.weights = trie, languages, weights
 
 
 def training_sample(
@@ -160,6 +242,7 @@ def fit(
 ) -> Model:
     """Piece probabilities per language from the rows of ``docs``."""
     vocabulary = Vocabulary(model)
+    trie = Trie(vocabulary)
     words = F.filter(F.split("text", f"[{_SPACES}]+"), lambda w: (w != "") & (F.length(w) <= PLAIN))
     counts = hold(
         training_sample(docs, per_language, id_col, text_col, lang_col)
@@ -171,29 +254,28 @@ def fit(
     pieces = len(vocabulary.bytes)
     weights = np.full((pieces, len(languages)), 1.0 / pieces)
     for _ in range(rounds if languages else 0):
-        expected = _expected(counts, vocabulary, languages, weights)
+        expected = _expected(counts, trie, languages, weights)
         found = expected.groupBy("language", "piece").agg(F.sum("uses").alias("uses")).toArrow()
         weights = np.full((pieces, len(languages)), SMOOTHING)
         place = found["piece"].to_numpy(), found["language"].to_numpy()
         weights[place] += found["uses"].to_numpy()
         weights /= weights.sum(0)
-    return Model(vocabulary, languages, weights)
+    return Model(trie, languages, weights)
 
 
 def _expected(
-    counts: DataFrame, vocabulary: Vocabulary, languages: list[str], weights: np.ndarray
+    counts: DataFrame, trie: Trie, languages: list[str], weights: np.ndarray
 ) -> DataFrame:
     """``language, piece, uses``: partial sums of expected counts, per task."""
     schema = pa.schema([("language", pa.int32()), ("piece", pa.int32()), ("uses", pa.float64())])
     number = {name: n for n, name in enumerate(languages)}
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattice = Lattice(vocabulary, weights)
         sums = np.zeros(weights.shape)
         for batch in batches:
-            for lang, word, uses in zip(*(c.to_pylist() for c in batch.columns)):
-                for piece, expected in lattice.expect(word, number[lang]):
-                    sums[piece, number[lang]] += expected * uses
+            language = np.array([number[lang] for lang in batch.column(0).to_pylist()], np.int64)
+            lattice = Lattice(trie, batch.column(1).to_pylist())
+            sums += lattice.expected(weights, language, batch.column(2).to_numpy())
         piece, language = np.nonzero(sums)
         yield record_batch(schema, [language, piece, sums[piece, language]])
 
@@ -209,18 +291,21 @@ _PREDICTED = pa.schema(
 
 def _scorer(model: Model):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattice = Lattice(model.vocabulary, model.weights)
-        known = _Likelihoods(lattice)
+        known = _Likelihoods(model)
         for keys, texts in chunks(batches):
             if len(known) > KEPT:
-                known = _Likelihoods(lattice)
-            langs, scores = [], []
+                known = _Likelihoods(model)
+            rows = []
             for text in texts:
+                plain = text is not None and model.languages and _LETTER.search(text)
+                words = text.translate(_TO_SPACE).split(" ") if plain else []
+                rows.append(list(map(known.__getitem__, words)))
+            known.complete()
+            langs, scores = [], []
+            for row in rows:
                 lang, score = UNDETERMINED, 0.0
-                if text is not None and model.languages and _LETTER.search(text):
-                    words = text.translate(_TO_SPACE).split(" ")
-                    rows = list(map(known.__getitem__, words))
-                    sums = known.values[rows].sum(0)
+                if row:
+                    sums = known.values[row].sum(0)
                     best = int(sums.argmax())
                     lang = model.languages[best]
                     score = float(1.0 / np.exp(sums - sums[best]).sum())
@@ -235,22 +320,31 @@ _TO_SPACE = str.maketrans(dict.fromkeys(_SPACES, " "))
 
 
 class _Likelihoods(dict):
-    """Row of ``values`` for each word asked for."""
+    """Row of ``values`` for each word asked for; rows are filled by ``complete``."""
 
-    def __init__(self, lattice: Lattice) -> None:
+    def __init__(self, model: Model) -> None:
         super().__init__()
-        self.lattice = lattice
-        self.values = np.zeros((1 << 14, lattice.weights.shape[1]))
+        self.model = model
+        self.values = np.zeros((1, len(model.languages)))
         self[""] = 0  # adds nothing
 
     def __missing__(self, word: str) -> int:
-        row = len(self)
-        if row == len(self.values):
-            self.values = np.concatenate((self.values, np.zeros_like(self.values)))
-        self.values[row] = self.lattice.log_likelihood(word)
-        self[word] = row
+        row = self[word] = len(self)
         return row
 
+    def complete(self) -> None:
+        fresh = list(islice(self, len(self.values), None))
+        trie, weights = self.model.trie, self.model.weights
+        parts = [self.values]
+        for start in range(0, len(fresh), TOGETHER):
+            words = fresh[start : start + TOGETHER]
+            found = Lattice(trie, [w if len(w) <= PLAIN else "" for w in words]).log_likelihood(weights)
+            for n, word in enumerate(words):
+                if len(word) > PLAIN or not np.isfinite(found[n]).all():
+                    found[n] = long_log_likelihood(trie, word, weights)
+            parts.append(found)
+        self.values = np.concatenate(parts)
+
 
 def predict(
     docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text"
