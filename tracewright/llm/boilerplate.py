@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tracewright.session import staged
+from tracewright.llm.common import hold
 
 RATIO = 0.1
 LEAST_PAGES = 5
@@ -57,7 +57,7 @@ def without_boilerplate(
     least: int = LEAST_PAGES,
 ) -> DataFrame:
     """``pages`` with ``text_col`` reduced and ``n_dropped long``, the lines dropped."""
-    found = staged(boilerplate(pages, host, pages[text_col], ratio, least), "boilerplate")
+    found = hold(boilerplate(pages, host, pages[text_col], ratio, least), "boilerplate")
     found = found.select(
         F.when(~F.col("none"), F.col("host")).alias(_HOST), F.col("lines").alias(_LINES)
     )

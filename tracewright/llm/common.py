@@ -7,6 +7,8 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tracewright.session import staged
+
 #: Texts handled together inside a task, counted in bytes of text.
 CHUNK_BYTES = 4 << 20
 
@@ -56,10 +58,7 @@ def record_batch(schema: pa.Schema, columns: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
 
-def hold(df: DataFrame) -> DataFrame:
-    """``df`` computed once and kept in the shared checkpoint folder, so that a
-    lost executor costs no earlier step."""
-    from tracewright.session import scratch_root
-
-    scratch_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+def hold(df: DataFrame, name: str = "held") -> DataFrame:
+    """``df`` computed once and written to the shared checkpoint folder, so that a
+    lost executor costs no earlier step, and Spark knows its size when it joins it."""
+    return staged(df, name)

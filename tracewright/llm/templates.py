@@ -34,8 +34,8 @@ import regex
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tracewright.llm.common import chunks, id_and_text, record_batch
-from tracewright.session import map_in_arrow, staged
+from tracewright.llm.common import chunks, hold, id_and_text, record_batch
+from tracewright.session import map_in_arrow
 
 WINDOW = 8
 LITERALS = 4
@@ -214,7 +214,7 @@ def contaminated(
 ) -> DataFrame:
     """``doc_id, item_id, n_matched, n_windows, changed``: documents that hold an
     item; ``changed`` if a slot differs from the item's."""
-    items = staged(
+    items = hold(
         _windows(id_and_text(benchmark, item_col, item_text_col), None, window, None), "items"
     )
     widths = sorted(r.width for r in items.select("width").distinct().collect())
