@@ -14,6 +14,7 @@ from tracewright.llm import (
     pieces,
     preference,
     repetition,
+    substrings,
     templates,
     toxicity,
 )
@@ -38,6 +39,12 @@ def op1_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.encode_checked(table(spark, folder, "documents"))
 
 
+@query("op2_suffix_dedup")
+def op2_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = substrings.remove_repeats(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 @query("op3_repetition")
 def op3_repetition(spark: SparkSession, folder: str) -> DataFrame:
     return repetition.quality(table(spark, folder, "documents"))
