@@ -55,8 +55,10 @@ def without_boilerplate(
     text_col: str = "text",
     ratio: float = RATIO,
     least: int = LEAST_PAGES,
+    count_col: str = "n_dropped",
 ) -> DataFrame:
-    """``pages`` with ``text_col`` reduced and ``n_dropped long``, the lines dropped."""
+    """``pages`` with ``text_col`` reduced and ``count_col long``, the lines dropped,
+    which replaces a column of that name."""
     found = hold(boilerplate(pages, host, pages[text_col], ratio, least), "boilerplate")
     found = found.select(
         F.when(~F.col("none"), F.col("host")).alias(_HOST), F.col("lines").alias(_LINES)
@@ -71,6 +73,7 @@ def without_boilerplate(
         *[
             F.when(some, F.array_join(kept, "\n")).otherwise(text).alias(c) if c == text_col else pages[c]
             for c in pages.columns
+            if c != count_col
         ],
-        dropped.alias("n_dropped"),
+        dropped.alias(count_col),
     )

@@ -227,7 +227,8 @@ def training_sample(
         docs[id_col].alias("doc_id"), docs[text_col].alias("text"), docs[lang_col].alias("lang")
     ).where("lang is not null and text is not null")
     counts = rows.groupBy("lang").count()
-    rates = counts.select("lang", (F.lit(float(per_language)) / F.col("count")).alias("rate"))
+    # Written first: its known size lets Spark broadcast it and leave the texts in place.
+    rates = hold(counts.select("lang", (F.lit(float(per_language)) / F.col("count")).alias("rate")))
     return rows.join(rates, "lang").where(share(F.col("doc_id")) < F.col("rate")).select("lang", "text")
 
 
@@ -289,29 +290,34 @@ _PREDICTED = pa.schema(
 )
 
 
+def _predictions(known: _Likelihoods, texts: list[str | None]) -> tuple[list[str], list[float]]:
+    model = known.model
+    rows = []
+    for text in texts:
+        plain = text is not None and model.languages and _LETTER.search(text)
+        words = text.translate(_TO_SPACE).split(" ") if plain else []
+        rows.append(list(map(known.__getitem__, words)))
+    known.complete()
+    langs, scores = [], []
+    for row in rows:
+        lang, score = UNDETERMINED, 0.0
+        if row:
+            sums = known.values[row].sum(0)
+            best = int(sums.argmax())
+            lang = model.languages[best]
+            score = float(1.0 / np.exp(sums - sums[best]).sum())
+        langs.append(lang)
+        scores.append(score)
+    return langs, scores
+
+
 def _scorer(model: Model):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Likelihoods(model)
         for keys, texts in chunks(batches):
             if len(known) > KEPT:
                 known = _Likelihoods(model)
-            rows = []
-            for text in texts:
-                plain = text is not None and model.languages and _LETTER.search(text)
-                words = text.translate(_TO_SPACE).split(" ") if plain else []
-                rows.append(list(map(known.__getitem__, words)))
-            known.complete()
-            langs, scores = [], []
-            for row in rows:
-                lang, score = UNDETERMINED, 0.0
-                if row:
-                    sums = known.values[row].sum(0)
-                    best = int(sums.argmax())
-                    lang = model.languages[best]
-                    score = float(1.0 / np.exp(sums - sums[best]).sum())
-                langs.append(lang)
-                scores.append(score)
-            yield record_batch(_PREDICTED, [keys, langs, scores])
+            yield record_batch(_PREDICTED, [keys, *_predictions(known, texts)])
 
     return task
 
@@ -357,6 +363,28 @@ def predict(
     )
 
 
+def identified(
+    docs: DataFrame, model: Model, least: float = 0.5, text_col: str = "text"
+) -> DataFrame:
+    """The rows of ``docs``, all columns, whose language is found with a score of
+    ``least`` or more."""
+    place = docs.columns.index(text_col)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = _Likelihoods(model)
+        for batch in batches:
+            kept: list[bool] = []
+            texts = batch.column(place)
+            for start in range(0, len(texts), 1000):
+                if len(known) > KEPT:
+                    known = _Likelihoods(model)
+                found = _predictions(known, texts.slice(start, 1000).to_pylist())
+                kept += [lang != UNDETERMINED and score >= least for lang, score in zip(*found)]
+            yield batch.filter(pa.array(kept, pa.bool_()))
+
+    return map_in_arrow(docs, task, docs.schema)
+
+
 def with_held_out(predicted: DataFrame, folds: int, held: int) -> DataFrame:
     """``held_out boolean`` after ``doc_id``: the fold that was not learned from."""
     rest = [c for c in predicted.columns if c != "doc_id"]

@@ -273,3 +273,17 @@ def near_duplicates(
         component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"),
     )
+
+
+def one_of_each_group(
+    docs: DataFrame, width: int = 5, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The rows of ``docs``, all columns, that stay: of each component the row whose
+    id names it. Rows that repeat an id leave one; rows with a null id go, as no
+    component can be named after them."""
+    found = near_duplicates(docs, width, percent, id_col, text_col).where("kept")
+    kept = found.groupBy(F.col("doc_id").alias("__kept")).agg(F.count("*").alias("__rows"))
+    joined = docs.join(hold(kept), docs[id_col].cast("long") == F.col("__kept"))
+    single = joined.where("__rows = 1")
+    repeated = joined.where("__rows > 1").dropDuplicates(["__kept"])
+    return single.union(repeated).select(*docs.columns)

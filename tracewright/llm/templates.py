@@ -259,3 +259,10 @@ def contaminated(
         )
     )
     return found.where(F.col("n_matched") >= covered * F.col("n_windows"))
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, that no benchmark item contaminates."""
+    hits = contaminated(docs, benchmark, id_col=id_col, text_col=text_col)
+    hits = hold(hits.select(F.col("doc_id").alias("__hit")).distinct())
+    return docs.join(hits, docs[id_col].cast("long") == hits["__hit"], "left_anti")
