@@ -44,7 +44,7 @@ BITS = 22
 KEPT = 300_000
 #: Units, by their usual short and long forms.
 UNITS = frozenset(
-    ("mm", "cm", "m", "km", "inch", "inches", "ft", "feet", "foot", "yard", "yards", "mile", "miles",
+    ("mm", "cm", "m", "km", "meter", "meters", "metre", "metres", "kilometer", "kilometers", "inch", "inches", "ft", "feet", "foot", "yard", "yards", "mile", "miles",
      "mg", "g", "kg", "gram", "grams", "ton", "tons", "lb", "lbs", "pound", "pounds", "oz", "ml",
      "l", "liter", "liters", "litre", "litres", "gallon", "gallons", "s", "sec", "second", "seconds",
      "min", "minute", "minutes", "h", "hour", "hours", "day", "days", "week", "weeks", "month",
