@@ -38,6 +38,17 @@ def test_line_verdicts(spark):
     assert found == {i: c[1] for i, c in enumerate(CASES)}
 
 
+def test_lines_have_no_length_limit(spark):
+    start = F.lit('{"Event":"a","x":["')
+    letter = F.when(F.col("id") >= 0, "y")  # no constant: it would travel in the plan
+    long_string = F.repeat(letter, 21_000_000)
+    long_line = F.array_join(F.array_repeat(F.repeat(letter, 1_000_000), 140), '","')
+    for text in (long_string, long_line):
+        line = spark.range(1).select(F.concat(start, text, F.lit('"]}')).alias("value"))
+        cut = line.select(F.concat(F.col("value"), F.lit("}")).alias("value"))
+        assert [r.verdict for r in with_verdict(line.union(cut)).select("verdict").collect()] == ["ok", "not_json"]
+
+
 def test_invalid_utf8_is_no_event_line(spark):
     raw = spark.createDataFrame([(bytearray(b'{"Event":"\xff\xfe"}'),)], "value binary")
     rows = with_verdict(raw.select(F.col("value").cast("string").alias("value"))).collect()

@@ -23,32 +23,54 @@ def _stripped_if_needed(line: str) -> Column:
     return F.when(braced, F.col(line)).otherwise(stripped(line))
 
 
+#: No limit on the length of a string, a number or a line, nor on its nesting.
+_MOST = str((1 << 31) - 1)
+_JSON = {
+    "maxStringLen": _MOST,
+    "maxNumLen": _MOST,
+    "maxNestingDepth": _MOST,
+    "allowSingleQuotes": "false",
+}
+
+
+def _sealed(text: Column, seal: Column) -> Column:
+    return F.concat(F.lit("["), text, F.lit(',{"_seal":"'), seal, F.lit('"}]'))
+
+
 def with_verdict(lines: DataFrame, line: str = "value") -> DataFrame:
     """Add ``verdict`` (see the names above) and ``event``, the text of the
-    line's ``Event``, trimming and parsing each line once.
+    line's ``Event``, trimming each line once and parsing a good one once.
 
     The parser ignores text after the first value, so the line is parsed in an
-    array closed by its own hash, ``[line, seal]``: anything but one whole value
-    before the comma leaves element 1 something other than the seal.
+    array closed by its own hash, ``[line, {seal}]``: anything but one whole
+    value before the comma leaves element 1 something other than the seal. Of the
+    line only ``Event`` is built; the rest is checked and passed over. Lines
+    without an ``Event`` value are looked at again: they are no object, or the
+    key is absent, or its value is null.
     """
     text, seal = F.col("_text"), F.col("_seal")
-    sealed = F.concat(F.lit("["), text, F.lit(","), seal, F.lit("]"))
+    sealed = _sealed(text, seal)
+    braced = F.startswith(text, F.lit("{"))
+    whole = "array<struct<Event:string,_seal:string>>"
     parsed = (
         lines.withColumn("_text", _stripped_if_needed(line))
-        .withColumn("_seal", F.xxhash64(text))
-        .withColumn("_parsed", F.try_parse_json(sealed))
+        .withColumn("_seal", F.xxhash64(text).cast("string"))
+        .withColumn("_parsed", F.when(braced, F.from_json(sealed, whole, _JSON)))
     )
-    whole = F.try_variant_get("_parsed", "$[1]", "long").eqNullSafe(seal)
-    event = F.try_variant_get("_parsed", "$[0].Event", "variant")
+    event = F.get("_parsed", 0)["Event"]
+    is_object = F.coalesce(F.get("_parsed", 1)["_seal"] == seal, F.lit(False))
+    keys = F.map_keys(F.from_json(text, "map<string,string>", _JSON))
+    other = F.from_json(sealed, "array<string>", _JSON)
+    is_value = F.coalesce(F.from_json(F.get(other, 1), "_seal string", _JSON)["_seal"] == seal, F.lit(False))
     verdict = (
         F.when(text == "", BLANK)
         .when(~F.is_valid_utf8(F.col(line)), NOT_UTF8)
-        .when(~whole, NOT_JSON)
-        .when(event.isNull(), MISSING_EVENT)
-        .otherwise(OK)
+        .when(is_object & event.isNotNull(), OK)
+        .when(is_object, F.when(F.array_contains(keys, "Event"), OK).otherwise(MISSING_EVENT))
+        .when(~braced & is_value, MISSING_EVENT)
+        .otherwise(NOT_JSON)
     )
-    name = F.try_variant_get("_parsed", "$[0].Event", "string")
-    judged = computed_once(parsed, verdict=verdict, event=F.when(verdict == OK, name))
+    judged = computed_once(parsed, verdict=verdict, event=F.when(verdict == OK, event))
     return judged.drop("_text", "_seal", "_parsed")
 
 
