@@ -30,6 +30,37 @@ def test_saved_catalog_omits_nulls_and_sorts_keys(spark, tmp_path):
     assert [r.id for r in catalog.load_catalog(spark, path).collect()] == ["a"]
 
 
+def test_a_loaded_catalog_is_saved_where_it_was(spark, tmp_path):
+    path = str(tmp_path / "catalog")
+    catalog.save_catalog(entries(spark, "a", unknown="kept", path="x"), path)
+    loaded = catalog.load_catalog(spark, path)
+    catalog.save_catalog(catalog.append_entries(loaded, entries(spark, "b")), path)
+    rows = {r.id: r for r in catalog.load_catalog(spark, path).collect()}
+    assert set(rows) == {"a", "b"} and rows["a"].unknown == "kept"
+    fired = spark.createDataFrame([("b", ["SKEW"])], "id string, fired array<string>")
+    catalog.save_catalog(catalog.enrich(catalog.load_catalog(spark, path), fired, "v1"), path)
+    rows = {r.id: r for r in catalog.load_catalog(spark, path).collect()}
+    assert rows["b"].fires_detectors == ["SKEW"] and rows["a"].unknown == "kept"
+
+
+def test_a_failed_save_leaves_the_old_catalog(spark, tmp_path):
+    path = tmp_path / "catalog"
+    catalog.save_catalog(entries(spark, "a"), str(path))
+    broken = catalog.load_catalog(spark, str(path)).withColumn("path", F.raise_error(F.lit("no")).cast("string"))
+    with pytest.raises(Exception, match="no"):
+        catalog.save_catalog(broken, str(path))
+    assert [r.id for r in catalog.load_catalog(spark, str(path)).collect()] == ["a"]
+    # Cut short between the two renames.
+    path.rename(tmp_path / "catalog.previous")
+    assert [r.id for r in catalog.load_catalog(spark, str(path)).collect()] == ["a"]
+
+
+def test_an_emptied_folder_is_no_catalog(spark, tmp_path):
+    (tmp_path / "catalog").mkdir()
+    with pytest.raises(FileNotFoundError):
+        catalog.load_catalog(spark, str(tmp_path / "catalog"))
+
+
 def test_append_skips_or_raises_on_duplicates(spark):
     old, new = entries(spark, "a", "b"), entries(spark, "b", "c")
     assert sorted(r.id for r in catalog.append_entries(old, new).collect()) == ["a", "b", "c"]

@@ -53,10 +53,14 @@ def minor_line(version: str | Column) -> Column:
 
 
 def version_parts(version: str | Column) -> Column:
-    """``a.b.c`` as a struct, which compares like the version does."""
+    """``a.b.c`` as a struct, which compares like the version does; a part that is
+    absent or no 64-bit number is null."""
     parts = F.split(col(version), r"\.")
     return F.struct(
-        *[parts[i].cast("int").alias(n) for i, n in enumerate(("major", "minor", "patch"))]
+        *[
+            F.get(parts, F.lit(i)).try_cast("long").alias(n)
+            for i, n in enumerate(("major", "minor", "patch"))
+        ]
     )
 
 

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+from uuid import uuid4
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from tracewright.functions.text import current_tag, path_parts, stem, tag_date
 from tracewright.operators.skew import salted_join
+from tracewright.session import hadoop_path
 from tracewright.sources.layout import log_relpath
 
 # Field names and types of a catalog entry, in JSON key order.
@@ -22,21 +25,50 @@ SELF_GENERATED, EXTERNAL = "self-generated", "external"
 ACCEPTED, KNOWN, INVALID, DUPLICATE = "accepted", "known", "invalid", "duplicate"
 
 
+_PREVIOUS = ".previous"
+
+
 def load_catalog(spark: SparkSession, path: str, json_array: bool = False) -> DataFrame:
-    """A catalog stored as JSON lines, or as one JSON array; a path that does
-    not exist is an empty catalog."""
-    reader = spark.read.schema(CATALOG_SCHEMA).option("multiLine", str(json_array).lower())
-    try:
-        return reader.json(path)
-    except AnalysisException as exc:
-        if exc.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], CATALOG_SCHEMA)
+    """A catalog stored as JSON lines, or as one JSON array; a path that does not
+    exist is an empty catalog, unless a save was cut short: then the catalog it was
+    replacing is read. A folder without a finished catalog raises. Fields that
+    ``CATALOG_SCHEMA`` does not name are kept, with the types found."""
+    filesystem, place = hadoop_path(spark, path)
+    if not filesystem.exists(place):
+        path += _PREVIOUS
+        filesystem, place = hadoop_path(spark, path)
+        if not filesystem.exists(place):
+            return spark.createDataFrame([], CATALOG_SCHEMA)
+    if filesystem.getFileStatus(place).isDirectory() and not len(filesystem.listStatus(place)):
+        raise FileNotFoundError(f"{path} holds no catalog; it was emptied or never finished")
+    options = {"multiLine": str(json_array).lower()}
+    known = StructType.fromDDL(CATALOG_SCHEMA)
+    found = spark.read.options(**options).json(path).schema
+    further = [field for field in found.fields if field.name not in known.names]
+    return spark.read.options(**options).schema(StructType(known.fields + further)).json(path)
 
 
 def save_catalog(entries: DataFrame, path: str) -> None:
-    """Overwrite the catalog with JSON lines; null fields are left out."""
-    entries.select(*sorted(entries.columns)).write.mode("overwrite").json(path)
+    """Replace the catalog at ``path`` with JSON lines; null fields are left out.
+
+    ``entries`` may read ``path``: the new catalog is written beside it and swapped
+    in. Until then, and if the swap is cut short, the old one can be loaded.
+    """
+    spark = entries.sparkSession
+    fresh = f"{path}.{uuid4().hex}"
+    entries.select(*sorted(entries.columns)).write.json(fresh)
+    filesystem, place = hadoop_path(spark, path)
+    before = hadoop_path(spark, path + _PREVIOUS)[1]
+    if filesystem.exists(place):
+        filesystem.delete(before, True)
+        _renamed(filesystem, place, before)
+    _renamed(filesystem, hadoop_path(spark, fresh)[1], place)
+    filesystem.delete(before, True)
+
+
+def _renamed(filesystem, source, target) -> None:
+    if not filesystem.rename(source, target):
+        raise OSError(f"cannot rename {source.toString()} to {target.toString()}")
 
 
 def entry_json(entries: DataFrame, ordinal: str) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tracewright.functions.draws import uniform
 from tracewright.operators.skew import replicate, with_salt
-from tracewright.session import broadcast_limit, planned_bytes, task_count
+from tracewright.session import broadcast_limit, planned_bytes, staged, task_count
 
 # Share of rows on the injected hot key, default table sizes.
 HOT_SHARE = 0.8
@@ -200,10 +200,12 @@ def run_workload(
     else:
         joined = workload_join(fact, dimensions, ["row_id"])
     write_output(joined, output, table_format)
-    if second_action == "reread":
-        return key_counts(fact)
-    if second_action == "count":
-        return row_count(fact)
+    again = {"reread": key_counts, "count": row_count}.get(second_action)
+    found = None if again is None else staged(again(fact), "second-action")
+    if persist_mode != "none":
+        fact.unpersist()
+    if found is not None:
+        return found
     if table_format == "iceberg":
         return fact.sparkSession.table(output)
     return fact.sparkSession.read.format(table_format).load(output)

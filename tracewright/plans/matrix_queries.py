@@ -11,8 +11,8 @@ from tracewright.sources import reports
 
 # Each part is a release; the newest per line is that line's pin.
 TRIPLES = """
-WITH triples AS (SELECT p_partkey, (3 + p_partkey % 2)::INTEGER AS major,
-  ((p_partkey // 2) % 5)::INTEGER AS minor, (p_size % 20)::INTEGER AS patch FROM part),
+WITH triples AS (SELECT p_partkey, (3 + p_partkey % 2)::BIGINT AS major,
+  ((p_partkey // 2) % 5)::BIGINT AS minor, (p_size % 20)::BIGINT AS patch FROM part),
 pins AS (SELECT major::VARCHAR || '.' || minor::VARCHAR AS line,
   major::VARCHAR || '.' || minor::VARCHAR || '.' || max(patch)::VARCHAR AS version
   FROM triples GROUP BY major, minor)
@@ -338,7 +338,22 @@ def config_diff(spark: SparkSession, folder: str) -> DataFrame:
     return confs.exploded(merged_confs(spark, folder), diff)
 
 
-@query("partition_profile")
+PROFILED = 12
+
+
+@query(
+    "partition_profile",
+    f"""
+SELECT count(*) AS n_rows, {PROFILED}::BIGINT AS n_partitions, {PROFILED - 1}::BIGINT AS last_partition
+FROM lineitem
+""",
+)
 def partition_profile(spark: SparkSession, folder: str) -> DataFrame:
-    keys = table(spark, folder, "lineitem").select("l_orderkey")
-    return partitions.partition_profile(keys)
+    """What holds of every profile: all rows are seen once, and the partitions
+    are numbered from 0 without a gap."""
+    keys = table(spark, folder, "lineitem").select("l_orderkey").repartition(PROFILED, "l_orderkey")
+    return partitions.partition_profile(keys).agg(
+        F.sum("n_rows").alias("n_rows"),
+        F.count_distinct("partition_id").alias("n_partitions"),
+        F.max("partition_id").alias("last_partition"),
+    )

@@ -39,18 +39,23 @@ def task_count(spark: SparkSession) -> int:
     return max(configured, spark.sparkContext.defaultParallelism)
 
 
-def _qualified(spark: SparkSession, path: str) -> str:
-    """``path`` with the scheme Spark would read it under, for readers in tasks."""
-    jvm = spark._jvm
-    found = jvm.org.apache.hadoop.fs.Path(path)
+def hadoop_path(spark: SparkSession, path: str):
+    """Spark's own filesystem for ``path``, and the path in it."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
     configuration = spark._jsparkSession.sessionState().newHadoopConf()
-    return found.getFileSystem(configuration).makeQualified(found).toString()
+    return found.getFileSystem(configuration), found
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme Spark would read it under, for readers in tasks."""
+    filesystem, found = hadoop_path(spark, path)
+    return filesystem.makeQualified(found).toString()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the scratch root that nothing has written to yet."""
     app = spark.sparkContext.applicationId
-    root = _qualified(spark, scratch_root(spark))
+    root = qualified(spark, scratch_root(spark))
     return f"{root}/tracewright/{app}/{name}-{uuid.uuid4().hex}"
 
 
@@ -77,9 +82,8 @@ def _ship_package(spark: SparkSession) -> None:
         for source in sorted(package.rglob("*.py")):
             out.write(source, source.relative_to(package.parent))
     uri = f"{scratch_path(spark, 'package')}.zip"
-    path = spark._jvm.org.apache.hadoop.fs.Path(uri)
-    configuration = spark._jsparkSession.sessionState().newHadoopConf()
-    stream = path.getFileSystem(configuration).create(path)
+    filesystem, path = hadoop_path(spark, uri)
+    stream = filesystem.create(path)
     stream.write(archive.getvalue())
     stream.close()
     spark.sparkContext.addPyFile(uri)

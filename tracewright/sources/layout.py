@@ -32,23 +32,24 @@ def event_files(files: DataFrame) -> DataFrame:
     index = F.regexp_extract("name", ROLLED_NAME, 1)
     return (
         files.where(F.col("is_file") & F.col("name").rlike(ROLLED_NAME))
-        .withColumn("idx", index.cast("long"))
+        .withColumn("idx", index.try_cast("long"))
         .withColumn("codec", codec_of("name"))
     )
 
 
 def rolling_dir_check(files: DataFrame) -> DataFrame:
     """Per directory: file count, index range, whether the indexes are exactly
-    ``1..k``, whether a marker exists, the codecs, and the first ``error``."""
+    ``1..k``, whether a marker exists, the codecs, and the first ``error``. An index
+    beyond 64 bits is none."""
     is_event = F.col("is_file") & F.col("name").rlike(ROLLED_NAME)
-    idx = F.when(is_event, F.regexp_extract("name", ROLLED_NAME, 1).cast("long"))
+    idx = F.when(is_event, F.regexp_extract("name", ROLLED_NAME, 1).try_cast("long"))
     codec = F.when(is_event, codec_of("name"))
     # Copies of one index collapse first, so no directory needs a distinct pass.
     by_index = (
         files.withColumns({"idx": idx, "codec": codec})
         .groupBy("log_id", "idx")
         .agg(
-            F.count("idx").alias("n"),
+            F.count_if(is_event).alias("n"),
             F.bool_or(F.startswith(F.col("name"), F.lit(MARKER_PREFIX))).alias("marker"),
             *[F.bool_or(F.col("codec") == c).alias(f"_{c}") for c in STORED_CODECS],
         )

@@ -179,8 +179,8 @@ def block_updates(lines: DataFrame, order: str = "seq") -> DataFrame:
         .where(block.rlike(pattern))
         .select(
             "log_id",
-            F.regexp_extract(block, pattern, 1).cast("long").alias("rdd_id"),
-            F.regexp_extract(block, pattern, 2).cast("long").alias("partition"),
+            F.regexp_extract(block, pattern, 1).try_cast("long").alias("rdd_id"),
+            F.regexp_extract(block, pattern, 2).try_cast("long").alias("partition"),
             F.col(order).alias("seq"),
             _flag(f"{info}.`Storage Level`.`Use Memory`").alias("in_memory"),
             _flag(f"{info}.`Storage Level`.`Use Disk`").alias("on_disk"),
@@ -199,7 +199,7 @@ def file_scans(lines: DataFrame) -> DataFrame:
 def applications(lines: DataFrame) -> DataFrame:
     """One row per log: start and end of its application, ``n_ends`` end events.
     Logs without any application event are kept."""
-    stamp = F.get_json_object("value", "$.Timestamp").cast("long")
+    stamp = F.get_json_object("value", "$.Timestamp").try_cast("long")
     if "kind" in lines.columns:
         # All logs from their id column alone; texts of application events only.
         nothing = F.lit(None)
