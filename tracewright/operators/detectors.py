@@ -12,8 +12,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tracewright.operators.quantiles import grouped_quantiles, quantiles_of_counts, value_counts
-from tracewright.operators.skew import salted_join
+from tracewright.operators.quantiles import grouped_quantiles
+from tracewright.session import staged
 from tracewright.sources.tables import LogTables
 
 STAGE = ("log_id", "stage_id", "stage_attempt")
@@ -93,15 +93,15 @@ def detect_skew(
 def detect_straggler(tasks: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:
     """STRAG: share of a stage's tasks far above its median, and the time they
     waste as a share of all task time of the log."""
-    counts = value_counts(tasks.where(_succeeded()), STAGE, "duration_ms")
-    medians = quantiles_of_counts(counts, STAGE, "duration_ms", {"median": 0.5})
-    joined = salted_join(counts, medians, STAGE, ["duration_ms"])
+    timed = tasks.where(_succeeded() & F.col("duration_ms").isNotNull())
+    # One row a stage: Spark broadcasts it if its size allows, else splits hot stages.
+    medians = staged(grouped_quantiles(timed, STAGE, "duration_ms", {"median": 0.5}), "medians")
+    joined = timed.join(medians.select(*STAGE, "median"), list(STAGE))
     late = (F.col("median") > 0) & (F.col("duration_ms") > t.straggler_factor * F.col("median"))
-    wasted = F.col("n") * (F.col("duration_ms") - F.col("median"))
     per_stage = joined.groupBy(*STAGE).agg(
-        F.sum("n").alias("n_tasks"),
-        F.sum(F.when(late, F.col("n")).otherwise(0)).alias("n_stragglers"),
-        F.sum(F.when(late, wasted).otherwise(0.0)).alias("waste_ms"),
+        F.count("*").alias("n_tasks"),
+        F.count_if(late).alias("n_stragglers"),
+        F.sum(F.when(late, F.col("duration_ms") - F.col("median")).otherwise(0.0)).alias("waste_ms"),
     )
     totals = tasks.groupBy("log_id").agg(F.sum("duration_ms").alias("log_ms"))
     share = F.col("n_stragglers") / F.col("n_tasks")

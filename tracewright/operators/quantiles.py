@@ -8,6 +8,8 @@ from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tracewright.session import staged
+
 # Values share a bucket when their leading 13 bits agree, so a group has at
 # most 4096 buckets per power of two whatever its row count.
 _BUCKET_BITS = 12
@@ -22,29 +24,22 @@ def _bucket(value: str) -> Column:
     return F.coalesce(bucket, F.lit(0).cast("long"))
 
 
-def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Rows per distinct value of each group: ``keys, value, n``.
-
-    Rows with a null key or value belong to no group. They are filtered here,
-    before any join would: then all uses of the counts have the same plan, and
-    Spark computes and shuffles them once.
-    """
-    present = reduce(and_, [F.col(c).isNotNull() for c in (*keys, value)])
-    return df.where(present).groupBy(*keys, value).agg(F.count("*").alias("n"))
-
-
-def quantiles_of_counts(
-    counts: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float]
+def grouped_quantiles(
+    df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float]
 ) -> DataFrame:
-    """Interpolated quantiles of :func:`value_counts`: ``keys, n_values`` and one
-    column per entry of ``probs`` (name to probability).
-
-    ``value`` must be a non-negative integer. A first pass ranks value buckets,
-    a second ranks values inside the few buckets that hold a wanted rank; no
-    task sees a whole group.
+    """Interpolated quantiles per group: ``keys, n_values`` and one column per entry
+    of ``probs`` (name to probability).
+
+    ``value`` must be a non-negative integer; rows with a null key or value belong to
+    no group. Rows are counted per value bucket first, which combines map-side. The
+    few buckets that hold a wanted rank are written out: their known size lets Spark
+    broadcast them to a second scan if they are few, which leaves only rows of those
+    buckets to be counted by value and ranked. No task sees a whole group, and the
+    rows as a whole are not shuffled.
     """
     keys = list(keys)
-    counts = counts.withColumn("_bucket", _bucket(value))
+    present = reduce(and_, [F.col(c).isNotNull() for c in (*keys, value)])
+    rows = df.where(present).select(*keys, value, _bucket(value).alias("_bucket"))
     by_key = Window.partitionBy(*keys)
     upto_bucket = by_key.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
     wanted = [
@@ -60,8 +55,8 @@ def quantiles_of_counts(
         (F.col(r) >= F.col("_before")) & (F.col(r) < F.col("_upto")) for r in rank_names
     ]
     buckets = (
-        counts.groupBy(*keys, "_bucket")
-        .agg(F.sum("n").alias("_n"))
+        rows.groupBy(*keys, "_bucket")
+        .agg(F.count("*").alias("_n"))
         .withColumn("_upto", F.sum("_n").over(upto_bucket))
         .withColumn("n_values", F.sum("_n").over(by_key))
         .withColumn("_before", F.col("_upto") - F.col("_n"))
@@ -69,14 +64,20 @@ def quantiles_of_counts(
         .where(reduce(or_, holds_rank))
         .drop("_n", "_upto")
     )
+    buckets = staged(buckets, "buckets")
+    carried = ["_before", "n_values", *rank_names]
+    counts = (
+        rows.join(buckets, [*keys, "_bucket"])
+        .groupBy(*keys, "_bucket", value)
+        .agg(F.count("*").alias("n"), *[F.first(c).alias(c) for c in carried])
+    )
     in_bucket = (
         Window.partitionBy(*keys, "_bucket")
         .orderBy(value)
         .rowsBetween(Window.unboundedPreceding, 0)
     )
     ranked = (
-        counts.join(buckets, [*keys, "_bucket"])
-        .withColumn("_upto", F.col("_before") + F.sum("n").over(in_bucket))
+        counts.withColumn("_upto", F.col("_before") + F.sum("n").over(in_bucket))
         .withColumn("_before", F.col("_upto") - F.col("n"))
     )
 
@@ -99,10 +100,3 @@ def quantiles_of_counts(
         .select(*keys, "n_values", *[interpolated(name, p) for name, p in probs.items()])
     )
 
-
-def grouped_quantiles(
-    df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float]
-) -> DataFrame:
-    """Exact interpolated quantiles of ``value`` per group; see
-    :func:`quantiles_of_counts`."""
-    return quantiles_of_counts(value_counts(df, keys, value), keys, value, probs)
