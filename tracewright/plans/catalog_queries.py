@@ -140,19 +140,29 @@ def new_entries(spark: SparkSession, folder: str) -> DataFrame:
 KNOWN = "SELECT 'run-' || doc_id::VARCHAR FROM labels"
 
 
-@query(
-    "catalog_append",
-    f"""
+APPENDED = f"""
 SELECT DISTINCT 'run-' || doc_id::VARCHAR AS id, 'old/run-' || doc_id::VARCHAR AS path FROM labels
 UNION ALL
 SELECT 'run-' || doc_id::VARCHAR, 'new/run-' || doc_id::VARCHAR FROM documents
 WHERE 'run-' || doc_id::VARCHAR NOT IN ({KNOWN})
-""",
-)
+"""
+
+
+@query("catalog_append", APPENDED)
 def catalog_append(spark: SparkSession, folder: str) -> DataFrame:
     return catalog.append_entries(labelled_entries(spark, folder), new_entries(spark, folder))
 
 
+@query("catalog_saved", APPENDED)
+def catalog_saved(spark: SparkSession, folder: str) -> DataFrame:
+    """The same through files: saved, loaded, appended to and saved in its place."""
+    path = scratch_path(spark, "catalog")
+    catalog.save_catalog(labelled_entries(spark, folder), path)
+    known = catalog.load_catalog(spark, path)
+    catalog.save_catalog(catalog.append_entries(known, new_entries(spark, folder)), path)
+    return catalog.load_catalog(spark, path).select("id", "path")
+
+
 @query(
     "catalog_duplicates",
     f"""
