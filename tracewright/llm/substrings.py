@@ -176,15 +176,15 @@ def _context_rows(texts: DataFrame, table: np.ndarray, least: int) -> DataFrame:
 
 
 def transform(symbols: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Suffix order, right to ``depth`` symbols at least, and the Burrows-Wheeler
-    transform that belongs to it."""
+    """Suffix order, right to ``depth`` symbols at least (in any order beyond), and
+    the Burrows-Wheeler transform that belongs to it."""
     count = len(symbols)
     padded = np.concatenate((symbols, np.zeros(7, symbols.dtype))).astype(np.int64)
     keys = np.zeros(count, np.int64)
     for n in range(7):
         keys = keys << 9 | padded[n : n + count]
     known = 7
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     while True:
         found = keys[order]
         new = np.concatenate(([True], found[1:] != found[:-1]))
@@ -194,7 +194,7 @@ def transform(symbols: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
         rank[order] = np.cumsum(new)
         rank[count:] = 0
         keys = rank[:count] * (count + 1) + rank[known : known + count]
-        order = np.argsort(keys, kind="stable")
+        order = np.argsort(keys)
         known *= 2
     return order, symbols[order - 1]
 
