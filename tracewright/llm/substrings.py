@@ -37,6 +37,7 @@ from hashlib import blake2b, sha256
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
@@ -258,75 +259,101 @@ _JUDGED = pa.schema(
 
 
 def _judge(rows: DataFrame, least: int) -> DataFrame:
-    """From context rows, each anchor's parts together and in order: for the first
-    occurrence of each context the runs of starts that repeat; and one row with a
-    ``digest`` for each string of a split anchor that is first in its part."""
-
-    def block(groups: list[tuple[bool, list]]) -> pa.RecordBatch:
-        out: list[list] = [[] for _ in _JUDGED]
-
-        def put(*cells) -> None:
-            for column, cell in zip(out, cells):
-                column.append(cell)
-
-        contexts, docs, lows, split = [], [], [], []
-        for several, classes in groups:
-            if len(classes) == 1 and not several:
-                put(classes[0][0], classes[0][1], [], [], None)
-                continue
-            for doc, low, bytes_ in classes:
-                contexts.append(bytes_)
-                docs.append(doc)
-                lows.append(low)
-                split.append(several)
-        if contexts:
-            lows_ = np.array(lows, np.int64)
-            context, start, repeated = repeats(contexts, np.array(docs, np.int64), lows_, least)
-            edge = np.concatenate(([True], context[1:] != context[:-1]))
-            begin = np.flatnonzero(repeated & (edge | ~np.concatenate(([False], repeated[:-1]))))
-            last = np.concatenate((edge[1:], [True]))
-            end = np.flatnonzero(repeated & (last | ~np.concatenate((repeated[1:], [False]))))
-            cut = np.searchsorted(context[begin], np.arange(len(contexts) + 1))
-            begins, ends = start[begin].tolist(), (start[end] + least).tolist()
-            for n, low in enumerate(lows):
-                span = slice(cut[n], cut[n + 1])
-                put(docs[n], low, begins[span], ends[span], None)
-            for at in np.flatnonzero(~repeated & np.array(split)[context]).tolist():
-                n, offset = int(context[at]), int(start[at])
-                digest = blake2b(contexts[n][offset : offset + least], digest_size=16).digest()
-                put(docs[n], lows[n] + offset, None, None, digest)
-        return record_batch(_JUDGED, out)
+    """From context rows, each anchor's parts together and each context's first
+    occurrence before its others: for the first occurrences the runs of starts that
+    repeat; and one row with a ``digest`` for each string of a split anchor that is
+    first in its part."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        groups: list[tuple[bool, list]] = []
-        group: dict[int, tuple[int, int, bytes]] = {}
-        current, current_parts, size = None, 1, 0
+        held = None
         for batch in batches:
-            for anchor, part, parts, context, doc, low, bytes_ in zip(
-                *(c.to_pylist() for c in batch.columns)
-            ):
-                if (anchor, part) != current:
-                    if group:
-                        groups.append((current_parts > 1, list(group.values())))
-                        group = {}
-                    if size > BLOCK_BYTES:
-                        yield block(groups)
-                        groups, size = [], 0
-                    current, current_parts = (anchor, part), parts
-                before = group.get(context)
-                if before is None or (doc, low) < before[:2]:
-                    group[context] = doc, low, bytes_
-                    size += len(bytes_) if before is None else 0
-        if group:
-            groups.append((current_parts > 1, list(group.values())))
-        if groups:
-            yield block(groups)
+            table = pa.Table.from_batches([batch])
+            if held is not None:
+                table = pa.concat_tables([held, table])
+            edges = _changes(table, "anchor", "part")
+            # The last group may go on in the next batch; a group has about PART rows.
+            cut = int(edges[-1]) if len(edges) > 1 else 0
+            if cut:
+                yield from _judged(table.slice(0, cut), least)
+            held = table.slice(cut)
+        if held is not None and len(held):
+            yield from _judged(held, least)
 
     return map_in_arrow(
         rows, task, "doc long, low long, starts array<int>, ends array<int>, digest binary"
     )
 
 
+def _changes(table: pa.Table, *names: str) -> np.ndarray:
+    """Rows at which a new combination of the columns begins."""
+    new = np.zeros(len(table), bool)
+    new[:1] = True
+    for name in names:
+        column = table[name].to_numpy()
+        new[1:] |= column[1:] != column[:-1]
+    return np.flatnonzero(new)
+
+
+def _judged(table: pa.Table, least: int) -> Iterator[pa.RecordBatch]:
+    """As :func:`_judge`, of whole groups."""
+    firsts = table.take(pa.array(_changes(table, "anchor", "part", "context")))
+    group = _changes(firsts, "anchor", "part")
+    classes = np.diff(np.append(group, len(firsts)))
+    several = firsts["parts"].to_numpy() > 1
+    alone = np.repeat(classes == 1, classes) & ~several
+    docs, lows = firsts["doc"].to_numpy(), firsts["low"].to_numpy()
+    if alone.any():
+        none = np.empty(0, np.int64)
+        yield _runs(docs[alone], lows[alone], np.zeros(alone.sum() + 1, np.int64), none, none)
+    left = np.flatnonzero(~alone)
+    if not len(left):
+        return
+    # Blocks of whole groups.
+    sizes = pc.binary_length(firsts["bytes"]).to_numpy()[left]
+    number = np.repeat(np.arange(len(group)), classes)[left]
+    filled = (np.cumsum(sizes) - sizes) // BLOCK_BYTES
+    begins = np.flatnonzero(np.concatenate(([True], number[1:] != number[:-1])))
+    block = np.repeat(filled[begins], np.diff(np.append(begins, len(left))))
+    cuts = np.flatnonzero(np.concatenate(([True], block[1:] != block[:-1])))
+    for low, high in zip(cuts, np.append(cuts[1:], len(left))):
+        rows = left[low:high]
+        contexts = firsts["bytes"].take(pa.array(rows)).to_pylist()
+        yield from _compared(contexts, docs[rows], lows[rows], several[rows], least)
+
+
+def _compared(
+    contexts: list[bytes], docs: np.ndarray, lows: np.ndarray, split: np.ndarray, least: int
+) -> Iterator[pa.RecordBatch]:
+    context, start, repeated = repeats(contexts, docs, lows, least)
+    edge = np.concatenate(([True], context[1:] != context[:-1]))
+    last = np.concatenate((edge[1:], [True]))
+    begin = np.flatnonzero(repeated & (edge | ~np.concatenate(([False], repeated[:-1]))))
+    end = np.flatnonzero(repeated & (last | ~np.concatenate((repeated[1:], [False]))))
+    cut = np.searchsorted(context[begin], np.arange(len(contexts) + 1))
+    yield _runs(docs, lows, cut, start[begin], start[end] + least)
+    unique = np.flatnonzero(~repeated & split[context])
+    if len(unique):
+        owner, offset = context[unique], start[unique]
+        digests = [
+            blake2b(contexts[n][at : at + least], digest_size=16).digest()
+            for n, at in zip(owner.tolist(), offset.tolist())
+        ]
+        nothing = [None] * len(unique)
+        yield record_batch(_JUDGED, [docs[owner], lows[owner] + offset, nothing, nothing, digests])
+
+
+def _runs(docs, lows, cuts: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.RecordBatch:
+    offsets = pa.array(cuts.astype(np.int32))
+    columns = [
+        pa.array(docs),
+        pa.array(lows),
+        pa.ListArray.from_arrays(offsets, pa.array(starts.astype(np.int32))),
+        pa.ListArray.from_arrays(offsets, pa.array(ends.astype(np.int32))),
+        pa.nulls(len(docs), pa.binary()),
+    ]
+    return pa.RecordBatch.from_arrays(columns, schema=_JUDGED)
+
+
 def _across_parts(judged: DataFrame) -> DataFrame:
     """Repeats that only meet across the parts of a split anchor: ``doc, start``."""
     strings = judged.where("digest is not null").select("digest", "doc", "low")
@@ -339,25 +366,33 @@ def _across_parts(judged: DataFrame) -> DataFrame:
     return strings.join(first, "digest").where(later).select("doc", "low")
 
 
-def _spans(raw: bytes, known: dict, more: list[int], table: np.ndarray, least: int) -> list[list[int]]:
-    """Maximal runs of removed bytes."""
+def _spans(begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Maximal runs covered by the intervals."""
+    order = np.argsort(begins, kind="stable")
+    begins, reach = begins[order], np.maximum.accumulate(ends[order])
+    new = np.flatnonzero(np.concatenate(([True], begins[1:] > reach[:-1])))
+    return begins[new], reach[np.append(new[1:], len(reach)) - 1]
+
+
+def _removed(
+    raw: bytes, firsts: pa.StructArray | None, more: list[int], table: np.ndarray, least: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Maximal runs of removed bytes: whole contexts that are no first occurrence,
+    the repeating runs of those that are, and ``more`` single strings."""
     values, low, high = anchors(raw, least)
     on = _marked(table, values)
-    pieces = [[at, at + least] for at in more]
-    for begin, end in zip(low[on].tolist(), (high[on] + least).tolist()):
-        runs = known.get(begin)
-        if runs is None:
-            pieces.append([begin, end])
-        else:
-            pieces.extend([begin + s, begin + e] for s, e in runs)
-    pieces.sort()
-    merged: list[list[int]] = []
-    for begin, end in pieces:
-        if merged and begin <= merged[-1][1]:
-            merged[-1][1] = max(merged[-1][1], end)
-        else:
-            merged.append([begin, end])
-    return merged
+    low, high = low[on], high[on] + least
+    begins, ends = [np.array(more, np.int64)], [np.array(more, np.int64) + least]
+    if firsts is not None and len(firsts):
+        known = firsts.field("low").to_numpy(zero_copy_only=False)
+        repeat = ~np.isin(low, known)
+        low, high = low[repeat], high[repeat]
+        counts = pc.list_value_length(firsts.field("starts")).to_numpy(zero_copy_only=False)
+        shift = np.repeat(known, counts)
+        begins.append(pc.list_flatten(firsts.field("starts")).to_numpy() + shift)
+        ends.append(pc.list_flatten(firsts.field("ends")).to_numpy() + shift)
+    begins, ends = np.concatenate([low, *begins]), np.concatenate([high, *ends])
+    return _spans(begins, ends) if len(begins) else (begins, ends)
 
 
 _RESULT = pa.schema(
@@ -378,10 +413,8 @@ def _cut(joined: DataFrame, table: np.ndarray, least: int) -> DataFrame:
             out: list[list] = [[] for _ in _RESULT]
             for key, raw, firsts, more in zip(*batch.columns):
                 raw = raw.as_py() or b""
-                known = {
-                    f["low"]: list(zip(f["starts"], f["ends"])) for f in firsts.as_py() or ()
-                }
-                spans = _spans(raw, known, more.as_py() or [], table, least)
+                begins, ends = _removed(raw, firsts.values, more.as_py() or [], table, least)
+                spans = list(zip(begins.tolist(), ends.tolist()))
                 kept, at = [], 0
                 for begin, end in spans:
                     kept.append(raw[at:begin])
@@ -428,7 +461,9 @@ def remove_repeats(
         parts.alias("parts"),
         "context", "doc", "low", "bytes",
     )
-    dealt = dealt.repartition("anchor", "part").sortWithinPartitions("anchor", "part")
+    dealt = dealt.repartition("anchor", "part").sortWithinPartitions(
+        "anchor", "part", "context", "doc", "low"
+    )
     judged = hold(_judge(dealt, least), "judged")
     firsts = judged.where("digest is null").select(
         "doc", F.struct("low", "starts", "ends").alias("first"), F.lit(None).cast("long").alias("more")
