@@ -27,6 +27,7 @@ reported.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -54,13 +55,16 @@ UNITS = frozenset(
 _NUMBER = regex.compile(r"[+-]?[$€£]?\d[\d.,:/]*%?$")
 _MEASURE = regex.compile(r"([+-]?[$€£]?\d[\d.,]*)(\p{L}+)$")
 _EDGE = regex.compile(r"^[^\p{L}\p{N}$€£+-]+|[^\p{L}\p{N}%]+$")
-_SPACES = str.maketrans(dict.fromkeys("\t\n\v\f\r", " "))
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _LAST = np.uint64(0xD6E8FEB86659FD93)
 
 
 def token(word: str) -> tuple[str, str]:
     """The token of a word and what its template shows; empty for no token."""
+    core = word.rstrip(".,;:!?")
+    if core.isalpha():
+        low = core.lower()
+        return low, "<name>" if core[0].isupper() else low
     core = _EDGE.sub("", word)
     low = core.lower()
     if not core:
@@ -76,64 +80,81 @@ def token(word: str) -> tuple[str, str]:
 
 
 class _Tokens(dict):
-    """Per word: hashes of its template and token, 1 for a plain token, 1 for a unit."""
-
-    def __missing__(self, word: str) -> tuple[int, int, int, int]:
-        low, shown = token(word)
-        found = self[word] = (
-            xxhash.xxh3_64_intdigest(shown) if low else 0,
-            xxhash.xxh3_64_intdigest(low) if low else 0,
-            int(shown == low),
-            int(low in UNITS),
-        )
-        return found
+    """A number for each word, and by number: the hashes of its template and token,
+    1 for a plain token, 1 for a unit. A word without a token has hash 0."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.grid = np.empty((0, 4), np.uint64)
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        return number
 
+    def complete(self) -> None:
+        rows = []
+        for word in islice(self, len(self.grid), None):
+            low, shown = token(word)
+            raw = xxhash.xxh3_64_intdigest(low) if low else 0
+            plain = shown == low
+            rows.append((raw if plain else xxhash.xxh3_64_intdigest(shown), raw, plain, low in UNITS))
+        if rows:
+            self.grid = np.concatenate((self.grid, np.array(rows, np.uint64)))
 
-_UNIT = xxhash.xxh3_64_intdigest("<unit>")
-_NUMBERS = tuple(xxhash.xxh3_64_intdigest(n) for n in ("<number>",))
+
+_UNIT = np.uint64(xxhash.xxh3_64_intdigest("<unit>"))
+_NUMBER_HASH = np.uint64(xxhash.xxh3_64_intdigest("<number>"))
 
 
 class Canonical:
-    """The tokens of one text, as arrays."""
+    """The tokens of some texts end to end, as arrays."""
 
-    def __init__(self, text: str | None, known: _Tokens) -> None:
-        words = text.translate(_SPACES).split(" ") if text else []
-        found = [known[w] for w in words if w]
-        grid = np.array(found, np.uint64).reshape(-1, 4)
+    def __init__(self, texts: list[str | None], known: _Tokens) -> None:
+        self.words = [text.split() if text else [] for text in texts]
+        sizes = np.fromiter(map(len, self.words), np.int64, len(texts))
+        flat = np.fromiter(
+            map(known.__getitem__, chain.from_iterable(self.words)), np.int64, sizes.sum()
+        )
+        known.complete()
+        grid = known.grid[flat]
         real = grid[:, 1] != 0
-        self.words = [w for w in words if w]
-        self.index = np.flatnonzero(real)
+        #: Text, and place among its words, of each token.
+        self.text = np.repeat(np.arange(len(texts)), sizes)[real]
+        self.place = (np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes))[real]
+        self.counts = np.bincount(self.text, minlength=len(texts))
+        self.first = np.cumsum(self.counts) - self.counts
         grid = grid[real]
-        self.shown, self.raw = grid[:, 0].copy(), grid[:, 1]
-        after_number = np.zeros(len(grid), bool)
-        after_number[1:] = self.shown[:-1] == np.uint64(_NUMBERS[0])
-        unit = after_number & (grid[:, 3] == 1)
-        self.shown[unit] = np.uint64(_UNIT)
+        self.shown, self.raw = grid[:, 0].copy(), grid[:, 1].copy()
+        unit = grid[:, 3] == 1
+        unit[1:] &= (self.shown[:-1] == _NUMBER_HASH) & (self.text[1:] == self.text[:-1])
+        unit[:1] = False
+        self.shown[unit] = _UNIT
         self.literal = (grid[:, 2] == 1) & ~unit
 
-    def __len__(self) -> int:
-        return len(self.index)
-
-    def windows(self, width: int) -> np.ndarray:
-        """The hash of each window, by template or, with few literals, by token."""
-        count = len(self) - width + 1
-        if count < 1:
-            return np.empty(0, np.uint64)
+    def windows(self, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """Where windows start, and their hashes: by template or, with few literals,
+        by token."""
+        count = len(self.text) - width + 1
+        if count < 1 or width < 1:
+            return np.empty(0, np.int64), np.empty(0, np.uint64)
+        starts = np.flatnonzero(self.text[:count] == self.text[width - 1 :])
         shown = np.full(count, np.uint64(width))
         raw = np.full(count, np.uint64(width) + _LAST)
         for n in range(width):
-            shown = (shown ^ self.shown[n : n + count]) * _STEP
-            shown ^= shown >> np.uint64(29)
-            raw = (raw ^ self.raw[n : n + count]) * _STEP
-            raw ^= raw >> np.uint64(29)
+            for mixed, column in ((shown, self.shown), (raw, self.raw)):
+                mixed ^= column[n : n + count]
+                mixed *= _STEP
+                mixed ^= mixed >> np.uint64(29)
         total = np.concatenate(([0], np.cumsum(self.literal)))
         plain = total[width:] - total[:-width]
-        return np.where(plain >= min(LITERALS, width), shown, raw) * _LAST
+        hashes = np.where(plain >= min(LITERALS, width), shown, raw) * _LAST
+        return starts, hashes[starts]
 
     def slots(self, at: int, width: int) -> tuple[list[str], list[bool]]:
         """Tokens of a window, and which of them stand behind a placeholder."""
         span = slice(at, at + width)
-        tokens = [token(self.words[i])[0] for i in self.index[span].tolist()]
+        words = self.words[int(self.text[at])]
+        tokens = [token(words[i])[0] for i in self.place[span].tolist()]
         return tokens, (~self.literal[span]).tolist()
 
 
@@ -162,23 +183,28 @@ def _windows(texts: DataFrame, widths: list[int] | None, window: int, table: np.
         known = _Tokens()
         for keys, rows in chunks(batches):
             if len(known) > KEPT:
-                known.clear()
+                known = _Tokens()
+            rows = [None if key is None else text for key, text in zip(keys, rows)]
+            found = Canonical(rows, known)
+            wanted = widths
+            if widths is None:
+                wanted = sorted(set(np.minimum(found.counts, window).tolist()) - {0})
             out: list[list] = [[] for _ in _WINDOWS]
-            for key, text in zip(keys, rows):
-                if text is None or key is None:
-                    continue
-                found = Canonical(text, known)
-                for width in [min(window, len(found))] if widths is None else widths:
-                    hashes = found.windows(width) if width else np.empty(0, np.uint64)
-                    places = np.arange(len(hashes))
-                    if table is not None:
-                        places = places[_bit_set(table, hashes)]
-                    for at in places.tolist():
-                        tokens, slots = found.slots(at, width)
-                        value = int(hashes[at].view(np.int64))
-                        row = (key, width, value, at, tokens, slots, len(hashes))
-                        for column, cell in zip(out, row):
-                            column.append(cell)
+            for width in wanted:
+                starts, hashes = found.windows(width)
+                if widths is None:  # every text by its own width
+                    own = np.minimum(found.counts, window)[found.text[starts]] == width
+                    starts, hashes = starts[own], hashes[own]
+                if table is not None:
+                    on = _bit_set(table, hashes)
+                    starts, hashes = starts[on], hashes[on]
+                for at, value in zip(starts.tolist(), hashes.view(np.int64).tolist()):
+                    text = int(found.text[at])
+                    tokens, slots = found.slots(at, width)
+                    number = int(found.counts[text]) - width + 1
+                    row = (keys[text], width, value, at - int(found.first[text]), tokens, slots, number)
+                    for column, cell in zip(out, row):
+                        column.append(cell)
             yield record_batch(_WINDOWS, out)
 
     return map_in_arrow(texts, task, _WINDOW_TYPE)
