@@ -87,7 +87,10 @@ def _stretch_anchors(text: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarr
     place = (np.minimum(low[:starts], low[width - span : width - span + starts]) & _LOW).astype(np.int64)
     first = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
     last = np.concatenate((first[1:], [starts])) - 1
-    return hashes[place[first]], first, last
+    # Smallest hashes are small: spread them over all bits again.
+    values = hashes[place[first]] * _B
+    values ^= values >> np.uint64(32)
+    return values * _A, first, last
 
 
 def anchors(raw: bytes, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
