@@ -39,6 +39,24 @@ def test_inconsistent_slots_are_no_hit(spark):
     assert hits(spark, [swapped, torn], [(4, item)]) == [(0, 4, True)]
 
 
+def test_one_altered_slot_costs_its_windows_only(spark):
+    filler = "so the old men went down to the quiet sea and sang of the lost land until the sun was gone"
+    item = f"Alice saw the bridge {filler} and Alice came home with Bob when Alice was old"
+    texts = [
+        item.replace("with Bob", "with Alice"),  # two names become one
+        item.replace("Alice was", "Eve was"),  # one name becomes two
+        item.replace("Alice", "Mary").replace("Mary was", "Eve was"),
+        item.replace("Alice", "Mary"),
+    ]
+    assert hits(spark, texts, [(1, item)]) == [(0, 1, False), (1, 1, False), (2, 1, True), (3, 1, True)]
+
+
+def test_equal_numbers_may_become_different_ones(spark):
+    item = "he put 5 apples in a box and 5 pears in a bag and then went home again"
+    other = item.replace("5 apples", "3 apples").replace("5 pears", "7 pears")
+    assert hits(spark, [other], [(1, item)]) == [(0, 1, True)]
+
+
 def test_short_and_all_placeholder_items(spark):
     items = [(1, "what is water made of"), (2, "Alice Bob Carol Dave Eve Frank Grace Heidi Ivan"), (3, ""), (4, None)]
     texts = ["so What is, water made of?", "so what is water made of?", "Alice Bob Carol Dave Eve Frank Grace Heidi Ivan", "Many Other Names In A Long Row Of Nine Or More"]

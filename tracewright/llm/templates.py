@@ -4,16 +4,20 @@ Words lose their punctuation and become tokens; numbers, units after them and
 capitalised words become the placeholders of their type, everything else its lower
 case. A template window is ``WINDOW`` consecutive tokens (the whole item if it is
 shorter). Windows of documents and benchmark items with equal templates are joined
-by hash, and the tokens behind the placeholders are compared: along one alignment
-of a document with an item, each benchmark value must always stand against the same
-value of the document, and the other way round. So a question whose numbers or names
-were exchanged is found, and a passage that only has the same shape is not.
+by hash, and the tokens behind the placeholders are compared along one alignment of a
+document with an item. A name agrees where both sides show the same, or where the
+document's name is the one that most occurrences of the item's name show, and the
+item's name the one that most occurrences of the document's stand for; of equally
+frequent ones none is. Numbers and measures agree with any other. A window counts if
+all its names agree, so one altered name costs the windows that hold it and no others.
+So a question whose numbers or names were exchanged is found, and a passage that only
+has the same shape is not.
 
 A window with fewer than ``LITERALS`` plain tokens says too little by its template;
 it is compared by its own lower-case tokens instead, so none is left out.
 
-A document is contaminated by an item if consistent windows cover ``COVERED`` of the
-item's windows or more.
+A document is contaminated by an item if ``COVERED`` of the item's windows or more
+count.
 
 Before the join, tasks drop document windows whose hash is in no benchmark window,
 by a bit table of fixed size (``BITS``); however large the benchmark, that table does
@@ -26,6 +30,7 @@ reported.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from itertools import chain, islice
 
@@ -104,6 +109,7 @@ class _Tokens(dict):
 
 _UNIT = np.uint64(xxhash.xxh3_64_intdigest("<unit>"))
 _NUMBER_HASH = np.uint64(xxhash.xxh3_64_intdigest("<number>"))
+_NAME_HASH = np.uint64(xxhash.xxh3_64_intdigest("<name>"))
 
 
 class Canonical:
@@ -150,17 +156,18 @@ class Canonical:
         hashes = np.where(plain >= min(LITERALS, width), shown, raw) * _LAST
         return starts, hashes[starts]
 
-    def slots(self, at: int, width: int) -> tuple[list[str], list[bool]]:
-        """Tokens of a window, and which of them stand behind a placeholder."""
+    def slots(self, at: int, width: int) -> tuple[list[str], list[bool], list[bool]]:
+        """Tokens of a window, and which of them stand behind a placeholder, and behind
+        that of a name."""
         span = slice(at, at + width)
         words = self.words[int(self.text[at])]
         tokens = [token(words[i])[0] for i in self.place[span].tolist()]
-        return tokens, (~self.literal[span]).tolist()
+        return tokens, (~self.literal[span]).tolist(), (self.shown[span] == _NAME_HASH).tolist()
 
 
 _WINDOW_TYPE = (
     "id long, width int, hash long, place long, tokens array<string>, slots array<boolean>, "
-    "n_windows long"
+    "names array<boolean>, n_windows long"
 )
 _WINDOWS = pa.schema(
     [
@@ -170,6 +177,7 @@ _WINDOWS = pa.schema(
         ("place", pa.int64()),
         ("tokens", pa.list_(pa.string())),
         ("slots", pa.list_(pa.bool_())),
+        ("names", pa.list_(pa.bool_())),
         ("n_windows", pa.int64()),
     ]
 )
@@ -200,9 +208,9 @@ def _windows(texts: DataFrame, widths: list[int] | None, window: int, table: np.
                     starts, hashes = starts[on], hashes[on]
                 for at, value in zip(starts.tolist(), hashes.view(np.int64).tolist()):
                     text = int(found.text[at])
-                    tokens, slots = found.slots(at, width)
+                    place = at - int(found.first[text])
                     number = int(found.counts[text]) - width + 1
-                    row = (keys[text], width, value, at - int(found.first[text]), tokens, slots, number)
+                    row = (keys[text], width, value, place, *found.slots(at, width), number)
                     for column, cell in zip(out, row):
                         column.append(cell)
             yield record_batch(_WINDOWS, out)
@@ -228,6 +236,47 @@ def _bits(windows: DataFrame) -> np.ndarray:
     return table.view(np.uint8)
 
 
+_AGREEING = pa.schema(
+    [
+        ("doc_id", pa.int64()),
+        ("item_id", pa.int64()),
+        ("places", pa.list_(pa.int64())),
+        ("identical", pa.list_(pa.int64())),
+        ("n_windows", pa.int64()),
+    ]
+)
+
+
+def agreeing(windows: list[dict]) -> tuple[list[int], list[int]]:
+    """Of one alignment's windows, the item places of those whose names all agree, and
+    of those that are the item's own words."""
+    names = {(t["at"], t["b"], t["d"]) for w in windows for t in w["names"]}
+    votes = Counter((b, d) for _, b, d in names)
+    most: tuple[dict, dict] = ({}, {})
+    for pair, count in votes.items():
+        for side, of in zip(pair, most):
+            best = of.get(side, (0, None))[0]
+            if count >= best:
+                of[side] = (count, pair if count > best else None)
+    agreed = {p for p in votes if p[0] == p[1] or most[0][p[0]][1] == p == most[1][p[1]][1]}
+    places = {w["place"] for w in windows if all((t["b"], t["d"]) in agreed for t in w["names"])}
+    return sorted(places), sorted({w["place"] for w in windows if w["identical"]})
+
+
+def _agreeing(aligned: DataFrame) -> DataFrame:
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            docs, items, windows, numbers = (c.to_pylist() for c in batch.columns)
+            found = [agreeing(w) for w in windows]
+            yield record_batch(_AGREEING, [docs, items, [f[0] for f in found], [f[1] for f in found], numbers])
+
+    return map_in_arrow(
+        aligned.select("doc_id", "item_id", "windows", "n_windows"),
+        task,
+        "doc_id long, item_id long, places array<long>, identical array<long>, n_windows long",
+    )
+
+
 def contaminated(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -239,7 +288,7 @@ def contaminated(
     item_text_col: str = "text",
 ) -> DataFrame:
     """``doc_id, item_id, n_matched, n_windows, changed``: documents that hold an
-    item; ``changed`` if a slot differs from the item's."""
+    item; ``changed`` if a matched window has only other slot values than the item's."""
     items = hold(
         _windows(id_and_text(benchmark, item_col, item_text_col), None, window, None), "items"
     )
@@ -251,37 +300,45 @@ def contaminated(
     )
     side = items.select(
         F.col("id").alias("item_id"), "width", "hash", F.col("place").alias("item_place"),
-        "tokens", "slots", "n_windows",
+        "tokens", "slots", "names", "n_windows",
     )
     joined = near.join(side, ["width", "hash"])
     both = F.arrays_zip("tokens", "doc_tokens", "slots")
     # Equal hashes must be equal templates: plain tokens agree one by one.
     same = F.forall(both, lambda t: t.slots | (t.tokens == t.doc_tokens))
-    pairs = F.transform(
-        F.filter(both, lambda t: t.slots),
-        lambda t: F.struct(t.tokens.alias("b"), t.doc_tokens.alias("d")),
+    named = F.transform(
+        F.arrays_zip("tokens", "doc_tokens", "names"),
+        lambda t, n: F.struct(
+            (F.col("item_place") + n).alias("at"), t.tokens.alias("b"), t.doc_tokens.alias("d"), t.names.alias("n")
+        ),
+    )
+    names = F.transform(
+        F.filter(named, lambda t: t.n), lambda t: F.struct(t["at"].alias("at"), t.b.alias("b"), t.d.alias("d"))
+    )
+    window_at = F.struct(
+        F.col("item_place").alias("place"),
+        (F.col("tokens") == F.col("doc_tokens")).alias("identical"),
+        names.alias("names"),
     )
     aligned = (
         joined.where(same)
         .groupBy("doc_id", "item_id", (F.col("place") - F.col("item_place")).alias("shift"))
-        .agg(
-            F.collect_set("item_place").alias("places"),
-            F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"),
-            F.first("n_windows").alias("n_windows"),
-        )
+        .agg(F.collect_set(window_at).alias("windows"), F.first("n_windows").alias("n_windows"))
     )
-    count = F.size("pairs")
-    consistent = (count == F.size(F.array_distinct(F.col("pairs.b")))) & (
-        count == F.size(F.array_distinct(F.col("pairs.d")))
-    )
-    changed = F.exists("pairs", lambda p: p.b != p.d)
     found = (
-        aligned.where(consistent)
+        _agreeing(aligned)
         .groupBy("doc_id", "item_id")
         .agg(
-            F.size(F.array_distinct(F.flatten(F.collect_set("places")))).cast("long").alias("n_matched"),
+            F.array_distinct(F.flatten(F.collect_list("places"))).alias("places"),
+            F.array_distinct(F.flatten(F.collect_list("identical"))).alias("identical"),
             F.first("n_windows").alias("n_windows"),
-            F.min(changed).alias("changed"),
+        )
+        .select(
+            "doc_id",
+            "item_id",
+            F.size("places").cast("long").alias("n_matched"),
+            "n_windows",
+            (F.size("identical") < F.size("places")).alias("changed"),
         )
     )
     return found.where(F.col("n_matched") >= covered * F.col("n_windows"))
