@@ -57,6 +57,24 @@ def test_equal_numbers_may_become_different_ones(spark):
     assert hits(spark, [other], [(1, item)]) == [(0, 1, True)]
 
 
+def test_a_run_or_spread_edits_or_other_case_are_enough(spark):
+    item = prose(11, 59)
+    words = item.split()
+    short = prose(12, 30)
+    edited = short.split()
+    edited[9], edited[19] = "one", "two"
+    named = "Then Alice went to Rome with Bob and saw the old town near the river"
+    texts = [
+        prose(13, 40) + " " + " ".join(words[20:33]) + " " + prose(14, 40),
+        prose(13, 40) + " " + " ".join(words[20:32]) + " " + prose(14, 40),
+        " ".join(edited),
+        named.upper(),
+        named.lower(),
+    ]
+    found = hits(spark, texts, [(1, item), (2, short), (3, named)])
+    assert found == [(0, 1, False), (2, 2, False), (3, 3, False), (4, 3, False)]
+
+
 def test_short_and_all_placeholder_items(spark):
     items = [(1, "what is water made of"), (2, "Alice Bob Carol Dave Eve Frank Grace Heidi Ivan"), (3, ""), (4, None)]
     texts = ["so What is, water made of?", "so what is water made of?", "Alice Bob Carol Dave Eve Frank Grace Heidi Ivan", "Many Other Names In A Long Row Of Nine Or More"]

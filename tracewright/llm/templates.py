@@ -13,11 +13,18 @@ all its names agree, so one altered name costs the windows that hold it and no o
 So a question whose numbers or names were exchanged is found, and a passage that only
 has the same shape is not.
 
-A window with fewer than ``LITERALS`` plain tokens says too little by its template;
-it is compared by its own lower-case tokens instead, so none is left out.
+What a word is typed as depends on its case, so windows of ``WINDOW`` tokens are also
+compared by their lower-case tokens alone, and a copy in other case is found. A window
+with fewer than ``LITERALS`` plain tokens says too little by its template; it is
+compared by its lower-case tokens only, so none is left out. Windows of shorter items
+are compared by template or, with few literals, by tokens: their case matters.
 
-A document is contaminated by an item if ``COVERED`` of the item's windows or more
-count.
+A document is contaminated by an item if one of these holds:
+
+- ``COVERED`` of the item's windows or more count;
+- windows that count follow each other, in one alignment, over ``RUN`` tokens;
+- windows that count hold ``WORDS`` of the item's tokens or more, wherever they stand,
+  so that a few spread edits do not hide a copy.
 
 Before the join, tasks drop document windows whose hash is in no benchmark window,
 by a bit table of fixed size (``BITS``); however large the benchmark, that table does
@@ -46,6 +53,8 @@ from tracewright.session import map_in_arrow
 WINDOW = 8
 LITERALS = 4
 COVERED = 0.5
+RUN = 13
+WORDS = 0.75
 BITS = 22
 KEPT = 300_000
 #: Units, by their usual short and long forms.
@@ -137,9 +146,10 @@ class Canonical:
         self.shown[unit] = _UNIT
         self.literal = (grid[:, 2] == 1) & ~unit
 
-    def windows(self, width: int) -> tuple[np.ndarray, np.ndarray]:
+    def windows(self, width: int, folded: bool) -> tuple[np.ndarray, np.ndarray]:
         """Where windows start, and their hashes: by template or, with few literals,
-        by token."""
+        by token. If ``folded``, windows with a template of their own have a hash by
+        token as well, and so start twice."""
         count = len(self.text) - width + 1
         if count < 1 or width < 1:
             return np.empty(0, np.int64), np.empty(0, np.uint64)
@@ -152,9 +162,12 @@ class Canonical:
                 mixed *= _STEP
                 mixed ^= mixed >> np.uint64(29)
         total = np.concatenate(([0], np.cumsum(self.literal)))
-        plain = total[width:] - total[:-width]
-        hashes = np.where(plain >= min(LITERALS, width), shown, raw) * _LAST
-        return starts, hashes[starts]
+        plain = (total[width:] - total[:-width])[starts]
+        shown, raw = shown[starts] * _LAST, raw[starts] * _LAST
+        if not folded:
+            return starts, np.where(plain >= min(LITERALS, width), shown, raw)
+        typed = (plain >= min(LITERALS, width)) & (plain < width)
+        return np.concatenate((starts, starts[typed])), np.concatenate((raw, shown[typed]))
 
     def slots(self, at: int, width: int) -> tuple[list[str], list[bool], list[bool]]:
         """Tokens of a window, and which of them stand behind a placeholder, and behind
@@ -199,7 +212,7 @@ def _windows(texts: DataFrame, widths: list[int] | None, window: int, table: np.
                 wanted = sorted(set(np.minimum(found.counts, window).tolist()) - {0})
             out: list[list] = [[] for _ in _WINDOWS]
             for width in wanted:
-                starts, hashes = found.windows(width)
+                starts, hashes = found.windows(width, width == window)
                 if widths is None:  # every text by its own width
                     own = np.minimum(found.counts, window)[found.text[starts]] == width
                     starts, hashes = starts[own], hashes[own]
@@ -242,6 +255,8 @@ _AGREEING = pa.schema(
         ("item_id", pa.int64()),
         ("places", pa.list_(pa.int64())),
         ("identical", pa.list_(pa.int64())),
+        ("run", pa.int64()),
+        ("width", pa.int32()),
         ("n_windows", pa.int64()),
     ]
 )
@@ -263,17 +278,28 @@ def agreeing(windows: list[dict]) -> tuple[list[int], list[int]]:
     return sorted(places), sorted({w["place"] for w in windows if w["identical"]})
 
 
+def longest_run(places: list[int]) -> int:
+    """How many of the ascending ``places`` follow each other, at most."""
+    longest = run = 0
+    for n, place in enumerate(places):
+        run = run + 1 if n and place == places[n - 1] + 1 else 1
+        longest = max(longest, run)
+    return longest
+
+
 def _agreeing(aligned: DataFrame) -> DataFrame:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            docs, items, windows, numbers = (c.to_pylist() for c in batch.columns)
-            found = [agreeing(w) for w in windows]
-            yield record_batch(_AGREEING, [docs, items, [f[0] for f in found], [f[1] for f in found], numbers])
+            docs, items, windows, *sizes = (c.to_pylist() for c in batch.columns)
+            places, identical = zip(*map(agreeing, windows)) if windows else ((), ())
+            runs = list(map(longest_run, places))
+            yield record_batch(_AGREEING, [docs, items, places, identical, runs, *sizes])
 
     return map_in_arrow(
-        aligned.select("doc_id", "item_id", "windows", "n_windows"),
+        aligned.select("doc_id", "item_id", "windows", "width", "n_windows"),
         task,
-        "doc_id long, item_id long, places array<long>, identical array<long>, n_windows long",
+        "doc_id long, item_id long, places array<long>, identical array<long>, run long, width int, "
+        "n_windows long",
     )
 
 
@@ -323,14 +349,22 @@ def contaminated(
     aligned = (
         joined.where(same)
         .groupBy("doc_id", "item_id", (F.col("place") - F.col("item_place")).alias("shift"))
-        .agg(F.collect_set(window_at).alias("windows"), F.first("n_windows").alias("n_windows"))
+        .agg(
+            F.collect_set(window_at).alias("windows"),
+            F.first("width").alias("width"),
+            F.first("n_windows").alias("n_windows"),
+        )
     )
+    # The item's tokens in a window.
+    held = lambda place: F.sequence(place, place + F.col("width") - 1)
     found = (
         _agreeing(aligned)
         .groupBy("doc_id", "item_id")
         .agg(
             F.array_distinct(F.flatten(F.collect_list("places"))).alias("places"),
             F.array_distinct(F.flatten(F.collect_list("identical"))).alias("identical"),
+            F.max("run").alias("run"),
+            F.first("width").alias("width"),
             F.first("n_windows").alias("n_windows"),
         )
         .select(
@@ -339,9 +373,18 @@ def contaminated(
             F.size("places").cast("long").alias("n_matched"),
             "n_windows",
             (F.size("identical") < F.size("places")).alias("changed"),
+            "run",
+            "width",
+            F.size(F.array_distinct(F.flatten(F.transform("places", held)))).alias("n_held"),
         )
     )
-    return found.where(F.col("n_matched") >= covered * F.col("n_windows"))
+    tokens = F.col("n_windows") + F.col("width") - 1
+    enough = (
+        (F.col("n_matched") >= covered * F.col("n_windows"))
+        | ((F.col("run") > 0) & (F.col("run") + F.col("width") - 1 >= RUN))
+        | (F.col("n_held") >= WORDS * tokens)
+    )
+    return found.where((F.col("n_matched") > 0) & enough).drop("run", "width", "n_held")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
