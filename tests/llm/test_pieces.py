@@ -58,6 +58,28 @@ def test_seed_and_stream_vary_the_segmentation():
     assert found != encoded(text, 0.3, seed=8)[0]
 
 
+def test_every_occurrence_has_its_own_draws(spark):
+    word = "internationalisation"
+    rows = [(n, " ".join([word] * 100)) for n in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sorted(pieces.encode(docs, dropout=0.5).collect())
+    assert len({tuple(r.ids) for r in found}) == len(rows)
+    ways = set()
+    join = pieces.Pieces(VOCABULARY)
+    for row in found:
+        unit: list[int] = []
+        for number in row.ids:
+            if VOCABULARY.bytes[number].startswith(b" ") and unit:
+                ways.add(tuple(unit))
+                unit = []
+            unit.append(number)
+        assert pieces.decoded(np.array(row.ids), join).decode() == rows[row.doc_id][1]
+    assert len(ways) > 100
+    assert found == sorted(pieces.encode(docs.repartition(7), dropout=0.5).collect())
+    few = [tuple(r.ids) for r in pieces.encode(docs, dropout=0.5, streams=4).collect()]
+    assert len(set(few)) <= 4
+
+
 def test_dropped_share_follows_the_rate():
     text = [prose(n, 400) for n in range(8)]
     none = sum(map(len, encoded(text, 0.0)[0]))

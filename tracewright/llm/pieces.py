@@ -8,13 +8,14 @@ first, then leftmost; a popped candidate is skipped when its keyed hash falls un
 ``dropout``, exactly where the usual encoder would merge. Characters outside the
 vocabulary, and U+2581 itself, become byte pieces, so decoding gives back every byte.
 
-The key of a candidate is (seed, stream, unit, left position, merged piece). An
-occurrence of a unit takes its stream from the document and its position, so one
-word is segmented in up to ``streams`` ways; streams make segmentations reusable.
-With ``dropout=0`` the result is SentencePiece's own.
+The key of a candidate is (seed, stream, unit, left position, merged piece). Every
+occurrence of a unit has a stream of its own, from the document's id and the unit's
+position in it, so draws grow with the input; ``streams`` limits them to that many a
+unit. With ``dropout=0`` the result is SentencePiece's own.
 
 Defined results: null and empty texts give no pieces. Bytes that are no UTF-8
-survive a round trip. Rows are independent; repeated rows repeat their result.
+survive a round trip. Rows are independent; repeated rows repeat their result. Rows
+with a null id draw as rows of one id.
 """
 
 from __future__ import annotations
@@ -22,7 +23,6 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator
 from heapq import heappop, heappush
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -34,13 +34,11 @@ from tracewright.session import map_in_arrow
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-STREAMS = 4
 #: Longest unit that is segmented together with others; longer ones go singly.
-TOGETHER = 32
-#: Units in one pass of the joint agenda; small enough for a core's cache.
+TOGETHER = 128
+#: Units of up to 32 characters in one pass of the joint agenda, and fewer longer ones;
+#: small enough for a core's cache.
 BLOCK = 12_000
-#: Distinct units a worker keeps; beyond that it starts anew.
-KEPT = 300_000
 _NONE = np.int32(1 << 30)
 _MASK = (1 << 64) - 1
 _FOLD, _LEFT, _PLACE, _LAST = (
@@ -251,11 +249,12 @@ def segment_many(
     skipped = np.zeros(len(units), np.int64)
     parts: list[tuple[np.ndarray, np.ndarray]] = []
     low = 0
-    for high in (4, 7, 10, 14, 20, TOGETHER):
+    for high in (4, 7, 10, 14, 20, 32, 64, TOGETHER):
         together = np.flatnonzero((lengths > low) & (lengths <= high))
         low = high
-        for start in range(0, len(together), BLOCK):
-            rows = together[start : start + BLOCK]
+        block = BLOCK * 32 // max(high, 32)
+        for start in range(0, len(together), block):
+            rows = together[start : start + block]
             found = _segment_rows(
                 [units[r] for r in rows.tolist()], lengths[rows], high, streams[rows], vocabulary,
                 table, dropout, seed,
@@ -378,64 +377,50 @@ class _Numbers(dict):
 
 
 class Encoder:
-    """Encodes texts together; each distinct (unit, stream) is segmented once."""
+    """Encodes texts together: with dropout every occurrence of a unit by its own
+    draws, or by those of one of ``streams`` streams; without, each distinct unit once."""
 
-    def __init__(self, vocabulary: Vocabulary, dropout: float, seed: int, streams: int) -> None:
-        self.vocabulary, self.dropout, self.seed = vocabulary, dropout, seed
-        self.streams = streams if dropout > 0 else 1
+    def __init__(
+        self, vocabulary: Vocabulary, dropout: float, seed: int, streams: int | None = None
+    ) -> None:
+        self.vocabulary, self.dropout, self.seed, self.streams = vocabulary, dropout, seed, streams
         self.pattern = vocabulary.unit_pattern()
         self.table = vocabulary.pairs()
-        self._forget()
-
-    def _forget(self) -> None:
-        """Per stream: the number of each unit seen, and all segmentations."""
-        self.known = [_Numbers() for _ in range(self.streams)]
-        self.starts = [np.empty(0, np.int64) for _ in self.known]
-        self.sizes = [np.empty(0, np.int64) for _ in self.known]
-        self.values = [np.empty(0, np.int32) for _ in self.known]
-        self.lost = [np.empty(0, np.int64) for _ in self.known]
 
     def encode(
         self, raws: list[bytes | None], keys: list[int | None]
     ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Offsets per text, ids end to end, skipped candidates per text."""
-        if sum(map(len, self.known)) > KEPT:
-            self._forget()
-        numbers: list[np.ndarray] = []
+        units: list[str] = []
+        bounds, streams = [0], [np.empty(0, np.uint64)]
         for raw, key in zip(raws, keys):
-            if not raw:
-                numbers.append(np.empty(0, np.int64))
-                continue
-            units = self.pattern.findall(" " + raw.decode("utf-8", "surrogateescape"))
-            first = xxhash.xxh3_64_intdigest(str(key).encode(), seed=self.seed & _MASK)
-            found = np.empty(len(units), np.int64)
-            for offset in range(self.streams):
-                stream = (first + offset) % self.streams
-                number = list(map(self.known[stream].__getitem__, units[offset :: self.streams]))
-                found[offset :: self.streams] = np.array(number, np.int64) * self.streams + stream
-            numbers.append(found)
-        for stream, known in enumerate(self.known):
-            fresh = list(islice(known, len(self.sizes[stream]), None))
-            offsets, values, skipped = segment_many(
-                fresh, np.full(len(fresh), stream), self.vocabulary, self.table, self.dropout, self.seed
-            )
-            total = len(self.values[stream])
-            self.starts[stream] = np.concatenate((self.starts[stream], offsets[:-1] + total))
-            self.sizes[stream] = np.concatenate((self.sizes[stream], np.diff(offsets)))
-            self.values[stream] = np.concatenate((self.values[stream], values))
-            self.lost[stream] = np.concatenate((self.lost[stream], skipped))
-        flat = np.concatenate(numbers) if numbers else np.empty(0, np.int64)
-        base = np.cumsum([0, *map(len, self.known)])[:-1]
-        flat = base[flat % self.streams] + flat // self.streams
-        shift = np.cumsum([0, *map(len, self.values)])[:-1]
-        starts = np.concatenate([s + b for s, b in zip(self.starts, shift)])[flat]
-        lengths = np.concatenate(self.sizes)[flat]
-        ids = np.concatenate(self.values)[spans(starts, lengths)]
-        skipped = np.concatenate(self.lost)
-        per_text = np.repeat(np.arange(len(raws)), [len(n) for n in numbers])
-        count = np.bincount(per_text, lengths, len(raws)).astype(np.int64)
-        lost = np.bincount(per_text, skipped[flat], len(raws)).astype(np.int64)
-        return np.concatenate(([0], np.cumsum(count))), ids, lost
+            if raw:
+                units += self.pattern.findall(" " + raw.decode("utf-8", "surrogateescape"))
+                first = xxhash.xxh3_64_intdigest(str(key).encode(), seed=self.seed & _MASK)
+                streams.append(self._streams(first, len(units) - bounds[-1]))
+            bounds.append(len(units))
+        if self.dropout > 0:
+            offsets, ids, skipped = self._segment(units, np.concatenate(streams))
+        else:
+            offsets, ids, skipped = self._plain(units)
+        lost = np.diff(np.concatenate(([0], np.cumsum(skipped)))[bounds])
+        return offsets[bounds], ids, lost
+
+    def _streams(self, first: int, count: int) -> np.ndarray:
+        places = np.arange(count, dtype=np.uint64)
+        if self.streams is None:
+            return places + np.uint64(first)
+        return (places + np.uint64(first % self.streams)) % np.uint64(self.streams)
+
+    def _segment(self, units: list[str], streams: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return segment_many(units, streams, self.vocabulary, self.table, self.dropout, self.seed)
+
+    def _plain(self, units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        known = _Numbers()
+        flat = np.fromiter(map(known.__getitem__, units), np.int64, len(units))
+        offsets, ids, skipped = self._segment(list(known), np.zeros(len(known), np.uint64))
+        sizes = np.diff(offsets)[flat]
+        return np.concatenate(([0], np.cumsum(sizes))), ids[spans(offsets[flat], sizes)], skipped[flat]
 
 
 def decoded(ids: np.ndarray, pieces: Pieces) -> bytes:
@@ -497,7 +482,7 @@ def encode(
     model: str = MODEL,
     dropout: float = 0.1,
     seed: int = 17,
-    streams: int = STREAMS,
+    streams: int | None = None,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -513,7 +498,7 @@ def encode_checked(
     model: str = MODEL,
     dropout: float = 0.1,
     seed: int = 17,
-    streams: int = STREAMS,
+    streams: int | None = None,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
