@@ -1,3 +1,5 @@
+import textwrap
+
 import pytest
 
 from tests.llm.rows import empty, odd, odd_rows
@@ -90,6 +92,39 @@ def test_rules_read_sentences_in_order(spark, text, wanted):
     assert [r.licences for r in found] == ([] if wanted is None else [wanted])
 
 
+def wrapped(text, width=72, mark=""):
+    return "\n".join(mark + line for part in text.split("\n") for line in textwrap.wrap(part, width))
+
+
+def known(*names):
+    return "\n".join(text for name, text in licences.SENTENCES if name in names)
+
+
+@pytest.mark.parametrize(
+    ("text", "wanted"),
+    [
+        ("MIT License\n\nCopyright 2020 A\n\n" + wrapped(MIT), "MIT"),
+        ("Copyright 2020 A\n" + wrapped(BSD, 70), "BSD-3-Clause"),
+        ("/*\n * Copyright\n *\n" + wrapped(known("gpl-free", "gpl-redistribute2", "gpl-useful"), 60, " * ") + "\n */", "GPL-2.0-or-later"),
+        (wrapped(known("gpl-free", "gpl-redistribute3", "gpl-useful"), 30, "# "), "GPL-3.0-or-later"),
+        (wrapped(known("cc0-notice"), 40, "// "), "CC0-1.0"),
+        (wrapped(known("mpl2-notice"), 40, "; ").replace("\n", "\r\n"), "MPL-2.0"),
+        ("Title\nReleased under the MIT License\nnext line", "MIT"),
+        ("To the extent possible under law, the author has dedicated all\n\n" + known("cc0-notice").split("all ", 1)[1], None),
+    ],
+)
+def test_wrapped_sentences(spark, text, wanted):
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    found = licences.scan(docs).collect()
+    assert [r.licences for r in found] == ([] if wanted is None else [wanted])
+
+
+def test_sentences_of_one_line_are_found_once(spark):
+    text = "Released under the MIT License.\nReleased under the MIT License\nLicensed under CC BY-NC 4.0. MIT License"
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert [r.sentences for r in licences.scan(docs).collect()] == ["mit-notice mit-notice ccbync4-notice mit-title"]
+
+
 @pytest.mark.parametrize("name", ["boilerplate", "licences"])
 def test_native(spark, name):
     docs = odd(spark)

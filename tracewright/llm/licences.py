@@ -1,9 +1,12 @@
 """Licence recognition by sentence rules (operator 5); DataFrame functions only.
 
-A text is cut into sentences at line ends and at full stops, question marks,
-exclamation marks, colons and semicolons before white space. A sentence is
-normalised: lower case, runs of anything but letters, digits and dots become one
-space. Known sentences have an identifier; the identifiers found in a text, in
+A text is cut into sentences at blank lines and at full stops, question marks,
+exclamation marks, colons and semicolons before white space. Any other line end may
+end a sentence or not, so wrapped sentences are found as well as notices on a line of
+their own without a full stop. A sentence is normalised: lower case, runs of anything
+but letters, digits and dots become one space, so that comment marks at its line ends
+vanish; a line of such marks only is blank. Known sentences have an identifier; of two
+that begin at one line the longer counts. The identifiers found in a text, in
 order, are matched against rules, each an ordered sequence of identifiers that must
 stand in that order, other sentences between them or not. A text may match several
 rules; a rule that is a part of another matched rule of the same licence adds
@@ -11,6 +14,9 @@ nothing.
 
 Defined results: null and empty texts have no sentences and match no rule. Only
 texts with a known sentence are in the result. Repeated rows repeat their result.
+
+The SQL form ends sentences at every line end. It gives the same for texts without
+wrapped licence sentences and does not find the wrapped ones.
 """
 
 from __future__ import annotations
@@ -67,10 +73,10 @@ RULES = (
 _CUT = r"(?<=[.?!:;])[ \t\x0B\f\r]+|\n"
 
 
-def normalised(sentence: Column) -> Column:
-    return F.regexp_replace(
-        F.regexp_replace(F.lower(sentence), "[^a-z0-9.]+", " "), "^[ .]+|[ .]+$", ""
-    )
+def normalised(text: Column) -> Column:
+    """``text`` with an empty line after each sentence end; every line normalised."""
+    ended = F.regexp_replace(F.lower(text), r"(?<=[.?!:;])[ \t\x0B\f\r]*[ \t\x0B\f\r\n]", "\n\n")
+    return F.regexp_replace(F.regexp_replace(ended, r"[^a-z0-9.\n]+", " "), "(?m)^[ .]+|[ .]+$", "")
 
 
 def _plain(sentence: str) -> str:
@@ -90,6 +96,14 @@ def known_sentences() -> dict[str, str]:
     return found
 
 
+def _pattern() -> str:
+    """Known sentences, the longest first, over whole lines; single line ends may
+    stand for their spaces."""
+    longest = sorted(known_sentences(), key=len, reverse=True)
+    wrapped = "|".join(k.replace(".", r"\.").replace(" ", r"[ \n]") for k in longest)
+    return f"(?m)^(?:{wrapped})$"
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, sentences string, licences string``: per text with known sentences
     their identifiers in order, and the licences whose rules match, by name."""
@@ -97,12 +111,10 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     rows = docs.select(
         docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text")
     )
-    candidates = F.filter(
-        F.transform(F.split("text", _CUT), normalised), lambda s: s.isin(*known)
-    )
+    candidates = F.regexp_extract_all(normalised(F.col("text")), F.lit(_pattern()), F.lit(0))
     hit = rows.select("doc_id", candidates.alias("found")).where(F.size("found") > 0)
     identifier = F.create_map(*[F.lit(x) for item in known.items() for x in item])
-    names = F.transform("found", lambda s: F.element_at(identifier, s))
+    names = F.transform("found", lambda s: F.element_at(identifier, F.translate(s, "\n", " ")))
     sequence = F.concat(F.lit(" "), F.array_join(names, "  "), F.lit(" "))
     hit = hit.select("doc_id", names.alias("names"), sequence.alias("sequence"))
     matches = F.array(
