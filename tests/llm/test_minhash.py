@@ -72,6 +72,24 @@ def test_given_documents(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute(rows, 2)
 
 
+def test_rows_without_an_id_of_their_own_stay(spark):
+    a, b, c, d, e, f = (prose(200 + n, 80) for n in range(6))
+    rows = [
+        (None, a), (None, a), (None, a + " more"), (None, b), (None, c), (None, None),
+        (7, c), (7, d), (8, d + " more"), (9, e), (9, e), (10, f),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = minhash.one_of_each_group(docs, 5)
+    stay = [tuple(r) for r in found.collect()]
+    assert found.columns == docs.columns
+    assert [r for r in stay if r[0] is not None and r[0] != 7] == [r for r in stay if r[0] in (8, 9, 10)]
+    assert sorted(r for r in stay if r[0] in (8, 9, 10)) == [(8, d + " more"), (9, e), (10, f)]
+    assert sum((t or "").startswith(a) for _, t in stay) == 1
+    assert (None, b) in stay and (None, None) in stay
+    assert [i for i, t in stay if t == c] == [7] and (7, d) not in stay
+    assert len(stay) == 7
+
+
 def test_components(spark):
     draw = random.Random(3)
     links = [(draw.randrange(300), draw.randrange(300)) for _ in range(150)]

@@ -275,15 +275,47 @@ def near_duplicates(
     )
 
 
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``docs`` and ``__key``, which names one text: the id, or for rows whose id is null
+    or names several texts a number above all ids, ascending by id and text hash."""
+    number = docs[id_col].cast("long")
+    rows = docs.select(number.alias("id"), F.xxhash64(docs[text_col]).alias("hash"))
+    unclear = hold(
+        rows.groupBy("id")
+        .agg(F.min("hash").alias("low"), F.max("hash").alias("high"))
+        .where("id is null or low <> high")
+        .select(F.col("id").alias("__id"))
+    )
+    if unclear.isEmpty():
+        return docs.withColumn("__key", number)
+    marked = docs.withColumn("__md5", F.coalesce(F.md5(docs[text_col].cast("binary")), F.lit("")))
+    texts = (
+        marked.join(unclear, number.eqNullSafe(F.col("__id")))
+        .select("__id", F.col("__md5").alias("__hash"))
+        .distinct()
+    )
+    last = docs.agg(F.greatest(F.max(number), F.lit(-1))).first()[0]
+    numbers = hold(
+        texts.orderBy(F.col("__id").asc_nulls_last(), "__hash").withColumn(
+            "__new", F.monotonically_increasing_id() + F.lit(last + 1)
+        )
+    )
+    same = number.eqNullSafe(F.col("__id")) & (F.col("__md5") == F.col("__hash"))
+    joined = marked.join(numbers, same, "left")
+    return hold(joined.select(*docs.columns, F.coalesce("__new", number).alias("__key")))
+
+
 def one_of_each_group(
     docs: DataFrame, width: int = 5, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """The rows of ``docs``, all columns, that stay: of each component the row whose
-    id names it. Rows that repeat an id leave one; rows with a null id go, as no
-    component can be named after them."""
-    found = near_duplicates(docs, width, percent, id_col, text_col).where("kept")
+    """The rows of ``docs``, all columns, that stay: of each component the row with the
+    smallest id. Rows that repeat an id and its text leave one, as do rows that repeat a
+    text without an id. Rows whose id is null or stands for several texts have a verdict
+    for each text, and stay if no row with an id of its own is in their component."""
+    keyed = _keyed(docs, id_col, text_col)
+    found = near_duplicates(keyed, width, percent, "__key", text_col).where("kept")
     kept = found.groupBy(F.col("doc_id").alias("__kept")).agg(F.count("*").alias("__rows"))
-    joined = docs.join(hold(kept), docs[id_col].cast("long") == F.col("__kept"))
+    joined = keyed.join(hold(kept), keyed["__key"] == F.col("__kept"))
     single = joined.where("__rows = 1")
     repeated = joined.where("__rows > 1").dropDuplicates(["__kept"])
     return single.union(repeated).select(*docs.columns)
