@@ -17,6 +17,7 @@ from tracewright.llm import (
     substrings,
     templates,
     toxicity,
+    trie,
 )
 from tracewright.llm.common import fold, table
 
@@ -114,3 +115,8 @@ def op6_boilerplate_lines(spark: SparkSession, folder: str) -> DataFrame:
     return boilerplate.without_boilerplate(docs, docs["source"]).select(
         "doc_id", "source", "text", "n_dropped"
     )
+
+
+@query("op11_trie", trie.oracle())
+def op11_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return trie.trie(table(spark, folder, "conversations"))
