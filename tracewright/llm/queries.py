@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from tracewright.llm import (
     boilerplate,
     language,
+    lattice,
+    lexical,
     licences,
     minhash,
     pieces,
@@ -120,3 +122,13 @@ def op6_boilerplate_lines(spark: SparkSession, folder: str) -> DataFrame:
 @query("op11_trie", trie.oracle())
 def op11_trie(spark: SparkSession, folder: str) -> DataFrame:
     return trie.trie(table(spark, folder, "conversations"))
+
+
+@query("op12_lattice")
+def op12_lattice(spark: SparkSession, folder: str) -> DataFrame:
+    return lattice.near_duplicates(table(spark, folder, "embeddings"))
+
+
+@query("op13_lexical", lexical.oracle())
+def op13_lexical(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
