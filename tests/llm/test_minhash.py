@@ -90,6 +90,59 @@ def test_rows_without_an_id_of_their_own_stay(spark):
     assert len(stay) == 7
 
 
+def test_shared_ids_lose_no_link(spark):
+    a, b = prose(300, 200), prose(301, 200)
+    rows = [(1, a), (1, b), (2, b + " three more words"), (3, a + " more"), (None, b + " tail"), (None, prose(302, 50))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sorted((r.doc_id or 0, r.component_id, r.kept) for r in minhash.near_duplicates(docs).collect() if r.doc_id)
+    assert found == [(1, 1, True), (1, 1, True), (2, 1, False), (3, 1, False)]
+    others = [(r.component_id, r.kept) for r in minhash.near_duplicates(docs).collect() if r.doc_id is None]
+    assert sorted(others, key=str) == [(1, False), (None, False)]
+
+
+def test_clashing_columns_and_large_ids(spark):
+    schema = "doc_id long, text string, key string, rows int, `ROWS_` int, kept int, `a.b` string"
+    text = prose(303, 90)
+    ids = [(1 << 63) - 1, None, None, -(1 << 63), (1 << 63) - 2, (1 << 63) - 2]
+    texts = [text, text + " x", prose(304, 80), text + " y", prose(305, 90), prose(306, 70)]
+    docs = spark.createDataFrame([(i, t, "k", 1, 2, 3, "d") for i, t in zip(ids, texts)], schema)
+    found = minhash.one_of_each_group(docs)
+    assert found.columns == docs.columns
+    stay = sorted((str(r.doc_id), r.text) for r in found.collect())
+    wanted = [(ids[3], texts[3]), (None, texts[2]), (ids[4], texts[4]), (ids[5], texts[5])]
+    assert stay == sorted((str(i), t) for i, t in wanted)
+
+
+def test_recall_near_the_threshold(spark):
+    """Pairs of similarity 0.80 to 0.82, each alone: at least 0.99 are found."""
+    draw = random.Random(11)
+    rows, near = [], 0
+    for n in range(700):
+        words = [f"w{draw.randrange(10**6)}" for _ in range(201)]
+        other = list(words)
+        # Each of these edits costs two of 200 shingles on either side.
+        for at in range(5, 200, 20):
+            other[at] = f"x{draw.randrange(10**6)}"
+        one, two = (minhash.shingles(" ".join(w).encode(), 2) for w in (words, other))
+        share = len(one & two) / len(one | two)
+        assert 0.8 <= share <= 0.82
+        rows += [(2 * n, " ".join(words)), (2 * n + 1, " ".join(other))]
+        near += 1
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = minhash.near_duplicates(docs)
+    linked = found.where("component_id <> doc_id").count()
+    assert linked >= 0.99 * near
+
+
+def test_similar_sizes_across_classes(spark):
+    """Links between neighbouring size classes are found when all is compared."""
+    base = [f"w{n}" for n in range(126)]
+    sets = [(n, " ".join(base[:size])) for n, size in enumerate((101, 125, 126, 81, 65, 21, 17, 3, 2))]
+    docs = spark.createDataFrame(sets, "doc_id long, text string")
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_duplicates(docs).collect()}
+    assert found == brute(sets, 2)
+
+
 def test_components(spark):
     draw = random.Random(3)
     links = [(draw.randrange(300), draw.randrange(300)) for _ in range(150)]

@@ -26,6 +26,14 @@ def id_and_text(docs: DataFrame, id_col: str, text_col: str, binary: bool = Fals
     )
 
 
+def fresh(columns: Iterable[str], name: str) -> str:
+    """``name``, lengthened until no column has it; Spark ignores case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def fold(doc_id: str | Column, folds: int) -> Column:
     """``crc32`` of the id as text, modulo ``folds``; null ids are in no fold."""
     column = F.col(doc_id) if isinstance(doc_id, str) else doc_id

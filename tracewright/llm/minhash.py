@@ -12,15 +12,22 @@ is retained if it shares that many, and its link is confirmed on the full sets.
   for the prefix and are never posted.
 - *Skip.* The long lists beyond the prefix are not merged: the collisions of a pair
   of documents found in the prefix are counted on the two signatures.
+- *Sketch.* A posting carries the size of its document's set and one bit of each
+  coordinate. Documents whose sizes rule a link out, or whose sketches differ in more
+  than ``SKETCH`` bits, make no pair; that loses a pair of similarity 0.8 about once in
+  100,000, and keeps about one in 240 pairs of similarity 0.1.
 - *Copies* with equal sets are one class, posted once.
 - *Hot lists.* A list's documents are compared with one centre, not with each
   other. Confirmed links make components, and only what shares a list across
-  components is left; after two centres, all of that is compared, so no link
-  between different components goes unseen and no group emits all its pairs.
+  components is left. After two centres, what is left is compared in lists cut by
+  size, so that no link between different components goes unseen.
 
 Defined results: null and empty texts have an empty set, are their own component
-and are kept. Rows with a null id join their class, but are never kept and never
-name a component. Repeated rows share their component and verdict.
+and are kept. Every row counts: rows that share an id and have different texts are
+linked by their own texts; rows with a null id link as well, but are never kept and
+never name a component, which is null where no member has an id. Repeated rows share
+their component and verdict. Extra columns are ignored, or carried as they are by
+:func:`one_of_each_group`.
 """
 
 from __future__ import annotations
@@ -30,15 +37,21 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from tracewright.llm.common import chunks, hold, id_and_text, record_batch
+from tracewright.llm.common import fresh, hold, id_and_text, record_batch
 from tracewright.llm.components import components
 from tracewright.session import map_in_arrow
 
 K = 64
 MATCHES = 36
+#: Most sketch bits in which linked documents differ.
+SKETCH = 18
+#: Sets of one size class differ by less than this factor, so linked ones are in the
+#: same class or in neighbouring ones (they differ by 1.25 at most).
+_CLASS = 1.2501
 #: Links join documents with PERCENT * union <= 100 * intersection.
 PERCENT = 80
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -88,50 +101,73 @@ def coordinates(k: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
 _SIGNED = pa.schema(
     [
         ("doc_id", pa.int64()),
+        ("key", pa.binary()),
         ("n_shingles", pa.int64()),
         ("digest", pa.binary()),
+        ("sketch", pa.int64()),
         ("signature", pa.list_(pa.int32())),
     ]
 )
+#: Texts signed together, in bytes.
+_TOGETHER = 4 << 20
+
+
+def _signed(texts: list[bytes | None], width: int, flips: np.ndarray, odds: np.ndarray) -> list[list]:
+    """Size, digest, sketch and signature of each text's set."""
+    known = _Hashes()
+    sets = [shingle_hashes(t, width, known) for t in texts]
+    sizes = [len(s) for s in sets]
+    full = [n for n, size in enumerate(sizes) if size]
+    signature: list = [None] * len(sets)
+    sketch: list = [None] * len(sets)
+    if full:
+        flat = np.concatenate([sets[n] for n in full])
+        starts = np.concatenate(([0], np.cumsum([sizes[n] for n in full])[:-1]))
+        rows = np.empty((len(full), len(flips)), np.int32)
+        for c in range(len(flips)):
+            mixed = flat ^ flips[c]
+            mixed *= odds[c]
+            least = np.minimum.reduceat(mixed, starts) >> np.uint64(32)
+            rows[:, c] = least.astype(np.uint32).view(np.int32)
+        bits = np.zeros((len(full), 64), np.uint8)
+        bits[:, : min(64, rows.shape[1])] = rows[:, :64] & 1
+        packed = np.packbits(bits, axis=1).view(">i8").ravel()
+        for n, row, short in zip(full, rows, packed.tolist()):
+            signature[n], sketch[n] = row, short
+    digests = [blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
+    return [sizes, digests, sketch, signature]
 
 
 def signatures(docs: DataFrame, width: int, k: int = K, seed: int = 5) -> DataFrame:
-    """``doc_id, n_shingles, digest, signature`` of ``(doc_id, text)``; the digest
-    stands for the whole set and is null, as is the signature, if that is empty."""
+    """``doc_id, key, n_shingles, digest, sketch, signature`` of ``(doc_id, text, key)``;
+    the digest stands for the whole set and is null, as are sketch and signature, if
+    that is empty."""
     flips, odds = coordinates(k, seed)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for keys, texts in chunks(batches):
-            known = _Hashes()
-            sets = [shingle_hashes(t, width, known) for t in texts]
-            sizes = [len(s) for s in sets]
-            full = [n for n, size in enumerate(sizes) if size]
-            signed: list = [None] * len(sets)
-            if full:
-                flat = np.concatenate([sets[n] for n in full])
-                starts = np.concatenate(([0], np.cumsum([sizes[n] for n in full])[:-1]))
-                rows = np.empty((len(full), k), np.int32)
-                for c in range(k):
-                    mixed = flat ^ flips[c]
-                    mixed *= odds[c]
-                    least = np.minimum.reduceat(mixed, starts) >> np.uint64(32)
-                    rows[:, c] = least.astype(np.uint32).view(np.int32)
-                for n, row in zip(full, rows):
-                    signed[n] = row
-            digests = [blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
-            yield record_batch(_SIGNED, [keys, sizes, digests, signed])
+        for batch in batches:
+            size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy())
+            cuts = [0, *np.flatnonzero(np.diff(size // _TOGETHER)) + 1, batch.num_rows]
+            for begin, end in zip(cuts, cuts[1:]):
+                part = batch.slice(begin, end - begin)
+                found = _signed(part.column(1).to_pylist(), width, flips, odds)
+                yield record_batch(_SIGNED, [part.column(0), part.column(2), *found])
 
     return map_in_arrow(
-        docs, task, "doc_id long, n_shingles long, digest binary, signature array<int>"
+        docs,
+        task,
+        "doc_id long, key binary, n_shingles long, digest binary, sketch long, signature array<int>",
     )
 
 
 def postings(reps: DataFrame, k: int, matches: int) -> DataFrame:
-    """``pair, doc``: every document under the shared pairs of its prefix."""
+    """``pair, doc`` and what else ``reps`` has: every document under the shared pairs
+    of its prefix."""
+    own = ["doc", *[c for c in reps.columns if c not in ("doc_id", "signature")]]
     posted = reps.select(
-        F.col("doc_id").alias("doc"), F.posexplode("signature").alias("place", "value")
+        F.col("doc_id").alias("doc"), *own[1:], F.posexplode("signature").alias("place", "value")
     ).select(
-        "doc",
+        *own,
         F.shiftleft(F.col("place").cast("long"), 32)
         .bitwiseOR(F.col("value").cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))
         .alias("pair"),
@@ -140,14 +176,14 @@ def postings(reps: DataFrame, k: int, matches: int) -> DataFrame:
     prefix = k - matches + 1
     ordered = (
         posted.join(shared, "pair")
-        .groupBy("doc")
+        .groupBy(*own)
         .agg(F.sort_array(F.collect_list(F.struct("count", "pair"))).alias("pairs"))
     )
     # The pairs of one document alone come first in its order.
     room = prefix - (k - F.size("pairs"))
     return ordered.where(room > 0).select(
-        "doc", F.explode(F.slice("pairs", F.lit(1), room)).alias("p")
-    ).select(F.col("p.pair").alias("pair"), "doc")
+        *own, F.explode(F.slice("pairs", F.lit(1), room)).alias("p")
+    ).select(F.col("p.pair").alias("pair"), *own)
 
 
 def _retained(pairs: DataFrame, reps: DataFrame, matches: int, percent: int) -> DataFrame:
@@ -189,11 +225,18 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) ->
     return map_in_arrow(joined, task, "a long, b long")
 
 
+def _compatible(a: str, b: str, percent: int) -> Column:
+    """Whether sizes and sketches of two postings allow a link."""
+    sizes = [F.col(f"{side}n_shingles") for side in (a, b)]
+    differ = F.bit_count(F.col(f"{a}sketch").bitwiseXOR(F.col(f"{b}sketch")))
+    return (100 * F.least(*sizes) >= percent * F.greatest(*sizes)) & (differ <= SKETCH)
+
+
 def _labelled(posted: DataFrame, labels: DataFrame | None) -> DataFrame:
     if labels is None:
         return posted.withColumn("label", F.col("doc"))
-    return posted.join(labels.withColumnRenamed("node", "doc"), "doc", "left").select(
-        "pair", "doc", F.coalesce("label", "doc").alias("label")
+    return posted.join(labels.withColumnRenamed("node", "doc"), "doc", "left").withColumn(
+        "label", F.coalesce("label", "doc")
     )
 
 
@@ -203,57 +246,88 @@ def _open_lists(posted: DataFrame) -> DataFrame:
     return posted.join(spans.where("low < high").select("pair"), "pair")
 
 
+def _with_centre(posted: DataFrame, centre: str, percent: int) -> DataFrame:
+    """Each list's documents paired with one of them."""
+    rank = F.col("doc") if centre == "smallest" else F.xxhash64("doc")
+    order = F.struct(rank.alias("rank"), "doc", "label", "n_shingles", "sketch")
+    centres = posted.groupBy("pair").agg(F.min(order).alias("c"))
+    paired = posted.join(centres, "pair").where("label <> c.label")
+    return paired.where(_compatible("", "c.", percent)).select(F.col("c.doc").alias("a"), F.col("doc").alias("b"))
+
+
+def _all_across(posted: DataFrame, percent: int) -> DataFrame:
+    """The documents of each list that are in different components, in lists of a size
+    class and the one above."""
+    step = F.floor(F.log(F.col("n_shingles")) / float(np.log(_CLASS)))
+    sized = posted.withColumn("step", step)
+    names = ["doc", "label", "n_shingles", "sketch"]
+    home = sized.select("pair", "step", *[F.col(c).alias(f"a_{c}") for c in names])
+    other = sized.select(
+        "pair",
+        F.explode(F.array(F.col("step"), F.col("step") + 1)).alias("step"),
+        F.col("step").alias("own"),
+        *[F.col(c).alias(f"b_{c}") for c in names],
+    )
+    # Of two documents in one class, the smaller label asks.
+    asks = (F.col("a_label") < F.col("b_label")) | (
+        (F.col("own") < F.col("step")) & (F.col("a_label") != F.col("b_label"))
+    )
+    paired = home.join(other, ["pair", "step"]).where(asks & _compatible("a_", "b_", percent))
+    return paired.select(F.col("a_doc").alias("a"), F.col("b_doc").alias("b"))
+
+
+def _with_texts(pairs: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
+    """``node, text`` of the classes in ``pairs``, one of their rows' texts each."""
+    nodes = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    asked = hold(reps.select("doc_id", "key").join(nodes, "doc_id").withColumnRenamed("doc_id", "node"), "asked")
+    return hold(docs.join(asked, "key").groupBy("node").agg(F.min("text").alias("text")), "texts")
+
+
 def link_components(
     docs: DataFrame, width: int, percent: int = PERCENT, k: int = K, matches: int = MATCHES
 ) -> tuple[DataFrame, DataFrame]:
-    """From ``(doc_id, text binary)``: the signed documents, and ``digest,
-    component_id`` for every set that occurs."""
-    signed = hold(signatures(docs, width, k))
+    """From ``(doc_id, text binary, key)``, the key a digest of the text: the signed
+    documents, and ``digest, team, component_id`` for every set that occurs. The team is
+    a number for the component."""
+    signed = hold(signatures(docs, width, k), "signed")
     reps = hold(
-        signed.where("digest is not null and doc_id is not null")
+        signed.where("digest is not null")
         .groupBy("digest")
         .agg(
-            F.min("doc_id").alias("doc_id"),
+            F.min("doc_id").alias("low"),
+            F.min("key").alias("key"),
             F.first("n_shingles").alias("n_shingles"),
+            F.first("sketch").alias("sketch"),
             F.first("signature").alias("signature"),
         )
+        .withColumn("doc_id", F.monotonically_increasing_id()),
+        "classes",
     )
-    posted = hold(postings(reps, k, matches))
-    near = posted.select(F.col("doc").alias("doc_id")).distinct()
-    # One row a set, though a representative's row may be repeated.
-    texts = hold(
-        docs.join(near, "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"))
-    )
-    near_reps = hold(reps.join(near, "doc_id"))
+    posted = hold(postings(reps.select("doc_id", "n_shingles", "sketch", "signature"), k, matches), "postings")
     links, labels = None, None
     for centre in ("smallest", "hashed", "all"):
-        posted = hold(_open_lists(_labelled(posted.select("pair", "doc"), labels)))
+        posted = hold(_open_lists(_labelled(posted.drop("label"), labels)), "open")
         if posted.isEmpty():
             break
-        if centre == "all":
-            other = posted.select("pair", F.col("doc").alias("b"), F.col("label").alias("label_b"))
-            pairs = (
-                posted.withColumnRenamed("doc", "a").join(other, "pair").where("label < label_b")
-            )
-        else:
-            rank = F.col("doc") if centre == "smallest" else F.xxhash64("doc")
-            centres = posted.groupBy("pair").agg(
-                F.min(F.struct(rank.alias("rank"), "doc", "label")).alias("centre")
-            )
-            pairs = posted.join(centres, "pair").where("label <> centre.label").select(
-                F.col("centre.doc").alias("a"), F.col("doc").alias("b")
-            )
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        retained = hold(_retained(pairs, near_reps, matches, percent))
-        found = hold(_confirmed(retained, texts, width, percent))
-        links = found if links is None else links.union(found)
+        found = _all_across(posted, percent) if centre == "all" else _with_centre(posted, centre, percent)
+        pairs = hold(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+        retained = hold(_retained(pairs, reps, matches, percent), "retained")
+        texts = _with_texts(retained, reps, docs)
+        confirmed = hold(_confirmed(retained, texts, width, percent), "links")
+        links = confirmed if links is None else links.union(confirmed)
         labels = components(links)
-    classes = reps.select("digest", F.col("doc_id").alias("node"))
+    classes = reps.select("digest", "low", F.col("doc_id").alias("node"))
     if labels is None:
-        return signed, classes.withColumnRenamed("node", "component_id")
-    return signed, classes.join(labels, "node", "left").select(
-        "digest", F.coalesce("label", "node").alias("component_id")
-    )
+        return signed, classes.select("digest", F.col("node").alias("team"), F.col("low").alias("component_id"))
+    named = hold(classes.join(labels, "node", "left").withColumn("team", F.coalesce("label", "node")), "teams")
+    lows = named.where("label is not null").groupBy("team").agg(F.min("low").alias("component_id"))
+    alone = named.where("label is null").select("digest", "team", F.col("low").alias("component_id"))
+    return signed, alone.union(named.where("label is not null").join(lows, "team").select("digest", "team", "component_id"))
+
+
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    narrow = id_and_text(docs, id_col, text_col, binary=True)
+    return narrow.withColumn("key", F.unhex(F.md5("text")))
 
 
 def near_duplicates(
@@ -264,7 +338,7 @@ def near_duplicates(
     text_col: str = "text",
 ) -> DataFrame:
     """``doc_id, n_shingles long, component_id long, kept boolean`` per row."""
-    signed, classes = link_components(id_and_text(docs, id_col, text_col, binary=True), width, percent)
+    signed, classes = link_components(_keyed(docs, id_col, text_col), width, percent)
     joined = signed.join(classes, "digest", "left")
     component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return joined.select(
@@ -275,36 +349,6 @@ def near_duplicates(
     )
 
 
-def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``docs`` and ``__key``, which names one text: the id, or for rows whose id is null
-    or names several texts a number above all ids, ascending by id and text hash."""
-    number = docs[id_col].cast("long")
-    rows = docs.select(number.alias("id"), F.xxhash64(docs[text_col]).alias("hash"))
-    unclear = hold(
-        rows.groupBy("id")
-        .agg(F.min("hash").alias("low"), F.max("hash").alias("high"))
-        .where("id is null or low <> high")
-        .select(F.col("id").alias("__id"))
-    )
-    if unclear.isEmpty():
-        return docs.withColumn("__key", number)
-    marked = docs.withColumn("__md5", F.coalesce(F.md5(docs[text_col].cast("binary")), F.lit("")))
-    texts = (
-        marked.join(unclear, number.eqNullSafe(F.col("__id")))
-        .select("__id", F.col("__md5").alias("__hash"))
-        .distinct()
-    )
-    last = docs.agg(F.greatest(F.max(number), F.lit(-1))).first()[0]
-    numbers = hold(
-        texts.orderBy(F.col("__id").asc_nulls_last(), "__hash").withColumn(
-            "__new", F.monotonically_increasing_id() + F.lit(last + 1)
-        )
-    )
-    same = number.eqNullSafe(F.col("__id")) & (F.col("__md5") == F.col("__hash"))
-    joined = marked.join(numbers, same, "left")
-    return hold(joined.select(*docs.columns, F.coalesce("__new", number).alias("__key")))
-
-
 def one_of_each_group(
     docs: DataFrame, width: int = 5, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -312,10 +356,34 @@ def one_of_each_group(
     smallest id. Rows that repeat an id and its text leave one, as do rows that repeat a
     text without an id. Rows whose id is null or stands for several texts have a verdict
     for each text, and stay if no row with an id of its own is in their component."""
-    keyed = _keyed(docs, id_col, text_col)
-    found = near_duplicates(keyed, width, percent, "__key", text_col).where("kept")
-    kept = found.groupBy(F.col("doc_id").alias("__kept")).agg(F.count("*").alias("__rows"))
-    joined = keyed.join(hold(kept), keyed["__key"] == F.col("__kept"))
-    single = joined.where("__rows = 1")
-    repeated = joined.where("__rows > 1").dropDuplicates(["__kept"])
-    return single.union(repeated).select(*docs.columns)
+    signed, classes = link_components(_keyed(docs, id_col, text_col), width, percent)
+    rows = (
+        signed.select("doc_id", F.coalesce("key", F.lit(bytearray())).alias("key"), "digest")
+        .groupBy("doc_id", "key", "digest")
+        .agg(F.count("*").alias("rows"))
+        .join(classes.select("digest", "team"), "digest", "left")
+    )
+    rows = hold(rows, "rows")
+    shared = rows.groupBy("doc_id").agg(F.count("*").alias("texts")).where("texts > 1").select("doc_id")
+    own = shared.select("doc_id", F.lit(False).alias("own"))
+    ranked = rows.join(own, "doc_id", "left").withColumn(
+        "place",
+        F.struct(
+            (F.col("doc_id").isNull() | F.col("own").isNotNull()).alias("unclear"),
+            F.col("doc_id").isNull().alias("without"),
+            "doc_id",
+            "key",
+            "rows",
+        ),
+    )
+    # A text without words is linked with nothing, and its rows are a group.
+    first = ranked.where("team is not null").groupBy("team").agg(F.min("place").alias("place"))
+    stay = first.select("place").union(ranked.where("team is null").select("place"))
+    names = {c: fresh(docs.columns, c) for c in ("doc_id", "key", "rows")}
+    stay = hold(stay.select(*[F.col(f"place.{c}").alias(n) for c, n in names.items()]), "stay")
+    number, key = docs[id_col].cast("long"), F.unhex(F.md5(docs[text_col].cast("binary")))
+    same = number.eqNullSafe(F.col(names["doc_id"])) & (F.coalesce(key, F.lit(bytearray())) == F.col(names["key"]))
+    joined = docs.join(stay, same)
+    single = joined.where(F.col(names["rows"]) == 1)
+    repeated = joined.where(F.col(names["rows"]) > 1).dropDuplicates([names["doc_id"], names["key"]])
+    return single.union(repeated).select(*[F.col(f"`{c}`") for c in docs.columns])
