@@ -110,3 +110,37 @@ def test_given_documents(spark):
 def test_odd_rows(spark):
     assert result(odd(spark)) == brute([r[:2] for r in odd_rows()], 100)
     assert substrings.remove_repeats(empty(spark)).count() == 0
+
+
+def test_texts_without_an_id_of_their_own(spark):
+    """Texts that share an id, or have none, are documents of their own: what occurs
+    once stays, and a passage on every row stays once."""
+    draw = random.Random(8)
+
+    def noise(count):
+        return "".join(draw.choice("abcdefgh ij") for _ in range(count))
+
+    shared, everywhere = noise(240), noise(150)
+    rows = [(None, noise(300)), (None, noise(50) + shared + noise(70)), (None, shared), (None, None)]
+    rows += [(2, noise(200) + shared), (2, noise(300)), (2, shared + noise(10)), (5, shared), (-4, noise(120))]
+    rows += [(7, noise(130)), (7, "")]
+    rows = [(i, t if t is None else t + everywhere) for i, t in rows]
+    rows += [rows[1], rows[4], (2, rows[1][1])]
+    assert substrings.copy_of(b"text") == spark.sql("SELECT xxhash64(CAST('text' AS BINARY)) AS h").first().h
+
+    documents = sorted({(i is not None, i or 0, substrings.copy_of((t or "").encode()), (t or "").encode()) for i, t in rows if t is not None})
+    first: dict[bytes, tuple] = {}
+    for key in documents:
+        for at in range(len(key[3]) - 99):
+            first.setdefault(key[3][at : at + 100], (key, at))
+    wanted = []
+    for i, t in rows:
+        raw = (t or "").encode()
+        key = (i is not None, i or 0, substrings.copy_of(raw), raw)
+        gone = {b for at in range(len(raw) - 99) if first[raw[at : at + 100]] != (key, at) for b in range(at, at + 100)}
+        kept = bytes(b for n, b in enumerate(raw) if n not in gone)
+        spans = sum(n in gone and n - 1 not in gone for n in range(len(raw)))
+        wanted.append((-1 if i is None else i, len(raw), len(gone), spans, sha256(kept).hexdigest()))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert result(docs) == sorted(wanted)
+    assert sum(r[2] for r in wanted) > 1500

@@ -25,9 +25,9 @@ strings stays. For split anchors, strings that are first in their part meet once
 by a 128-bit digest.
 
 Defined results: a null text is empty. A null id comes before all others. Rows that
-repeat an id and its text are the same document: neither repeats the other; ids are
-otherwise expected to be unique, and of several texts under one id a string counts as
-first at the smallest start in any of them. Texts shorter than ``LEAST`` stay whole.
+repeat an id and its text are the same document: neither repeats the other. Different
+texts under one id, or without an id, are documents of their own, in the order of a
+64-bit hash of the text (``copy``). Texts shorter than ``LEAST`` stay whole.
 """
 
 from __future__ import annotations
@@ -144,22 +144,29 @@ _CONTEXTS = pa.schema(
         ("anchor", pa.int64()),
         ("context", pa.int64()),
         ("doc", pa.int64()),
+        ("copy", pa.int64()),
         ("low", pa.int64()),
         ("bytes", pa.binary()),
     ]
 )
 
 
+def copy_of(raw: bytes) -> int:
+    """The hash that tells texts under one id apart, as ``F.xxhash64`` has it."""
+    value = xxhash.xxh64_intdigest(raw, 42)
+    return value - (1 << 64) if value >> 63 else value
+
+
 def _context_rows(texts: DataFrame, table: np.ndarray, least: int) -> DataFrame:
     """The first occurrence of each distinct context in a chunk of texts."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for keys, raws in chunks(batches):
-            found: dict[tuple[int, int], tuple[int, int, bytes]] = {}
+            found: dict[tuple[int, int], tuple[int, int, int, bytes]] = {}
             for key, raw in zip(keys, raws):
                 if raw is None:
                     continue
-                doc = _NO_ID if key is None else key
+                doc, copy = _NO_ID if key is None else key, copy_of(raw)
                 values, low, high = anchors(raw, least)
                 on = _marked(table, values)
                 columns = values[on].view(np.int64), low[on], high[on] + least
@@ -167,15 +174,15 @@ def _context_rows(texts: DataFrame, table: np.ndarray, least: int) -> DataFrame:
                     bytes_ = raw[begin:end]
                     name = anchor, xxhash.xxh3_64_intdigest(bytes_)
                     before = found.get(name)
-                    if before is None or (doc, begin) < before[:2]:
-                        found[name] = doc, begin, bytes_
+                    if before is None or (doc, copy, begin) < before[:3]:
+                        found[name] = doc, copy, begin, bytes_
             rows = list(found.values())
             context = np.array([name[1] for name in found], np.uint64).view(np.int64)
-            columns = [[row[i] for row in rows] for i in range(3)]
+            columns = [[row[i] for row in rows] for i in range(4)]
             yield record_batch(_CONTEXTS, [[name[0] for name in found], context, *columns])
 
     return map_in_arrow(
-        texts, task, "anchor long, context long, doc long, low long, bytes binary"
+        texts, task, "anchor long, context long, doc long, copy long, low long, bytes binary"
     )
 
 
@@ -227,10 +234,11 @@ def common_prefix_values(bwt: np.ndarray, least: int) -> np.ndarray:
 
 
 def repeats(
-    contexts: list[bytes], docs: np.ndarray, lows: np.ndarray, least: int
+    contexts: list[bytes], docs: np.ndarray, lows: np.ndarray, least: int, copies: np.ndarray | None = None
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For every string of ``least`` bytes in the contexts: the context's number, its
-    start there, and whether an earlier (document, start) has the same string."""
+    start there, and whether an earlier (document, start) has the same string; ``docs``
+    and ``copies`` name a document."""
     sizes = np.fromiter(map(len, contexts), np.int64, len(contexts))
     symbols = np.frombuffer(b"\0".join(contexts) + b"\0", np.uint8).astype(np.uint16) + 1
     begins = np.cumsum(sizes + 1) - sizes - 1
@@ -243,7 +251,12 @@ def repeats(
     start = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
     group = group[begins[context] + start]
     # Order of the strings in the corpus, as one number.
-    document = np.unique(docs, return_inverse=True)[1].astype(np.int64)
+    copies = np.zeros(len(docs), np.int64) if copies is None else copies
+    by_document = np.lexsort((copies, docs))
+    ordered = np.stack((docs[by_document], copies[by_document]))
+    changes = np.concatenate(([0], (ordered[:, 1:] != ordered[:, :-1]).any(axis=0)))
+    document = np.empty(len(docs), np.int64)
+    document[by_document] = np.cumsum(changes)
     place = (document[context] << 40) + lows[context] + start
     earliest = np.full(int(group.max(initial=0)) + 1, np.iinfo(np.int64).max)
     np.minimum.at(earliest, group, place)
@@ -253,6 +266,7 @@ def repeats(
 _JUDGED = pa.schema(
     [
         ("doc", pa.int64()),
+        ("copy", pa.int64()),
         ("low", pa.int64()),
         ("starts", pa.list_(pa.int32())),
         ("ends", pa.list_(pa.int32())),
@@ -283,7 +297,7 @@ def _judge(rows: DataFrame, least: int) -> DataFrame:
             yield from _judged(held, least)
 
     return map_in_arrow(
-        rows, task, "doc long, low long, starts array<int>, ends array<int>, digest binary"
+        rows, task, "doc long, copy long, low long, starts array<int>, ends array<int>, digest binary"
     )
 
 
@@ -304,10 +318,10 @@ def _judged(table: pa.Table, least: int) -> Iterator[pa.RecordBatch]:
     classes = np.diff(np.append(group, len(firsts)))
     several = firsts["parts"].to_numpy() > 1
     alone = np.repeat(classes == 1, classes) & ~several
-    docs, lows = firsts["doc"].to_numpy(), firsts["low"].to_numpy()
+    docs, copies, lows = (firsts[c].to_numpy() for c in ("doc", "copy", "low"))
     if alone.any():
         none = np.empty(0, np.int64)
-        yield _runs(docs[alone], lows[alone], np.zeros(alone.sum() + 1, np.int64), none, none)
+        yield _runs(docs[alone], copies[alone], lows[alone], np.zeros(alone.sum() + 1, np.int64), none, none)
     left = np.flatnonzero(~alone)
     if not len(left):
         return
@@ -321,19 +335,24 @@ def _judged(table: pa.Table, least: int) -> Iterator[pa.RecordBatch]:
     for low, high in zip(cuts, np.append(cuts[1:], len(left))):
         rows = left[low:high]
         contexts = firsts["bytes"].take(pa.array(rows)).to_pylist()
-        yield from _compared(contexts, docs[rows], lows[rows], several[rows], least)
+        yield from _compared(contexts, docs[rows], copies[rows], lows[rows], several[rows], least)
 
 
 def _compared(
-    contexts: list[bytes], docs: np.ndarray, lows: np.ndarray, split: np.ndarray, least: int
+    contexts: list[bytes],
+    docs: np.ndarray,
+    copies: np.ndarray,
+    lows: np.ndarray,
+    split: np.ndarray,
+    least: int,
 ) -> Iterator[pa.RecordBatch]:
-    context, start, repeated = repeats(contexts, docs, lows, least)
+    context, start, repeated = repeats(contexts, docs, lows, least, copies)
     edge = np.concatenate(([True], context[1:] != context[:-1]))
     last = np.concatenate((edge[1:], [True]))
     begin = np.flatnonzero(repeated & (edge | ~np.concatenate(([False], repeated[:-1]))))
     end = np.flatnonzero(repeated & (last | ~np.concatenate((repeated[1:], [False]))))
     cut = np.searchsorted(context[begin], np.arange(len(contexts) + 1))
-    yield _runs(docs, lows, cut, start[begin], start[end] + least)
+    yield _runs(docs, copies, lows, cut, start[begin], start[end] + least)
     unique = np.flatnonzero(~repeated & split[context])
     if len(unique):
         owner, offset = context[unique], start[unique]
@@ -342,13 +361,16 @@ def _compared(
             for n, at in zip(owner.tolist(), offset.tolist())
         ]
         nothing = [None] * len(unique)
-        yield record_batch(_JUDGED, [docs[owner], lows[owner] + offset, nothing, nothing, digests])
+        yield record_batch(
+            _JUDGED, [docs[owner], copies[owner], lows[owner] + offset, nothing, nothing, digests]
+        )
 
 
-def _runs(docs, lows, cuts: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.RecordBatch:
+def _runs(docs, copies, lows, cuts: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.RecordBatch:
     offsets = pa.array(cuts.astype(np.int32))
     columns = [
         pa.array(docs),
+        pa.array(copies),
         pa.array(lows),
         pa.ListArray.from_arrays(offsets, pa.array(starts.astype(np.int32))),
         pa.ListArray.from_arrays(offsets, pa.array(ends.astype(np.int32))),
@@ -358,15 +380,15 @@ def _runs(docs, lows, cuts: np.ndarray, starts: np.ndarray, ends: np.ndarray) ->
 
 
 def _across_parts(judged: DataFrame) -> DataFrame:
-    """Repeats that only meet across the parts of a split anchor: ``doc, start``."""
-    strings = judged.where("digest is not null").select("digest", "doc", "low")
+    """Repeats that only meet across the parts of a split anchor: ``doc, copy, low``."""
+    strings = judged.where("digest is not null").select("digest", "doc", "copy", "low")
     first = (
         strings.groupBy("digest")
-        .agg(F.min(F.struct("doc", "low")).alias("first"), F.count("*").alias("parts"))
+        .agg(F.min(F.struct("doc", "copy", "low")).alias("first"), F.count("*").alias("parts"))
         .where("parts > 1")
     )
-    later = (F.col("doc") != F.col("first.doc")) | (F.col("low") != F.col("first.low"))
-    return strings.join(first, "digest").where(later).select("doc", "low")
+    later = F.struct("doc", "copy", "low") != F.col("first")
+    return strings.join(first, "digest").where(later).select("doc", "copy", "low")
 
 
 def _spans(begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -462,21 +484,22 @@ def remove_repeats(
         "anchor",
         F.pmod(F.col("context"), parts.cast("long")).cast("int").alias("part"),
         parts.alias("parts"),
-        "context", "doc", "low", "bytes",
+        "context", "doc", "copy", "low", "bytes",
     )
     dealt = dealt.repartition("anchor", "part").sortWithinPartitions(
-        "anchor", "part", "context", "doc", "low"
+        "anchor", "part", "context", "doc", "copy", "low"
     )
     judged = hold(_judge(dealt, least), "judged")
     firsts = judged.where("digest is null").select(
-        "doc", F.struct("low", "starts", "ends").alias("first"), F.lit(None).cast("long").alias("more")
+        "doc", "copy", F.struct("low", "starts", "ends").alias("first"), F.lit(None).cast("long").alias("more")
     )
-    more = _across_parts(judged).select("doc", F.lit(None).cast(firsts.schema["first"].dataType).alias("first"), F.col("low").alias("more"))
+    nothing = F.lit(None).cast(firsts.schema["first"].dataType)
+    more = _across_parts(judged).select("doc", "copy", nothing.alias("first"), F.col("low").alias("more"))
     per_doc = (
         firsts.union(more)
-        .groupBy("doc")
+        .groupBy("doc", "copy")
         .agg(F.collect_list("first").alias("firsts"), F.collect_list("more").alias("more"))
     )
-    keyed = texts.withColumn("doc", F.coalesce("doc_id", F.lit(_NO_ID)))
-    joined = keyed.join(per_doc, "doc", "left").select("doc_id", "text", "firsts", "more")
+    keyed = texts.withColumns({"doc": F.coalesce("doc_id", F.lit(_NO_ID)), "copy": F.xxhash64("text")})
+    joined = keyed.join(per_doc, ["doc", "copy"], "left").select("doc_id", "text", "firsts", "more")
     return _cut(joined, table, least)
