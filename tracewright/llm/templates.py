@@ -30,9 +30,11 @@ Before the join, tasks drop document windows whose hash is in no benchmark windo
 by a bit table of fixed size (``BITS``); however large the benchmark, that table does
 not grow, it only lets more through to the join.
 
-Defined results: null and empty documents and items match nothing. Repeated rows of
-one id count once. Ties cannot occur: every (document, item) above the share is
-reported.
+Defined results: null and empty documents and items match nothing. A verdict belongs to
+a text: rows with a null id, or that share an id, are judged by their own texts, and one
+that is contaminated is reported under its id, null or not. Repeated rows count once.
+Items without an id match nothing. Ties cannot occur: every (document, item) above the
+share is reported.
 """
 
 from __future__ import annotations
@@ -45,9 +47,9 @@ import numpy as np
 import pyarrow as pa
 import regex
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from tracewright.llm.common import chunks, hold, id_and_text, record_batch
+from tracewright.llm.common import chunks, fresh, hold, id_and_text, record_batch
 from tracewright.session import map_in_arrow
 
 WINDOW = 8
@@ -179,12 +181,11 @@ class Canonical:
 
 
 _WINDOW_TYPE = (
-    "id long, width int, hash long, place long, tokens array<string>, slots array<boolean>, "
+    "id {}, width int, hash long, place long, tokens array<string>, slots array<boolean>, "
     "names array<boolean>, n_windows long"
 )
 _WINDOWS = pa.schema(
     [
-        ("id", pa.int64()),
         ("width", pa.int32()),
         ("hash", pa.int64()),
         ("place", pa.int64()),
@@ -196,10 +197,15 @@ _WINDOWS = pa.schema(
 )
 
 
-def _windows(texts: DataFrame, widths: list[int] | None, window: int, table: np.ndarray | None):
-    """Windows of ``(doc_id, text)``: of ``widths`` each, or for None of ``window``
+def _windows(
+    texts: DataFrame, widths: list[int] | None, window: int, table: np.ndarray | None, id_type: str = "long"
+) -> DataFrame:
+    """Windows of ``(id, text)``, the id a long or binary: of ``widths`` each, or for None of ``window``
     or the whole shorter text; only those whose bit is set in ``table``, if given."""
 
+    kind = {"long": pa.int64(), "binary": pa.binary()}[id_type]
+    schema = pa.schema([("id", kind), *_WINDOWS])
+
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Tokens()
         for keys, rows in chunks(batches):
@@ -210,7 +216,7 @@ def _windows(texts: DataFrame, widths: list[int] | None, window: int, table: np.
             wanted = widths
             if widths is None:
                 wanted = sorted(set(np.minimum(found.counts, window).tolist()) - {0})
-            out: list[list] = [[] for _ in _WINDOWS]
+            out: list[list] = [[] for _ in schema]
             for width in wanted:
                 starts, hashes = found.windows(width, width == window)
                 if widths is None:  # every text by its own width
@@ -226,9 +232,9 @@ def _windows(texts: DataFrame, widths: list[int] | None, window: int, table: np.
                     row = (keys[text], width, value, place, *found.slots(at, width), number)
                     for column, cell in zip(out, row):
                         column.append(cell)
-            yield record_batch(_WINDOWS, out)
+            yield record_batch(schema, out)
 
-    return map_in_arrow(texts, task, _WINDOW_TYPE)
+    return map_in_arrow(texts, task, _WINDOW_TYPE.format(id_type))
 
 
 def _bit_set(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -251,7 +257,7 @@ def _bits(windows: DataFrame) -> np.ndarray:
 
 _AGREEING = pa.schema(
     [
-        ("doc_id", pa.int64()),
+        ("key", pa.binary()),
         ("item_id", pa.int64()),
         ("places", pa.list_(pa.int64())),
         ("identical", pa.list_(pa.int64())),
@@ -296,13 +302,18 @@ def _agreeing(aligned: DataFrame) -> DataFrame:
             yield record_batch(_AGREEING, [docs, items, places, identical, runs, *sizes])
 
     return map_in_arrow(
-        aligned.select("doc_id", "item_id", "windows", "width", "n_windows"),
+        aligned.select("key", "item_id", "windows", "width", "n_windows"),
         task,
-        "doc_id long, item_id long, places array<long>, identical array<long>, run long, width int, "
+        "key binary, item_id long, places array<long>, identical array<long>, run long, width int, "
         "n_windows long",
     )
 
 
+def _text_key(text: Column) -> Column:
+    """A digest that stands for a text; null for a null one."""
+    return F.unhex(F.md5(text.cast("string").cast("binary")))
+
+
 def contaminated(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -315,14 +326,23 @@ def contaminated(
 ) -> DataFrame:
     """``doc_id, item_id, n_matched, n_windows, changed``: documents that hold an
     item; ``changed`` if a matched window has only other slot values than the item's."""
+    found = hold(_contaminated(docs[text_col], docs, benchmark, window, covered, item_col, item_text_col), "hits")
+    ids = docs.select(docs[id_col].cast("long").alias("doc_id"), _text_key(docs[text_col]).alias("key"))
+    return ids.join(found, "key").drop("key").distinct()
+
+
+def _contaminated(
+    text: Column, docs: DataFrame, benchmark: DataFrame, window: int, covered: float, item_col: str, item_text_col: str
+) -> DataFrame:
+    """``key, item_id, n_matched, n_windows, changed``, the key of a text."""
     items = hold(
         _windows(id_and_text(benchmark, item_col, item_text_col), None, window, None), "items"
     )
     widths = sorted(r.width for r in items.select("width").distinct().collect())
     table = _bits(items)
-    texts = id_and_text(docs, id_col, text_col)
-    near = _windows(texts, widths, window, table).select(
-        F.col("id").alias("doc_id"), "width", "hash", "place", F.col("tokens").alias("doc_tokens")
+    texts = docs.select(_text_key(text).alias("key"), text.cast("string").alias("text"))
+    near = _windows(texts, widths, window, table, "binary").select(
+        F.col("id").alias("key"), "width", "hash", "place", F.col("tokens").alias("doc_tokens")
     )
     side = items.select(
         F.col("id").alias("item_id"), "width", "hash", F.col("place").alias("item_place"),
@@ -348,7 +368,7 @@ def contaminated(
     )
     aligned = (
         joined.where(same)
-        .groupBy("doc_id", "item_id", (F.col("place") - F.col("item_place")).alias("shift"))
+        .groupBy("key", "item_id", (F.col("place") - F.col("item_place")).alias("shift"))
         .agg(
             F.collect_set(window_at).alias("windows"),
             F.first("width").alias("width"),
@@ -359,7 +379,7 @@ def contaminated(
     held = lambda place: F.sequence(place, place + F.col("width") - 1)
     found = (
         _agreeing(aligned)
-        .groupBy("doc_id", "item_id")
+        .groupBy("key", "item_id")
         .agg(
             F.array_distinct(F.flatten(F.collect_list("places"))).alias("places"),
             F.array_distinct(F.flatten(F.collect_list("identical"))).alias("identical"),
@@ -368,7 +388,7 @@ def contaminated(
             F.first("n_windows").alias("n_windows"),
         )
         .select(
-            "doc_id",
+            "key",
             "item_id",
             F.size("places").cast("long").alias("n_matched"),
             "n_windows",
@@ -387,8 +407,9 @@ def contaminated(
     return found.where((F.col("n_matched") > 0) & enough).drop("run", "width", "n_held")
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, that no benchmark item contaminates."""
-    hits = contaminated(docs, benchmark, id_col=id_col, text_col=text_col)
-    hits = hold(hits.select(F.col("doc_id").alias("__hit")).distinct())
-    return docs.join(hits, docs[id_col].cast("long") == hits["__hit"], "left_anti")
+    key = fresh(docs.columns, "key")
+    hits = _contaminated(docs[text_col], docs, benchmark, WINDOW, COVERED, "item_id", "text")
+    hits = hold(hits.select(F.col("key").alias(key)).distinct(), "hits")
+    return docs.join(hits, _text_key(docs[text_col]) == hits[key], "left_anti")
