@@ -131,3 +131,14 @@ def test_native(spark, name):
     found = licences.scan(docs) if name == "licences" else boilerplate.without_boilerplate(docs, docs["source"])
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_clashing_columns(spark):
+    """Columns of the input may have any name, also those used inside."""
+    docs = spark.createDataFrame(
+        [(n, f"same line\nown {n}", "h", "a", "b", "c") for n in range(12)],
+        "doc_id long, text string, source string, lines string, host string, HOST_ string",
+    )
+    found = boilerplate.without_boilerplate(docs, docs["source"])
+    assert found.columns == [*docs.columns, "n_dropped"]
+    assert {(r.text, r.lines, r.host) for r in found.collect()} == {(f"own {n}", "a", "b") for n in range(12)}

@@ -20,11 +20,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tracewright.llm.common import hold
+from tracewright.llm.common import fresh, hold
 
 RATIO = 0.1
 LEAST_PAGES = 5
-_HOST, _LINES = "__host", "__lines"
 
 
 def trimmed(line: Column) -> Column:
@@ -60,14 +59,15 @@ def without_boilerplate(
     """``pages`` with ``text_col`` reduced and ``count_col long``, the lines dropped,
     which replaces a column of that name."""
     found = hold(boilerplate(pages, host, pages[text_col], ratio, least), "boilerplate")
+    host_name, lines_name = fresh(pages.columns, "host"), fresh(pages.columns, "lines")
     found = found.select(
-        F.when(~F.col("none"), F.col("host")).alias(_HOST), F.col("lines").alias(_LINES)
+        F.when(~F.col("none"), F.col("host")).alias(host_name), F.col("lines").alias(lines_name)
     )
-    joined = pages.join(found, host.eqNullSafe(found[_HOST]), "left")
-    text = F.col(text_col)
+    joined = pages.join(found, host.eqNullSafe(found[host_name]), "left")
+    text, common = pages[text_col], F.col(lines_name)
     all_lines = F.split(text, "\n")
-    kept = F.filter(all_lines, lambda line: ~F.array_contains(F.col(_LINES), trimmed(line)))
-    some = F.col(_LINES).isNotNull() & text.isNotNull()
+    kept = F.filter(all_lines, lambda line: ~F.array_contains(common, trimmed(line)))
+    some = common.isNotNull() & text.isNotNull()
     dropped = F.when(some, F.size(all_lines) - F.size(kept)).otherwise(0).cast("long")
     return joined.select(
         *[
