@@ -114,13 +114,22 @@ _ROWS = pa.schema(
 )
 
 
+#: Component types in bytes, and the arrays they come from.
+_ARRAYS = {"<f4": "array<float>", "<f8": "array<double>"}
+
+
+def _component(rows: DataFrame, vector_col: str) -> str:
+    return "<f4" if rows.schema[vector_col].dataType.simpleString() == "array<float>" else "<f8"
+
+
 def vectors(rows: DataFrame, id_col: str, vector_col: str, label_col: str) -> DataFrame:
-    """``vec_id, label, digest, vector``: little-endian doubles and their digest, both
-    null for vectors that link with nothing."""
+    """``vec_id, label, digest, vector``: the components' bytes and their digest, both
+    null for vectors that link with nothing. Floats stay floats (see ``_component``)."""
+    kind = _component(rows, vector_col)
     narrow = rows.select(
         rows[id_col].cast("long").alias("vec_id"),
         F.xxhash64(rows[label_col]).alias("label"),
-        F.when(rows[label_col].isNotNull(), rows[vector_col].cast("array<double>")).alias("vector"),
+        F.when(rows[label_col].isNotNull(), rows[vector_col].cast(_ARRAYS[kind])).alias("vector"),
     )
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,9 +139,9 @@ def vectors(rows: DataFrame, id_col: str, vector_col: str, label_col: str) -> Da
                 values = vector.values
                 digest = data = None
                 if values is not None and len(values) and not values.null_count:
-                    found = values.to_numpy() + 0.0
+                    found = values.to_numpy() + values.type.to_pandas_dtype()(0)
                     if np.isfinite(found).all() and found.any():
-                        data = found.astype("<f8").tobytes()
+                        data = found.astype(kind).tobytes()
                         digest = blake2b(data, digest_size=16).digest()
                 digests.append(digest)
                 packed.append(data)
@@ -141,9 +150,9 @@ def vectors(rows: DataFrame, id_col: str, vector_col: str, label_col: str) -> Da
     return map_in_arrow(narrow, task, "vec_id long, label long, digest binary, vector binary")
 
 
-def _units(packed: list[bytes]) -> np.ndarray:
-    """Unit vectors of equally long ones, without overflow."""
-    rows = np.frombuffer(b"".join(packed), "<f8").reshape(len(packed), -1)
+def _units(packed: list[bytes], kind: str) -> np.ndarray:
+    """Unit vectors, as doubles, of equally long ones, without overflow."""
+    rows = np.frombuffer(b"".join(packed), kind).reshape(len(packed), -1).astype(np.float64)
     rows = rows / np.abs(rows).max(axis=1, keepdims=True)
     return rows / np.sqrt((rows * rows).sum(axis=1, keepdims=True))
 
@@ -151,7 +160,7 @@ def _units(packed: list[bytes]) -> np.ndarray:
 _POSTED = pa.schema([("node", pa.int64()), ("team", pa.int64()), ("cells", pa.list_(pa.int64()))])
 
 
-def _posted(classes: DataFrame, tables: int, probes: int, scale: float) -> DataFrame:
+def _posted(classes: DataFrame, kind: str, tables: int, probes: int, scale: float) -> DataFrame:
     """``node, team, cells``: each class's group, and all the cells it is posted in."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,7 +173,7 @@ def _posted(classes: DataFrame, tables: int, probes: int, scale: float) -> DataF
                 rows = np.flatnonzero(sizes == size)
                 for start in range(0, len(rows), 2 * BLOCK):
                     part = rows[start : start + 2 * BLOCK]
-                    unit = _units([packed[n] for n in part])
+                    unit = _units([packed[n] for n in part], kind)
                     salt = labels[part] + np.uint64(size)
                     found = [cells(unit, salt, t, scale, probes) for t in range(tables)]
                     own = found[0][:, 0]
@@ -177,7 +186,8 @@ def _posted(classes: DataFrame, tables: int, probes: int, scale: float) -> DataF
 
 def _pairs(posted: DataFrame) -> DataFrame:
     """``a, b``: groups that some cell lists together, and groups with themselves."""
-    listed = hold(posted.select("team", F.explode("cells").alias("cell")).distinct(), "cells")
+    # Dealt by cell once: the steps up to the open cells share that exchange.
+    listed = posted.select("team", F.explode("cells").alias("cell")).repartition("cell").distinct()
     shared = listed.groupBy("cell").agg(F.min("team").alias("low"), F.max("team").alias("high"))
     open_cells = hold(listed.join(shared.where("low < high").select("cell"), "cell"), "shared_cells")
     other = open_cells.select("cell", F.col("team").alias("b"))
@@ -217,7 +227,7 @@ def _linked(matrix: np.ndarray) -> np.ndarray:
         place = new
 
 
-def _found(pairs: DataFrame, parts: DataFrame, cosine: float) -> DataFrame:
+def _found(pairs: DataFrame, parts: DataFrame, kind: str, cosine: float) -> DataFrame:
     """``node, links, other``: a class's links to the other classes of one pair of parts,
     and a class of that pair it is connected with."""
     first, second = (
@@ -240,7 +250,7 @@ def _found(pairs: DataFrame, parts: DataFrame, cosine: float) -> DataFrame:
                 links = np.zeros((len(nodes), len(nodes)), bool)
                 for length in np.unique(lengths):
                     rows = np.flatnonzero(lengths == length)
-                    unit = _units([packed[n] for n in rows])
+                    unit = _units([packed[n] for n in rows], kind)
                     links[np.ix_(rows, rows)] = unit @ unit.T >= cosine
                 if not same.as_py():
                     # Within a side, the pair of the side with itself tells.
@@ -271,7 +281,8 @@ def near_duplicates(
     block: int = BLOCK,
 ) -> DataFrame:
     """``vec_id, n_links long, component_id long, kept boolean`` of every row."""
-    found = hold(vectors(rows, id_col, vector_col, label_col), "vectors")
+    # Cheaper to compute again for the verdicts than to keep.
+    kind, found = _component(rows, vector_col), vectors(rows, id_col, vector_col, label_col)
     classes = hold(
         found.where("digest is not null")
         .groupBy("label", "digest", "vector")
@@ -279,9 +290,9 @@ def near_duplicates(
         .withColumn("node", F.monotonically_increasing_id()),
         "vector_classes",
     )
-    posted = hold(_posted(classes, tables, probes, scale), "posted")
+    posted = hold(_posted(classes, kind, tables, probes, scale), "posted")
     pairs = hold(_pairs(posted), "pairs")
-    links = hold(_found(pairs, _parts(posted, classes, pairs, block), cosine), "links")
+    links = hold(_found(pairs, _parts(posted, classes, pairs, block), kind, cosine), "links")
     names = components(links.select(F.col("node").alias("a"), F.col("other").alias("b")))
     counted = links.groupBy("node").agg(F.sum("links").alias("links"))
     # Classes without links, most of them, need no name from a neighbour.
