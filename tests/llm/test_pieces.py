@@ -50,6 +50,20 @@ def test_joint_agenda_equals_heap():
         assert one == (ids[offsets[n] : offsets[n + 1]].tolist(), lost[n])
 
 
+def test_a_long_unit_equals_the_joint_agenda(monkeypatch):
+    """Units beyond the joint agenda's length have the segmentation it would give."""
+    draw = np.random.default_rng(4)
+    parts = np.array(["inter", "nation", "al", "seg", "ment", "é", "日本", "x", "\x01"])
+    units = ["".join(draw.choice(parts, 200)) for _ in range(4)]
+    streams, table = np.arange(4), VOCABULARY.pairs()
+    alone = pieces.segment_many(units, streams, VOCABULARY, table, 0.2, 9)
+    monkeypatch.setattr(pieces, "TOGETHER", 4096)
+    joint = pieces.segment_many(units, streams, VOCABULARY, table, 0.2, 9)
+    assert min(map(len, units)) > 128
+    for one, other in zip(alone, joint):
+        assert one.tolist() == other.tolist()
+
+
 def test_seed_and_stream_vary_the_segmentation():
     text = ["international business segmentation everything"] * 30
     found, _ = encoded(text, 0.3)

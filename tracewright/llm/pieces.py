@@ -22,7 +22,8 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
-from heapq import heappop, heappush
+from functools import cached_property
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -128,6 +129,13 @@ class PairTable:
         for piece, place in vocabulary.order.items():
             self.place_of[ids[piece]] = place
 
+    @cached_property
+    def merges(self) -> dict[int, tuple[int, int]]:
+        """The same as a dictionary, for one pair at a time."""
+        used = np.flatnonzero(self.keys >= 0)
+        columns = (self.keys, self.places, self.merged)
+        return {k: (p, m) for k, p, m in zip(*(c[used].tolist() for c in columns))}
+
     def _slot(self, keys: np.ndarray, probe: int) -> np.ndarray:
         mixed = keys.astype(np.uint64) * np.uint64(_FOLD)
         return ((mixed >> np.uint64(36)).astype(np.int64) + probe) & self.mask
@@ -180,6 +188,15 @@ def _limit(dropout: float) -> int:
     return int(dropout * (1 << 32))
 
 
+def _unit_key(codes: list[int], seed: int, stream: int) -> int:
+    """:func:`_unit_keys` of one unit."""
+    key = (seed * _LAST & _MASK) ^ ((stream + 1) * _PLACE & _MASK)
+    for code in codes:
+        key = (key ^ code) * _FOLD & _MASK
+        key ^= key >> 29
+    return key
+
+
 def segment_one(
     unit: str, vocabulary: Vocabulary, table: PairTable, dropout: float, seed: int, stream: int
 ) -> tuple[list[int], int]:
@@ -188,36 +205,31 @@ def segment_one(
     codes = _codes(unit)
     symbols = table.single[codes].tolist()
     count, limit, skipped = len(symbols), _limit(dropout), 0
-    key = _unit_keys(codes[None, :], np.array([count]), seed, np.array([stream]))
-    agenda: list[tuple[int, int, int, int, int, int]] = []
-
-    def offer(pairs: list[tuple[int, int]]) -> None:
-        a = np.array([symbols[i] for i, _ in pairs], np.int64)
-        b = np.array([symbols[j] for _, j in pairs], np.int64)
-        places, merged = table.find(a, b)
-        for n in np.flatnonzero(places < _NONE).tolist():
-            i, j = pairs[n]
-            heappush(agenda, (int(places[n]), i, j, symbols[i], symbols[j], int(merged[n])))
-
+    key = _unit_key(codes.tolist(), seed, stream) if limit else 0
+    merges = table.merges
     left, right = list(range(-1, count - 1)), list(range(1, count + 1))
-    offer([(i, i + 1) for i in range(count - 1)])
+    # Pairs with a symbol of no piece (-1) have keys that no merge has.
+    first_pairs = ((i, merges.get(a << 20 | b)) for i, (a, b) in enumerate(zip(symbols, symbols[1:])))
+    agenda = [(m[0], i, i + 1, symbols[i], symbols[i + 1], m[1]) for i, m in first_pairs if m]
+    heapify(agenda)
     while agenda:
         place, i, j, first, second, merged = heappop(agenda)
         if right[i] != j or symbols[i] != first or symbols[j] != second:
             continue  # a side was merged since
-        if limit and _dropped(key, np.array([i]), np.array([place]), limit)[0]:
-            skipped += 1
-            continue
-        symbols[i], right[i] = merged, right[j]
+        if limit:
+            mixed = key ^ (i * _LEFT & _MASK) ^ (place * _PLACE & _MASK)
+            if ((mixed ^ mixed >> 29) * _LAST & _MASK) >> 32 < limit:
+                skipped += 1
+                continue
+        before, after = left[i], right[j]
+        symbols[i], right[i] = merged, after
         right[j] = -1
-        pairs = []
-        if left[i] >= 0:
-            pairs.append((left[i], i))
-        if right[i] < count:
-            left[right[i]] = i
-            pairs.append((i, right[i]))
-        if pairs:
-            offer(pairs)
+        if before >= 0 and (found := merges.get(symbols[before] << 20 | merged)):
+            heappush(agenda, (found[0], before, i, symbols[before], merged, found[1]))
+        if after < count:
+            left[after] = i
+            if found := merges.get(merged << 20 | symbols[after]):
+                heappush(agenda, (found[0], i, after, merged, symbols[after], found[1]))
     out: list[int] = []
     at = 0
     while at < count:
