@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from tracewright.llm.common import hold
@@ -53,3 +54,15 @@ def _renamed(edges: DataFrame, end: str, parent: DataFrame) -> DataFrame:
     names = parent.select(F.col("node").alias(end), "label")
     other = "b" if end == "a" else "a"
     return edges.join(names, end).select(F.col("label").alias(end), other).select("a", "b")
+
+
+def first_connected(matrix: np.ndarray) -> np.ndarray:
+    """For a square matrix of links, the first place each place is connected with."""
+    place = np.arange(len(matrix))
+    while True:
+        least = np.where(matrix, place[None, :], len(place)).min(axis=1, initial=len(place))
+        new = np.minimum(place, least)
+        new = new[new]
+        if (new == place).all():
+            return place
+        place = new

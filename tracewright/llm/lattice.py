@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tracewright.llm.common import hold, record_batch
-from tracewright.llm.components import components
+from tracewright.llm.components import components, first_connected
 from tracewright.session import map_in_arrow
 
 COSINE = 0.98
@@ -215,18 +215,6 @@ def _parts(posted: DataFrame, classes: DataFrame, pairs: DataFrame, block: int)
 _FOUND = pa.schema([("node", pa.int64()), ("links", pa.int64()), ("other", pa.int64())])
 
 
-def _linked(matrix: np.ndarray) -> np.ndarray:
-    """For a square matrix of links, the first place each place is connected with."""
-    place = np.arange(len(matrix))
-    while True:
-        least = np.where(matrix, place[None, :], len(place)).min(axis=1, initial=len(place))
-        new = np.minimum(place, least)
-        new = new[new]
-        if (new == place).all():
-            return place
-        place = new
-
-
 def _found(pairs: DataFrame, parts: DataFrame, kind: str, cosine: float) -> DataFrame:
     """``node, links, other``: a class's links to the other classes of one pair of parts,
     and a class of that pair it is connected with."""
@@ -260,7 +248,7 @@ def _found(pairs: DataFrame, parts: DataFrame, kind: str, cosine: float) -> Data
                 hit = np.flatnonzero(links.any(axis=1))
                 if len(hit):
                     counts = links[hit] @ sizes
-                    other = nodes[_linked(links)[hit]]
+                    other = nodes[first_connected(links)[hit]]
                     yield record_batch(_FOUND, [nodes[hit], counts, other])
 
     same = F.expr("a = b and a_part = b_part")

@@ -18,9 +18,14 @@ is retained if it shares that many, and its link is confirmed on the full sets.
   100,000, and keeps about one in 240 pairs of similarity 0.1.
 - *Copies* with equal sets are one class, posted once.
 - *Hot lists.* A list's documents are compared with one centre, not with each
-  other. Confirmed links make components, and only what shares a list across
-  components is left. After two centres, what is left is compared in lists cut by
-  size, so that no link between different components goes unseen.
+  other; of two centres each. Confirmed links make components.
+- *Teams.* Documents that were retained with a common centre, linked or not, are a team.
+  A team that spans components is compared whole, on its full sets, as matrix products of
+  parts of about ``ROOM`` shingles inside tasks. What leaves a task joins each document
+  with one other, so a large group of documents around the threshold makes no pairs.
+  Parts of one component are not compared with each other.
+- *The rest.* Documents of different teams and components that still share a list are
+  paired in lists cut by size, so that no link goes unseen.
 
 Defined results: null and empty texts have an empty set, are their own component
 and are kept. Every row counts: rows that share an id and have different texts are
@@ -42,7 +47,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tracewright.llm.common import fresh, hold, id_and_text, record_batch
-from tracewright.llm.components import components
+from tracewright.llm.components import components, first_connected
 from tracewright.session import map_in_arrow
 
 K = 64
@@ -52,6 +57,10 @@ SKETCH = 18
 #: Sets of one size class differ by less than this factor, so linked ones are in the
 #: same class or in neighbouring ones (they differ by 1.25 at most).
 _CLASS = 1.2501
+#: Shingles of a part of a team, and the least that a document counts for.
+ROOM, LEAST_WEIGHT = 1 << 17, 150
+#: Columns of a matrix of shingles multiplied at once.
+_COLUMNS = 2048
 #: Links join documents with PERCENT * union <= 100 * intersection.
 PERCENT = 80
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -256,11 +265,11 @@ def _with_centre(posted: DataFrame, centre: str, percent: int) -> DataFrame:
 
 
 def _all_across(posted: DataFrame, percent: int) -> DataFrame:
-    """The documents of each list that are in different components, in lists of a size
-    class and the one above."""
+    """The documents of each list that are in different components and teams, in lists
+    of a size class and the one above."""
     step = F.floor(F.log(F.col("n_shingles")) / float(np.log(_CLASS)))
     sized = posted.withColumn("step", step)
-    names = ["doc", "label", "n_shingles", "sketch"]
+    names = ["doc", "label", "team", "n_shingles", "sketch"]
     home = sized.select("pair", "step", *[F.col(c).alias(f"a_{c}") for c in names])
     other = sized.select(
         "pair",
@@ -272,17 +281,99 @@ def _all_across(posted: DataFrame, percent: int) -> DataFrame:
     asks = (F.col("a_label") < F.col("b_label")) | (
         (F.col("own") < F.col("step")) & (F.col("a_label") != F.col("b_label"))
     )
-    paired = home.join(other, ["pair", "step"]).where(asks & _compatible("a_", "b_", percent))
+    apart = asks & (F.col("a_team") != F.col("b_team"))
+    paired = home.join(other, ["pair", "step"]).where(apart & _compatible("a_", "b_", percent))
     return paired.select(F.col("a_doc").alias("a"), F.col("b_doc").alias("b"))
 
 
-def _with_texts(pairs: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
-    """``node, text`` of the classes in ``pairs``, one of their rows' texts each."""
-    nodes = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+def _with_texts(nodes: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
+    """``node, text`` of the classes ``nodes(doc_id)``, one of their rows' texts each."""
     asked = hold(reps.select("doc_id", "key").join(nodes, "doc_id").withColumnRenamed("doc_id", "node"), "asked")
     return hold(docs.join(asked, "key").groupBy("node").agg(F.min("text").alias("text")), "texts")
 
 
+def shared_counts(first: list[np.ndarray], second: list[np.ndarray]) -> np.ndarray:
+    """How many hashes each set of ``first`` shares with each of ``second``."""
+    sizes = np.array([len(s) for s in (*first, *second)])
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    _, column, uses = np.unique(np.concatenate([*first, *second]), return_inverse=True, return_counts=True)
+    several = uses > 1
+    kept = several[column]
+    owner, column = owner[kept], (np.cumsum(several) - 1)[column[kept]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    total = np.zeros((len(first), len(second)))
+    cuts = np.searchsorted(column, np.arange(0, several.sum() + _COLUMNS, _COLUMNS))
+    for begin, end in zip(cuts, cuts[1:]):
+        held = np.zeros((len(sizes), _COLUMNS), np.float32)
+        held[owner[begin:end], column[begin:end] % _COLUMNS] = 1
+        total += held[: len(first)] @ held[len(first) :].T
+    return total
+
+
+def _within_teams(members: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """``a, b``: links that connect what is linked inside each team of ``members(node,
+    team, label, n_shingles)``, found on the full sets of ``texts(node, text)``."""
+    weight = F.greatest("n_shingles", F.lit(LEAST_WEIGHT))
+    of_label = members.groupBy("team", "label").agg(F.sum(weight).alias("weight"))
+    # A large component has parts of its own, the others share theirs.
+    sized = of_label.withColumn("whose", F.when(F.col("weight") > ROOM // 2, F.col("label")).otherwise(-1))
+    room = hold(
+        sized.groupBy("team", "whose").agg(F.ceil(F.sum("weight") / ROOM).cast("long").alias("parts")), "rooms"
+    )
+    owned = sized.select("team", "label", "whose")
+    placed = (
+        members.join(owned, ["team", "label"])
+        .join(room, ["team", "whose"])
+        .select("node", "team", "label", "whose", F.pmod(F.xxhash64("node"), "parts").alias("part"))
+    )
+    name = ["team", "whose", "part"]
+    parts = hold(
+        placed.join(texts, "node").groupBy(*name).agg(F.collect_list(F.struct("node", "label", "text")).alias("held")),
+        "team_parts",
+    )
+    a, b = (parts.select("team", F.struct("whose", "part").alias(side)) for side in "ab")
+    pairs = a.join(b, "team").where("a <= b and (a.whose <> b.whose or a.whose = -1)")
+    first, second = (
+        parts.select("team", F.struct("whose", "part").alias(side), F.col("held").alias(f"{side}_held")) for side in "ab"
+    )
+    joined = pairs.join(first, ["team", "a"]).join(second, ["team", "b"])
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for same, *sides in zip(*batch.columns):
+                known = _Hashes()
+                held = [s.values for s in (sides[:1] if same.as_py() else sides)]
+                sets = [[shingle_hashes(t, width, known) for t in h.field(2).to_pylist()] for h in held]
+                nodes, labels = (np.concatenate([h.field(n).to_numpy() for h in held]) for n in (0, 1))
+                counts = shared_counts(sets[0], sets[-1])
+                own, other = (np.array([len(x) for x in s]) for s in (sets[0], sets[-1]))
+                linked = (counts > 0) & (100 * counts >= percent * (own[:, None] + other[None, :] - counts))
+                split = len(sets[0])
+                links = np.zeros((len(nodes), len(nodes)), bool)
+                if same.as_py():
+                    links[:] = linked
+                else:
+                    links[:split, split:] = linked
+                    links[split:, :split] = linked.T
+                links &= labels[:, None] != labels[None, :]
+                place = first_connected(links)
+                hit = np.flatnonzero(place != np.arange(len(place)))
+                if len(hit):
+                    yield record_batch(schema, [nodes[hit], nodes[place[hit]]])
+
+    return map_in_arrow(joined.select((F.col("a") == F.col("b")).alias("same"), "a_held", "b_held"), task, "a long, b long")
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+
+
 def link_components(
     docs: DataFrame, width: int, percent: int = PERCENT, k: int = K, matches: int = MATCHES
 ) -> tuple[DataFrame, DataFrame]:
@@ -304,18 +395,35 @@ def link_components(
         "classes",
     )
     posted = hold(postings(reps.select("doc_id", "n_shingles", "sketch", "signature"), k, matches), "postings")
-    links, labels = None, None
-    for centre in ("smallest", "hashed", "all"):
+    links = labels = near = None
+    for centre in ("smallest", "hashed"):
         posted = hold(_open_lists(_labelled(posted.drop("label"), labels)), "open")
         if posted.isEmpty():
             break
-        found = _all_across(posted, percent) if centre == "all" else _with_centre(posted, centre, percent)
-        pairs = hold(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+        pairs = hold(_ordered(_with_centre(posted, centre, percent)), "pairs")
         retained = hold(_retained(pairs, reps, matches, percent), "retained")
-        texts = _with_texts(retained, reps, docs)
+        near = retained if near is None else near.union(retained)
+        texts = _with_texts(_ends(retained), reps, docs)
         confirmed = hold(_confirmed(retained, texts, width, percent), "links")
         links = confirmed if links is None else links.union(confirmed)
         labels = components(links)
+    if links is not None:
+        teams = components(near).withColumnRenamed("label", "team")
+        members = teams.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        spans = members.groupBy("team").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+        sizes = reps.select(F.col("doc_id").alias("node"), "n_shingles")
+        members = hold(members.join(spans.where("low < high").select("team"), "team").join(sizes, "node"), "members")
+        texts = _with_texts(members.select(F.col("node").alias("doc_id")), reps, docs)
+        links = links.union(hold(_within_teams(members, texts, width, percent), "links"))
+        labels = components(links)
+        posted = _open_lists(_labelled(posted.drop("label"), labels))
+        teams = teams.withColumnRenamed("node", "doc")
+        posted = hold(posted.join(teams, "doc", "left").withColumn("team", F.coalesce("team", "doc")), "open")
+        pairs = hold(_ordered(_all_across(posted, percent)), "pairs")
+        retained = hold(_retained(pairs, reps, matches, percent), "retained")
+        confirmed = _confirmed(retained, _with_texts(_ends(retained), reps, docs), width, percent)
+        links = links.union(hold(confirmed, "links"))
+        labels = components(links)
     classes = reps.select("digest", "low", F.col("doc_id").alias("node"))
     if labels is None:
         return signed, classes.select("digest", F.col("node").alias("team"), F.col("low").alias("component_id"))
