@@ -9,7 +9,7 @@ from tracewright.operators import corpus
 from tracewright.plans.encoding import write_encoded
 from tracewright.plans.registry import query, table
 from tracewright.session import scratch_path
-from tracewright.sources import decode, layout, lines
+from tracewright.sources import decode, layout, lines, logsource
 from tracewright.sources.files import list_logs
 
 # Every third user's log has damaged lines of several kinds; all have blanks.
@@ -350,6 +350,18 @@ def decode_logs(spark: SparkSession, folder: str) -> DataFrame:
     return decoded.groupBy("value").agg(F.count("*").alias("n_lines"))
 
 
+@query(
+    "read_logs",
+    LINES_CTE + "SELECT value, count(*) AS n_lines FROM lines GROUP BY 1",
+)
+def read_logs(spark: SparkSession, folder: str) -> DataFrame:
+    """The same through the data source, files cut into partitions."""
+    path = scratch_path(spark, "encoded")
+    write_encoded(event_lines(spark, folder), "event_id", path)
+    found = logsource.read_logs(spark, f"{path}/logs", chunk_bytes=64 << 10)
+    return found.where("error IS NULL").groupBy("value").agg(F.count("*").alias("n_lines"))
+
+
 @query(
     "validate_logs",
     LINES_CTE

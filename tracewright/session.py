@@ -70,7 +70,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 _shipped: set[str] = set()
 
 
-def _ship_package(spark: SparkSession) -> None:
+def ship_package(spark: SparkSession) -> None:
     """Give Python workers this package, once per application. A package that
     was itself submitted as an archive is there already."""
     application = spark.sparkContext.applicationId
@@ -92,13 +92,13 @@ def _ship_package(spark: SparkSession) -> None:
 
 def map_in_arrow(df: DataFrame, function: Callable, schema: str) -> DataFrame:
     """``df.mapInArrow`` with this package importable in the workers."""
-    _ship_package(df.sparkSession)
+    ship_package(df.sparkSession)
     return df.mapInArrow(function, schema)
 
 
 def map_in_pandas(df: DataFrame, function: Callable, schema) -> DataFrame:
     """``df.mapInPandas`` with this package importable in the workers."""
-    _ship_package(df.sparkSession)
+    ship_package(df.sparkSession)
     return df.mapInPandas(function, schema)
 
 
