@@ -5,16 +5,17 @@ from __future__ import annotations
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructType, VariantType
 
 from tracewright.functions.text import current_tag, path_parts, stem, tag_date
+from tracewright.operators.runs import run_config, typed_config
 from tracewright.operators.skew import salted_join
 from tracewright.session import hadoop_path
 from tracewright.sources.layout import log_relpath
 
 # Field names and types of a catalog entry, in JSON key order.
 CATALOG_SCHEMA = """
-checksum STRING, compression STRING, config_diff MAP<STRING, STRING>, data_repo_tag STRING,
+checksum STRING, compression STRING, config_diff VARIANT, data_repo_tag STRING,
 fetched_at STRING, fires_detectors ARRAY<STRING>, fires_detectors_checked_with STRING,
 generated_at STRING, id STRING, known_misses MAP<STRING, STRING>, license STRING,
 log_layout STRING, path STRING, scenario STRING, size_bytes BIGINT, source STRING,
@@ -77,13 +78,24 @@ def entry_json(entries: DataFrame, ordinal: str) -> DataFrame:
     return entries.select(ordinal, F.to_json(F.struct(*fields)).alias("entry_json"))
 
 
+def _config(run_rows: DataFrame) -> Column:
+    if run_rows.schema["config"].dataType == VariantType():
+        return F.col("config")
+    if "event_log_confs" in run_rows.columns:
+        return run_config()
+    nested = {c: F.col(c) for c in ("spark_confs",) if c in run_rows.columns}
+    return typed_config("config", **nested)
+
+
 def catalog_entries(
     runs: DataFrame, files: DataFrame, layouts: DataFrame, tag: Column
 ) -> DataFrame:
     """Entries for runs whose log was accepted.
 
     ``runs`` has ``id, spark_version, table_format, scenario, config,
-    targets_detectors, known_misses``; ``files`` one row per log with ``id,
+    targets_detectors, known_misses``; the config is kept whole, as one nested object
+    with its types, be it a VARIANT or a map as :func:`runs.all_runs` has it (then with
+    ``spark_confs`` and ``event_log_confs`` where present); ``files`` one row per log with ``id,
     name, is_dir_log, checksum, size_bytes``; ``layouts`` the result of
     ``log_layout``. Layout and codec are recorded only where the log is not
     one plain file, and empty known misses are left out.
@@ -101,7 +113,7 @@ def catalog_entries(
         "spark_version",
         "table_format",
         "scenario",
-        F.col("config").alias("config_diff"),
+        _config(runs).alias("config_diff"),
         "targets_detectors",
         F.when(F.size("known_misses") > 0, F.col("known_misses")).alias("known_misses"),
         tag_date(tag).alias("generated_at"),

@@ -44,3 +44,38 @@ def conf_diff(conf: Column, base: Column) -> Column:
 def exploded(df: DataFrame, conf: Column, id_column: str = "id") -> DataFrame:
     """A conf map as ``id, key, value`` rows."""
     return df.select(F.col(id_column).alias("id"), F.explode(conf).alias("key", "value"))
+
+
+def setting_leaves(df: DataFrame, config: str, id_column: str = "id") -> DataFrame:
+    """A VARIANT config as ``id, path, value``: one row per setting however deep it
+    lies, the path an array of keys, the value its JSON text, so that ``true`` and
+    ``"true"`` differ. Empty objects are settings of their own; nulls stay null text."""
+    is_object = F.col("value").isNotNull() & F.schema_of_variant("value").startswith("OBJECT<")
+    rows = df.select(
+        F.col(id_column).alias("id"), F.array().cast("array<string>").alias("path"), F.col(config).alias("value")
+    ).where("value IS NOT NULL")
+    found = None
+    while True:
+        rows = rows.withColumn("inner", is_object & (F.schema_of_variant("value") != "OBJECT<>"))
+        leaves = rows.where(~F.col("inner")).select("id", "path", F.to_json("value").alias("value"))
+        found = leaves if found is None else found.union(leaves)
+        deeper = rows.where("inner").select("id", "path", F.col("value").alias("object"))
+        # One job a level; objects hold objects a few times at most.
+        if deeper.isEmpty():
+            return found
+        rows = deeper.lateralJoin(
+            deeper.sparkSession.tvf.variant_explode(F.col("object").outer())
+        ).select("id", F.array_append("path", F.col("key")).alias("path"), F.col("value").alias("value"))
+
+
+def typed_diff(df: DataFrame, config: str, base: str, id_column: str = "id") -> DataFrame:
+    """``id, path, value``: the settings of ``config`` that ``base`` lacks or has with
+    another value or type."""
+    ours = setting_leaves(df, config, id_column).withColumn("ours", F.lit(True))
+    theirs = setting_leaves(df, base, id_column).withColumn("ours", F.lit(False))
+    sides = ours.union(theirs).groupBy("id", "path").agg(
+        F.max(F.when(F.col("ours"), F.col("value"))).alias("value"),
+        F.max(F.when(~F.col("ours"), F.col("value"))).alias("before"),
+        F.bool_or("ours").alias("here"),
+    )
+    return sides.where(F.col("here") & ~F.col("value").eqNullSafe(F.col("before"))).select("id", "path", "value")

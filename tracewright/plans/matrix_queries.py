@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tracewright.functions.text import minor_line, version_parts, version_text
-from tracewright.operators import confs, partitions, runs, versions
+from tracewright.operators import catalog, confs, partitions, runs, versions
 from tracewright.plans.registry import query, table
+from tracewright.session import scratch_path
 from tracewright.sources import reports
 
 # Each part is a release; the newest per line is that line's pin.
@@ -338,6 +339,48 @@ def config_diff(spark: SparkSession, folder: str) -> DataFrame:
     return confs.exploded(merged_confs(spark, folder), diff)
 
 
+TYPED = """
+WITH runs AS (SELECT o_orderkey AS id, o_orderkey % 3 <> 0 AS aqe, CASE WHEN o_orderkey % 2 = 0 THEN 200 ELSE 2000 END AS parts,
+  o_orderkey % 5 = 0 AS pressed, o_orderstatus AS status FROM orders)
+"""
+
+
+@query(
+    "config_diff_typed",
+    TYPED
+    + f"""
+SELECT id, 'aqe' AS path, 'false' AS value FROM runs WHERE NOT aqe
+UNION ALL SELECT id, 'shuffle_partitions', '2000' FROM runs WHERE parts = 2000
+UNION ALL SELECT id, 'status', '"' || status || '"' FROM runs
+UNION ALL SELECT id, 'spark_confs/{SHUFFLE}', '"' || parts::VARCHAR || '"' FROM runs
+UNION ALL SELECT id, 'spark_confs/{MEMORY}', '"0.02"' FROM runs WHERE pressed
+""",
+)
+def config_diff_typed(spark: SparkSession, folder: str) -> DataFrame:
+    """Nested, typed configs saved in a catalog, loaded and compared with a baseline:
+    a setting differs by type too, and Spark's settings stay text."""
+    order = F.col("o_orderkey")
+    parts = F.when(order % 2 == 0, "200").otherwise("2000")
+    pressed = F.when(order % 5 == 0, F.create_map(F.lit(MEMORY), F.lit("0.02"))).otherwise(
+        F.create_map().cast("map<string,string>")
+    )
+    settings = F.create_map(
+        F.lit("aqe"), (order % 3 != 0).cast("string"), F.lit("shuffle_partitions"), parts, F.lit("status"), "o_orderstatus"
+    )
+    runs_ = table(spark, folder, "orders").select(
+        order.cast("string").alias("id"),
+        runs.typed_config(settings, spark_confs=F.map_concat(F.create_map(F.lit(SHUFFLE), parts), pressed)).alias(
+            "config_diff"
+        ),
+    )
+    path = scratch_path(spark, "catalog")
+    catalog.save_catalog(runs_, path)
+    base = F.parse_json(F.lit('{"aqe": true, "shuffle_partitions": 200, "skew": "none", "spark_confs": {}}'))
+    loaded = catalog.load_catalog(spark, path).select("id", "config_diff", base.alias("base"))
+    diff = confs.typed_diff(loaded, "config_diff", "base")
+    return diff.select(F.col("id").cast("long").alias("id"), F.array_join("path", "/").alias("path"), "value")
+
+
 PROFILED = 12
 
 
