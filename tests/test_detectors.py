@@ -151,12 +151,22 @@ def test_cold_start(spark, wait, hit):
     assert (row.wait_ms, row.fires) == (wait, hit)
 
 
+def test_cold_start_without_executors_or_stages(spark):
+    """An executor that never came is waited for until the end; no stage, no wait."""
+    executors = spark.createDataFrame([("b", 5)], "log_id string, added_ms long")
+    stages = spark.createDataFrame([("a", 1000), ("c", 1000)], "log_id string, submitted_ms long")
+    ends = [("a", 50_000), ("b", 99_000), ("c", None), ("d", None)]
+    apps = spark.createDataFrame(ends, "log_id string, ended_ms long")
+    found = {r.log_id: (r.wait_ms, r.fires) for r in d.detect_cold_start(executors, stages, applications=apps).collect()}
+    assert found == {"a": (49_000, True), "b": (None, None), "c": (None, None), "d": (None, None)}
+
+
 def test_utilization_without_end_event(spark):
-    executors = spark.createDataFrame([("a", 4)], "log_id string, cores long")
+    executors = spark.createDataFrame([("a", "1", 4, 0)], "log_id string, executor_id string, cores long, added_ms long")
     apps = spark.createDataFrame([("a", 0, None)], "log_id string, started_ms long, ended_ms long")
-    work = tasks(spark, {"duration_ms": 1000, "finish_ms": 1000})
+    work = tasks(spark, {"launch_ms": 0, "duration_ms": 1000, "finish_ms": 1000})
     row = d.detect_utilization(work, executors, apps).first()
-    assert (row.busy_ms, row.cores, row.wall_ms, row.fires) == (1000, 4, 1000, True)
+    assert (row.busy_ms, row.room_ms, row.peak_cores, row.idle_ms, row.fires) == (1000, 4000, 4, 1000, True)
 
 
 def test_failed_jobs_and_stages(spark):

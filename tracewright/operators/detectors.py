@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tracewright.operators.quantiles import grouped_quantiles
+from tracewright.operators.timeline import core_timeline, core_use
 from tracewright.session import staged
 from tracewright.sources.tables import LogTables
 
@@ -305,38 +306,41 @@ def detect_job_failures(jobs: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:
 
 
 def detect_utilization(
-    tasks: DataFrame, executors: DataFrame, applications: DataFrame, t: Thresholds = DEFAULTS
+    tasks: DataFrame,
+    executors: DataFrame,
+    applications: DataFrame,
+    t: Thresholds = DEFAULTS,
+    removals: DataFrame | None = None,
 ) -> DataFrame:
-    """UTIL: task time over cores times wall time. A log without an end event
-    is measured to its last task."""
-    work = tasks.groupBy("log_id").agg(
-        F.sum("duration_ms").alias("busy_ms"), F.max("finish_ms").alias("_last_ms")
-    )
-    cores = executors.groupBy("log_id").agg(F.sum("cores").alias("cores"))
-    apps = applications.select("log_id", "started_ms", "ended_ms")
-    wall = F.coalesce("ended_ms", "_last_ms") - F.col("started_ms")
-    joined = work.join(cores, "log_id").join(apps, "log_id").withColumn("wall_ms", wall)
-    room = F.col("cores") * F.col("wall_ms")
-    used = F.when(room > 0, F.col("busy_ms") / room)
-    return joined.select(
-        "log_id",
-        "busy_ms",
-        "cores",
-        "wall_ms",
-        F.coalesce(used < t.utilization, F.lit(False)).alias("fires"),
+    """UTIL: task time over the core time that executors offered while they were
+    there, per log of ``applications``. A log that never had a core is not checked:
+    its ``fires`` is null. One without tasks used none of its cores."""
+    use = core_use(core_timeline(tasks, executors, applications, removals), t.utilization)
+    used = F.when(F.col("room_ms") > 0, F.col("busy_ms") / F.col("room_ms"))
+    counts = ("busy_ms", "room_ms", "peak_cores", "peak_running", "idle_ms")
+    return (
+        applications.select("log_id")
+        .join(use, "log_id", "left")
+        .select("log_id", *[_or_zero(F.col(c)).alias(c) for c in counts], (used < t.utilization).alias("fires"))
     )
 
 
 def detect_cold_start(
-    executors: DataFrame, stages: DataFrame, t: Thresholds = DEFAULTS
+    executors: DataFrame, stages: DataFrame, t: Thresholds = DEFAULTS, applications: DataFrame | None = None
 ) -> DataFrame:
-    """COLD: time from the first stage's submission to the first executor."""
+    """COLD: time from the first stage's submission to the first executor, for every
+    log with a stage, and of ``applications`` if given. Where no executor came, the wait
+    lasted to the application's end. A log without a stage, or without either, is not
+    checked: its ``fires`` is null."""
     added = executors.groupBy("log_id").agg(F.min("added_ms").alias("first_executor_ms"))
     submitted = stages.groupBy("log_id").agg(F.min("submitted_ms").alias("first_stage_ms"))
-    wait = F.col("first_executor_ms") - F.col("first_stage_ms")
-    return added.join(submitted, "log_id").select(
-        "log_id", wait.alias("wait_ms"), F.coalesce(wait > t.cold_ms, F.lit(False)).alias("fires")
-    )
+    joined = submitted.join(added, "log_id", "left")
+    ready = F.col("first_executor_ms")
+    if applications is not None:
+        ends = applications.select("log_id", "ended_ms")
+        joined, ready = ends.join(joined, "log_id", "left"), F.coalesce(ready, F.col("ended_ms"))
+    wait = ready - F.col("first_stage_ms")
+    return joined.select("log_id", wait.alias("wait_ms"), (wait > t.cold_ms).alias("fires"))
 
 
 def detect_rescan(scans: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:
@@ -386,12 +390,18 @@ def detect_incomplete(applications: DataFrame) -> DataFrame:
 
 # All findings.
 
+#: Every detector, in the order of a report.
+TAGS = (
+    "SKEW", "STRAG", "HOST", "SPEC", "SHFL", "PART", "TINY", "SPILL", "UTIL", "COLD", "CACHE", "CSTOR",
+    "RETRY", "FAIL", "SFAIL", "JOBS", "INCMP",
+)
+
 
 def _rolled_up(tag: str, detected: DataFrame) -> DataFrame:
     return detected.groupBy("log_id").agg(
         F.lit(tag).alias("tag"),
         F.count_if("fires").alias("n_firing"),
-        F.count("*").alias("n_checked"),
+        F.count("fires").alias("n_checked"),
     )
 
 
@@ -408,9 +418,9 @@ def _rolled_up_together(profile: DataFrame, rules: dict[str, Column]) -> DataFra
 
 
 def findings(tables: LogTables, t: Thresholds = DEFAULTS) -> DataFrame:
-    """Every detector's outcome per log: ``log_id, tag, fires, evidence``, where
-    evidence counts the firing groups of those checked. Tags with ``fires``
-    false are the clean checks."""
+    """Every detector's outcome for every log: ``log_id, tag, fires, evidence``, where
+    evidence counts the firing groups of those checked. Tags with ``fires`` false are
+    the clean checks; those with null found nothing to check."""
     tasks = tables.tasks
     outcomes = [
         _rolled_up("SKEW", detect_skew(tasks, t)),
@@ -432,9 +442,12 @@ def findings(tables: LogTables, t: Thresholds = DEFAULTS) -> DataFrame:
             {"SPEC": _spec_fires(t), "RETRY": _retry_fires(t), "FAIL": _fail_fires(t)},
         ),
         _rolled_up(
-            "UTIL", detect_utilization(tasks, tables.executors, tables.applications, t)
+            "UTIL",
+            detect_utilization(tasks, tables.executors, tables.applications, t, tables.removals),
+        ),
+        _rolled_up(
+            "COLD", detect_cold_start(tables.executors, tables.stages, t, tables.applications)
         ),
-        _rolled_up("COLD", detect_cold_start(tables.executors, tables.stages, t)),
         _rolled_up("CACHE", detect_rescan(tables.scans, t)),
         _rolled_up("CSTOR", detect_partial_cache(tables.updates, tables.rdds, t)),
         _rolled_up("SFAIL", detect_stage_failures(tables.stages)),
@@ -442,13 +455,21 @@ def findings(tables: LogTables, t: Thresholds = DEFAULTS) -> DataFrame:
         _rolled_up("INCMP", detect_incomplete(tables.applications)),
     ]
     columns = ["log_id", "tag", "n_firing", "n_checked"]
-    united = outcomes[0].select(columns)
-    for outcome in outcomes[1:]:
+    united = tables.applications.select(
+        "log_id", F.lit("").alias("tag"), *[F.lit(0).cast("long").alias(c) for c in columns[2:]]
+    )
+    for outcome in outcomes:
         united = united.unionByName(outcome.select(columns))
-    evidence = F.concat_ws("/", F.col("n_firing").cast("string"), F.col("n_checked").cast("string"))
-    return united.select(
-        "log_id", "tag", (F.col("n_firing") > 0).alias("fires"), evidence.alias("evidence")
+    # A row per tag and log at most: a log's outcomes are one small map.
+    per_log = united.groupBy("log_id").agg(
+        F.map_from_entries(F.collect_list(F.struct("tag", F.struct("n_firing", "n_checked")))).alias("outcomes")
+    )
+    rows = per_log.select("log_id", "outcomes", F.explode(F.lit(list(TAGS))).alias("tag")).select(
+        "log_id", "tag", F.try_element_at("outcomes", F.col("tag")).alias("o")
     )
+    fires = F.when(F.col("o.n_checked") > 0, F.col("o.n_firing") > 0)
+    evidence = F.concat_ws("/", *[_or_zero(F.col(f"o.{c}")).cast("string") for c in columns[2:]])
+    return rows.select("log_id", "tag", fires.alias("fires"), evidence.alias("evidence"))
 
 
 def clean_checks(found: DataFrame) -> DataFrame:

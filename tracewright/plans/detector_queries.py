@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tracewright.operators import detectors, labels
+from tracewright.operators import detectors, labels, timeline
 from tracewright.operators.quantiles import grouped_quantiles
 from tracewright.plans import task_tables as given
 from tracewright.plans.registry import query, table
@@ -96,18 +96,39 @@ JOBS = """
 SELECT log_id, count(result) AS n_finished, count(*) FILTER (result = 'JobFailed') AS n_failed,
   n_failed > 0 AS fires FROM jobs GROUP BY log_id
 """
+# Core time and task time from each executor's and task's own span; peaks and idle time
+# from running sums over the moments.
 UTIL = """
-SELECT log_id, busy_ms, cores, wall_ms,
-  coalesce(CASE WHEN cores * wall_ms > 0 THEN busy_ms / (cores * wall_ms) END < 0.5, false) AS fires
-FROM (SELECT log_id, busy_ms, cores, coalesce(ended_ms, last_ms) - started_ms AS wall_ms
-  FROM (SELECT log_id, sum(duration_ms)::BIGINT AS busy_ms, max(finish_ms) AS last_ms FROM tasks GROUP BY 1)
-  JOIN (SELECT log_id, sum(cores)::BIGINT AS cores FROM executors GROUP BY 1) USING (log_id)
-  JOIN applications USING (log_id))
+SELECT log_id, coalesce(busy_ms, 0)::BIGINT AS busy_ms, coalesce(room_ms, 0)::BIGINT AS room_ms,
+  coalesce(peak_cores, 0)::BIGINT AS peak_cores, coalesce(peak_running, 0)::BIGINT AS peak_running,
+  coalesce(idle_ms, 0)::BIGINT AS idle_ms,
+  CASE WHEN coalesce(room_ms, 0) > 0 THEN coalesce(busy_ms, 0) / room_ms < 0.5 END AS fires
+FROM applications
+LEFT JOIN (SELECT log_id, sum(least(greatest(finish_ms, started_ms), fin) - least(greatest(launch_ms, started_ms), fin)) AS busy_ms
+  FROM tasks JOIN bounds USING (log_id) GROUP BY 1) USING (log_id)
+LEFT JOIN (SELECT log_id, sum(cores * (least(greatest(coalesce(removed_ms, fin), added_ms, started_ms), fin)
+    - least(greatest(added_ms, started_ms), fin))) AS room_ms
+  FROM executors LEFT JOIN removals USING (log_id, executor_id) JOIN bounds USING (log_id) GROUP BY 1) USING (log_id)
+LEFT JOIN (SELECT log_id, max(c) AS peak_cores, max(r) AS peak_running,
+    coalesce(sum(until - moment) FILTER (r < 0.5 * c), 0) AS idle_ms
+  FROM (SELECT log_id, moment, sum(c) OVER w AS c, sum(r) OVER w AS r,
+      coalesce(lead(moment) OVER w, fin) AS until
+    FROM (SELECT log_id, least(greatest(moment, started_ms), fin) AS moment, sum(c) AS c, sum(r) AS r, any_value(fin) AS fin
+      FROM moments JOIN bounds USING (log_id) GROUP BY 1, 2) WINDOW w AS (PARTITION BY log_id ORDER BY moment)) GROUP BY 1)
+  USING (log_id)
+"""
+MOMENTS_CTE = """
+moments AS (SELECT log_id, added_ms AS moment, cores AS c, 0 AS r FROM executors
+  UNION ALL SELECT log_id, greatest(removed_ms, added_ms), -cores, 0 FROM removals JOIN executors USING (log_id, executor_id)
+  UNION ALL SELECT log_id, launch_ms, 0, 1 FROM tasks UNION ALL SELECT log_id, finish_ms, 0, -1 FROM tasks),
+bounds AS (SELECT log_id, started_ms, coalesce(ended_ms, last) AS fin FROM applications
+  LEFT JOIN (SELECT log_id, max(moment) AS last FROM moments GROUP BY 1) USING (log_id))
 """
 COLD = """
-SELECT log_id, first_executor - first_stage AS wait_ms, wait_ms > 30000 AS fires
-FROM (SELECT log_id, min(added_ms) AS first_executor FROM executors GROUP BY 1)
-JOIN (SELECT log_id, min(submitted_ms) AS first_stage FROM stages GROUP BY 1) USING (log_id)
+SELECT log_id, coalesce(first_executor, ended_ms) - first_stage AS wait_ms, wait_ms > 30000 AS fires
+FROM applications
+LEFT JOIN (SELECT log_id, min(added_ms) AS first_executor FROM executors GROUP BY 1) USING (log_id)
+LEFT JOIN (SELECT log_id, min(submitted_ms) AS first_stage FROM stages GROUP BY 1) USING (log_id)
 """
 CACHE = """
 SELECT log_id, location, count(DISTINCT execution_id) AS n_executions, n_executions >= 2 AS fires
@@ -123,6 +144,7 @@ INCMP = "SELECT log_id, n_ends, n_ends = 0 AS fires FROM applications"
 
 T, S, A = given.TASKS_CTE, given.STAGES_CTE, given.APPS_CTE
 E, J, C, U = given.EXECUTORS_CTE, given.JOBS_CTE, given.SCANS_CTE, given.UPDATES_CTE
+R = given.REMOVALS_CTE
 
 
 def with_ctes(*ctes: str) -> str:
@@ -221,16 +243,16 @@ def detect_task_failures(spark: SparkSession, folder: str) -> DataFrame:
     return detectors.detect_task_failures(given.line_tasks(spark, folder))
 
 
-@query("detect_utilization", with_ctes(T, S, A, E) + UTIL)
+@query("detect_utilization", with_ctes(T, S, A, E, R, MOMENTS_CTE) + UTIL)
 def detect_utilization(spark: SparkSession, folder: str) -> DataFrame:
     t = given.direct_tables(spark, folder)
-    return detectors.detect_utilization(t.tasks, t.executors, t.applications)
+    return detectors.detect_utilization(t.tasks, t.executors, t.applications, removals=t.removals)
 
 
-@query("detect_cold_start", with_ctes(S, E) + COLD)
+@query("detect_cold_start", with_ctes(S, A, E) + COLD)
 def detect_cold_start(spark: SparkSession, folder: str) -> DataFrame:
     t = given.direct_tables(spark, folder)
-    return detectors.detect_cold_start(t.executors, t.stages)
+    return detectors.detect_cold_start(t.executors, t.stages, applications=t.applications)
 
 
 @query("detect_rescan", with_ctes(C) + CACHE)
@@ -277,11 +299,38 @@ def log_jobs(spark: SparkSession, folder: str) -> DataFrame:
     return tables.jobs(given.job_lines(given.order_jobs(spark, folder)))
 
 
+@query(
+    "job_labels",
+    with_ctes(J) + "SELECT log_id, job_id, CASE WHEN job_id % 3 <> 0 THEN 'order ' || job_id::VARCHAR END AS description FROM jobs",
+)
+def job_labels(spark: SparkSession, folder: str) -> DataFrame:
+    return tables.job_labels(given.job_lines(given.order_jobs(spark, folder))).drop("tags")
+
+
 @query("log_executors", with_ctes(E) + "SELECT * FROM executors")
 def log_executors(spark: SparkSession, folder: str) -> DataFrame:
     return tables.executors(given.executor_lines(given.customer_executors(spark, folder)))
 
 
+@query("log_removals", with_ctes(E, R) + "SELECT * FROM removals")
+def log_removals(spark: SparkSession, folder: str) -> DataFrame:
+    removed = given.executor_removals(given.customer_executors(spark, folder))
+    return tables.removals(given.removal_lines(removed))
+
+
+@query("core_timeline", with_ctes(T, S, A, E, R, MOMENTS_CTE) + """
+SELECT log_id, moment AS at_ms, coalesce(lead(moment) OVER w, fin) AS until_ms, (sum(c) OVER w)::BIGINT AS cores,
+  (sum(r) OVER w)::BIGINT AS running
+FROM (SELECT log_id, least(greatest(moment, started_ms), ended_ms) AS moment, sum(c) AS c, sum(r) AS r,
+    coalesce(any_value(ended_ms), max(moment)) AS fin
+  FROM moments LEFT JOIN applications USING (log_id) GROUP BY 1, 2)
+WINDOW w AS (PARTITION BY log_id ORDER BY moment)
+""")
+def core_timeline(spark: SparkSession, folder: str) -> DataFrame:
+    t = given.direct_tables(spark, folder)
+    return timeline.core_timeline(t.tasks, t.executors, t.applications, t.removals)
+
+
 @query("log_applications", with_ctes(S, A) + "SELECT * FROM applications")
 def log_applications(spark: SparkSession, folder: str) -> DataFrame:
     stages = given.supplier_stages(spark, folder)
@@ -319,6 +368,7 @@ CHECKS = {
     "JOBS": [JOBS],
     "INCMP": [INCMP],
 }
+assert set(CHECKS) == set(detectors.TAGS)
 
 
 def _outcome_sql(tag: str, checks: list[str]) -> str:
@@ -326,11 +376,13 @@ def _outcome_sql(tag: str, checks: list[str]) -> str:
     return f"SELECT log_id, '{tag}' AS tag, fires FROM ({rows})"
 
 
-FINDINGS_CTE = with_ctes(T, S, A, E, J, C, U, INDEX_CTE) + (
+FINDINGS_CTE = with_ctes(T, S, A, E, R, MOMENTS_CTE, J, C, U, INDEX_CTE) + (
     ", outcomes AS ("
     + " UNION ALL ".join(_outcome_sql(tag, checks) for tag, checks in CHECKS.items())
-    + """), findings AS (SELECT log_id, tag, bool_or(fires) AS fires,
-  count(*) FILTER (fires)::VARCHAR || '/' || count(*)::VARCHAR AS evidence FROM outcomes GROUP BY 1, 2) """
+    + f"""), findings AS (SELECT log_id, tag, CASE WHEN count(fires) > 0 THEN bool_or(fires) END AS fires,
+  count(*) FILTER (fires)::VARCHAR || '/' || count(fires)::VARCHAR AS evidence
+  FROM (SELECT DISTINCT log_id FROM outcomes) CROSS JOIN (SELECT unnest({list(CHECKS)}) AS tag)
+  LEFT JOIN outcomes USING (log_id, tag) GROUP BY 1, 2) """
 )
 
 

@@ -91,6 +91,10 @@ executors AS (SELECT 'app-' || (c_custkey // 75)::VARCHAR AS log_id, 'e' || c_cu
   {EPOCH_MS} + (c_custkey // 75) * 300000 + 20000 + ((c_custkey // 75) % 4) * 10000
     + c_nationkey * 100 AS added_ms FROM customer)
 """
+REMOVALS_CTE = """
+removals AS (SELECT log_id, executor_id, added_ms + cores * 4000000000 AS removed_ms FROM executors
+  WHERE substr(executor_id, 2)::BIGINT % 3 = 0)
+"""
 JOBS_CTE = """
 jobs AS (SELECT 'app-' || (o_custkey // 75)::VARCHAR AS log_id, o_orderkey AS job_id,
   epoch_us(o_orderdate) // 1000 AS submitted_ms,
@@ -154,6 +158,13 @@ def customer_executors(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def executor_removals(executors: DataFrame) -> DataFrame:
+    """Every third executor leaves before its application ends."""
+    leaving = executors.where(F.substring("executor_id", 2, 20).cast("long") % 3 == 0)
+    removed = F.col("added_ms") + F.col("cores") * F.lit(4000000000)
+    return leaving.select("log_id", "executor_id", removed.alias("removed_ms"))
+
+
 def order_jobs(spark: SparkSession, folder: str) -> DataFrame:
     submitted = F.expr(epoch_ms("o_orderdate"))
     status = F.col("o_orderstatus")
@@ -187,14 +198,16 @@ def event_updates(spark: SparkSession, folder: str) -> DataFrame:
 
 def direct_tables(spark: SparkSession, folder: str) -> LogTables:
     stages = supplier_stages(spark, folder)
+    executors = customer_executors(spark, folder)
     return LogTables(
         tasks=line_tasks(spark, folder),
         stages=stages,
         jobs=order_jobs(spark, folder),
-        executors=customer_executors(spark, folder),
+        executors=executors,
         applications=stage_applications(stages),
         scans=order_scans(spark, folder),
         updates=event_updates(spark, folder),
+        removals=executor_removals(executors),
     )
 
 
@@ -277,9 +290,27 @@ def executor_lines(executors: DataFrame) -> DataFrame:
     )
 
 
+def removal_lines(removals: DataFrame) -> DataFrame:
+    return _line(
+        removals,
+        tables.EXECUTOR_REMOVED,
+        Timestamp=F.col("removed_ms"),
+        Executor_ID=F.col("executor_id"),
+        Removed_Reason=F.lit("idle"),
+    )
+
+
 def job_lines(jobs: DataFrame) -> DataFrame:
     c = F.col
-    started = _line(jobs, tables.JOB_START, Job_ID=c("job_id"), Submission_Time=c("submitted_ms"))
+    named = F.create_map(F.lit("spark.job.description"), F.concat(F.lit("order "), c("job_id").cast("string")))
+    properties = F.when(c("job_id") % 3 != 0, named)
+    started = _line(
+        jobs,
+        tables.JOB_START,
+        Job_ID=c("job_id"),
+        Submission_Time=c("submitted_ms"),
+        Properties=properties,
+    )
     ended = _line(
         jobs.where(c("result").isNotNull()),
         tables.JOB_END,
@@ -290,11 +321,38 @@ def job_lines(jobs: DataFrame) -> DataFrame:
     return started.union(ended)
 
 
+def _plan(location: Column, note: Column) -> Column:
+    """A plan with the scan two levels down, and text that only looks like a scan."""
+    leaf = F.struct(
+        F.lit("Scan parquet").alias("nodeName"),
+        note.alias("simpleString"),
+        F.array().cast("array<string>").alias("children"),
+        F.struct(location.alias("Location"), F.lit("Parquet").alias("Format")).alias("metadata"),
+    )
+    child = F.struct(F.lit("Filter").alias("nodeName"), note.alias("simpleString"), F.array(leaf).alias("children"))
+    return F.struct(F.lit("AdaptiveSparkPlan").alias("nodeName"), F.array(child).alias("children"))
+
+
 def scan_lines(scans: DataFrame) -> DataFrame:
-    location = F.concat(F.lit("InMemoryFileIndex(1 paths)["), "location", F.lit("]"))
-    scan = F.struct(F.struct(location.alias("Location")).alias("metadata"))
-    event = f"org.apache.spark.sql.execution.ui.{tables.SQL_START}"
-    return _line(scans, event, executionId=F.col("execution_id"), sparkPlanInfo=scan)
+    """A first plan per execution, and for every other one an adaptive update: it names
+    the location that counts, while the first plan of those named another."""
+    note = F.lit('contains(note, {"Location":"InMemoryFileIndex(1 paths)[/nowhere]"})')
+    kind = "org.apache.spark.sql.execution.ui."
+    updated = F.col("execution_id") % 2 == 0
+
+    def at(path: Column) -> Column:
+        return F.concat(F.lit("InMemoryFileIndex(1 paths)["), path, F.lit("]"))
+
+    def lines(rows: DataFrame, event: str, path: Column, seq: int) -> DataFrame:
+        plan = _plan(at(path), note)
+        return _line(
+            rows, kind + event, F.lit(seq).cast("long"), executionId=F.col("execution_id"), sparkPlanInfo=plan
+        )
+
+    location = F.col("location")
+    draft = F.when(updated, F.concat(location, F.lit("-draft"))).otherwise(location)
+    first = lines(scans, tables.SQL_START, draft, 0)
+    return first.union(lines(scans.where(updated), tables.SQL_UPDATE, location, 1))
 
 
 def update_lines(updates: DataFrame) -> DataFrame:
@@ -312,6 +370,7 @@ def all_lines(t: LogTables) -> DataFrame:
         stage_lines(t.stages),
         application_lines(t.applications),
         executor_lines(t.executors),
+        removal_lines(t.removals),
         job_lines(t.jobs),
         scan_lines(t.scans),
         update_lines(t.updates),

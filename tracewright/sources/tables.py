@@ -1,8 +1,8 @@
 """Typed tables over event-log lines: tasks, stages, jobs, executors, block
 updates, SQL scans and applications.
 
-Input lines have ``log_id`` and ``value``; ``seq``, where present, orders a
-log's lines. Each reader keeps its own event class with a substring test before
+Input lines have ``log_id`` and ``value``; ``seq`` orders a log's lines, for the
+tables that depend on order. Each reader keeps its own event class with a substring test before
 it parses, and parses only the fields it returns. Over
 :func:`tracewright.sources.lines.stage_events` output the filter on ``kind``
 reaches the scan instead.
@@ -10,14 +10,18 @@ reaches the scan instead.
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
 from dataclasses import dataclass, fields
 from functools import reduce
 from operator import or_
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tracewright.functions.jsonlines import event_kind
 from tracewright.functions.once import computed_once
+from tracewright.session import map_in_arrow
 
 TASK_END = "SparkListenerTaskEnd"
 STAGE_SUBMITTED = "SparkListenerStageSubmitted"
@@ -25,6 +29,7 @@ STAGE_COMPLETED = "SparkListenerStageCompleted"
 JOB_START = "SparkListenerJobStart"
 JOB_END = "SparkListenerJobEnd"
 EXECUTOR_ADDED = "SparkListenerExecutorAdded"
+EXECUTOR_REMOVED = "SparkListenerExecutorRemoved"
 BLOCK_UPDATED = "SparkListenerBlockUpdated"
 SQL_START = "SparkListenerSQLExecutionStart"
 SQL_UPDATE = "SparkListenerSQLAdaptiveExecutionUpdate"
@@ -62,11 +67,13 @@ _BLOCK = """
   `Storage Level`: STRUCT<`Use Disk`: BOOLEAN, `Use Memory`: BOOLEAN>,
   `Memory Size`: LONG, `Disk Size`: LONG>
 """
-_SQL = "executionId LONG"
 _CONF = "`Spark Properties` MAP<STRING, STRING>"
 
-# A file scan's location in a plan's text, and the paths inside its brackets.
-_LOCATION = r'"Location":"[^"\[]*\[([^"\]]*)\]'
+_REMOVED = "Timestamp LONG, `Executor ID` STRING"
+
+#: Below these nodes a plan describes work that the execution did not do itself.
+CACHED_NODES = ("InMemoryTableScan",)
+_ROOTS = r"\[(.*)\]\s*$"
 
 
 def _events(lines: DataFrame, schema: str, *kinds: str) -> DataFrame:
@@ -158,6 +165,17 @@ def jobs(lines: DataFrame) -> DataFrame:
     )
 
 
+def job_labels(lines: DataFrame) -> DataFrame:
+    """Each job's description and tags, null where none was set when it started."""
+    wanted = "`Job ID` LONG, Properties MAP<STRING, STRING>"
+    return _events(lines, wanted, JOB_START).select(
+        "log_id",
+        F.col("e.`Job ID`").alias("job_id"),
+        F.col("e.Properties")["spark.job.description"].alias("description"),
+        F.col("e.Properties")["spark.job.tags"].alias("tags"),
+    )
+
+
 def executors(lines: DataFrame) -> DataFrame:
     return _events(lines, _EXECUTOR, EXECUTOR_ADDED).select(
         "log_id",
@@ -188,11 +206,82 @@ def block_updates(lines: DataFrame, order: str = "seq") -> DataFrame:
     )
 
 
-def file_scans(lines: DataFrame) -> DataFrame:
-    """One row per SQL execution and file location its plan scans."""
-    found = F.explode(F.array_distinct(F.regexp_extract_all("value", F.lit(_LOCATION), F.lit(1))))
-    return _events(lines, _SQL, SQL_START, SQL_UPDATE).select(
-        "log_id", F.col("e.executionId").alias("execution_id"), found.alias("location")
+def removals(lines: DataFrame) -> DataFrame:
+    """Executors that left, with the time."""
+    return _events(lines, _REMOVED, EXECUTOR_REMOVED).select(
+        "log_id",
+        F.col("e.`Executor ID`").alias("executor_id"),
+        F.col("e.Timestamp").alias("removed_ms"),
+    )
+
+
+def _walk(plan: str | None) -> Iterator[tuple[int, int | None, int, str | None, str | None, bool]]:
+    """Each node of a plan, parents first: its number, its parent's, its depth, name
+    and location, and whether it lies below a cached table."""
+    try:
+        root = json.loads(plan) if plan is not None else None
+    except (ValueError, RecursionError):
+        return
+    waiting, number = [(root, None, 0, False)], 0
+    while waiting:
+        node, parent, depth, cached = waiting.pop()
+        if not isinstance(node, dict):
+            continue
+        name, metadata = node.get("nodeName"), node.get("metadata")
+        location = metadata.get("Location") if isinstance(metadata, dict) else None
+        text = [v if isinstance(v, str) else None for v in (name, location)]
+        yield number, parent, depth, *text, cached
+        children = node.get("children")
+        if isinstance(children, list):
+            below = cached or (text[0] or "").startswith(CACHED_NODES)
+            waiting += [(child, number, depth + 1, below) for child in reversed(children)]
+        number += 1
+
+
+def plan_nodes(lines: DataFrame, order: str = "seq") -> DataFrame:
+    """``log_id, execution_id, seq, node, parent, depth, name, location, cached``: the
+    trees of all SQL plans, one per execution and adaptive update. A plan that cannot
+    be read is one row without a node."""
+    # The plan stays text in the parsed row: its depth has no schema.
+    found = _events(lines, "executionId LONG, sparkPlanInfo STRING", SQL_START, SQL_UPDATE).select(
+        "log_id",
+        F.col("e.executionId").alias("execution_id"),
+        F.col(order).alias("seq"),
+        F.col("e.sparkPlanInfo").alias("plan"),
+    )
+    columns = ("node", "parent", "depth", "name", "location", "cached")
+    types = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.bool_())
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, nodes = [], []
+            for row, plan in enumerate(batch.column("plan").to_pylist()):
+                own = list(_walk(plan)) or [(None,) * len(columns)]
+                rows += [row] * len(own)
+                nodes += own
+            carried = batch.select(["log_id", "execution_id", "seq"]).take(pa.array(rows, pa.int64()))
+            made = [pa.array([n[i] for n in nodes], t) for i, t in enumerate(types)]
+            yield pa.RecordBatch.from_arrays([*carried.columns, *made], [*carried.schema.names, *columns])
+
+    carried = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in found.schema.fields[:3])
+    schema = f"{carried}, node long, parent long, depth long, name string, location string, cached boolean"
+    return map_in_arrow(found, task, schema)
+
+
+def file_scans(lines: DataFrame, order: str = "seq") -> DataFrame:
+    """One row per SQL execution and root path that its last plan scans. Adaptive
+    updates replace an execution's plan; what only fills a cached table is not
+    scanned again by those who read the table."""
+    nodes = plan_nodes(lines, order)
+    scans = F.col("name").startswith("Scan ") & F.col("location").isNotNull() & ~F.col("cached")
+    # Every plan has a row, if only one without a node; their texts stay behind.
+    last = nodes.groupBy("log_id", "execution_id").agg(F.max("seq").alias("seq"))
+    found = nodes.where(scans).join(last, ["log_id", "execution_id", "seq"])
+    paths = F.split(F.regexp_extract("location", _ROOTS, 1), ", ")
+    return (
+        found.select("log_id", "execution_id", F.explode(paths).alias("location"))
+        .where("location <> '' AND NOT location LIKE '...%'")
+        .distinct()
     )
 
 
@@ -238,6 +327,7 @@ class LogTables:
     scans: DataFrame
     updates: DataFrame
     rdds: DataFrame | None = None
+    removals: DataFrame | None = None
 
 
 def log_tables(lines: DataFrame) -> LogTables:
@@ -251,6 +341,7 @@ def log_tables(lines: DataFrame) -> LogTables:
         scans=file_scans(lines),
         updates=block_updates(lines),
         rdds=cached_rdds(lines),
+        removals=removals(lines),
     )
 
 
