@@ -134,3 +134,24 @@ def test_run_workload(spark, tmp_path, persist_mode, second_action, rows_wanted)
     assert found.count() == rows_wanted
     joined = spark.read.parquet(str(tmp_path / "out"))
     assert joined.columns == ["join_key", "row_id", "attr_0", "attr_1"] and joined.count() == 500
+
+
+@pytest.mark.parametrize("salts", [1, 4])
+def test_bucketed_star_join_needs_no_exchange(spark, tmp_path, salts):
+    """Also with a key that holds most rows, split over several buckets."""
+    fact = workload.fact_table(workload.id_range(spark, 4000), 50, skew="injected", payload_columns=1)
+    dims = [workload.Dimension(workload.dimension_table(workload.key_range(spark, 50), s), "join_key") for s in "ab"]
+    staged_fact, staged_dims = workload.stage_star(
+        fact, dims, ["row_id"], f"star_{salts}", str(tmp_path / "star"), buckets=8, salts=salts
+    )
+    joined = workload.bucketed_star_join(staged_fact, staged_dims)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and plan.count("SortMergeJoin") == 2
+    assert result(joined.select("row_id", "attr_a", "attr_b")) == result(
+        workload.star_join(fact, dims).select("row_id", "attr_a", "attr_b")
+    )
+    if salts > 1:
+        most = staged_fact.where("join_key = 0").groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0]
+        assert most < 0.6 * staged_fact.where("join_key = 0").count()
+    for name in ("fact", "dim_0", "dim_1"):
+        spark.sql(f"DROP TABLE star_{salts}_{name}")

@@ -140,6 +140,52 @@ def workload_join(
     return shuffled_star_join(fact, dimensions, spread)
 
 
+def stage_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int) -> DataFrame:
+    """``df`` as a table of the session's catalog, its files dealt by a hash of ``key``
+    and sorted by it. Joins on the key between tables of equal ``buckets`` then need no
+    exchange, however often they are made."""
+    writer = df.write.mode("overwrite").option("path", path)
+    writer.bucketBy(buckets, key, *_salt_of(df)).sortBy(key).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
+def _salt_of(df: DataFrame) -> list[str]:
+    return ["_salt"] if "_salt" in df.columns else []
+
+
+def stage_star(
+    fact: DataFrame,
+    dimensions: Sequence[Dimension],
+    spread: Sequence[str],
+    name: str,
+    path: str,
+    buckets: int,
+    salts: int | None = None,
+) -> tuple[DataFrame, list[Dimension]]:
+    """A fact and its dimensions staged once, so that :func:`bucketed_star_join` joins
+    them without an exchange. All dimensions must share the fact's key column. A hot key
+    is split over ``salts`` buckets by a hash of the ``spread`` columns, for which each
+    dimension is copied; by default as far as :func:`affordable_salts` allows."""
+    (key,) = {d.key for d in dimensions}
+    salts = affordable_salts(fact, dimensions) if salts is None else salts
+    staged_fact = stage_bucketed(with_salt(fact, spread, salts), f"{name}_fact", f"{path}/fact", key, buckets)
+    copies = [
+        Dimension(
+            stage_bucketed(replicate(d.table, salts), f"{name}_dim_{n}", f"{path}/dim_{n}", key, buckets), key
+        )
+        for n, d in enumerate(dimensions)
+    ]
+    return staged_fact, copies
+
+
+def bucketed_star_join(fact: DataFrame, dimensions: Sequence[Dimension]) -> DataFrame:
+    """The star join of :func:`stage_star`'s tables, bucket by bucket."""
+    joined = fact
+    for dimension in dimensions:
+        joined = joined.join(dimension.table.hint("merge"), [dimension.key, "_salt"], "inner")
+    return joined.drop("_salt")
+
+
 def stage_as_parquet(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` to Parquet and return a scan of it, cutting the lineage."""
     df.write.mode("overwrite").parquet(path)

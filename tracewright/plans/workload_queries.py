@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tracewright.operators import dml, workload
+from tracewright.operators import dml, rewrite, workload
 from tracewright.plans.registry import query, table
-from tracewright.session import scratch_path
+from tracewright.session import scratch_path, staged
 
 DRAW = "('0x' || substr(md5({id}::VARCHAR || ':{digest}'), {start}, 8))::BIGINT / 4294967296.0::DOUBLE"
 
@@ -110,6 +110,22 @@ def star_join_using_merge(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("star_join_bucketed", USING_JOIN)
+def star_join_bucketed(spark: SparkSession, folder: str) -> DataFrame:
+    """The chain over tables staged in buckets of their key: no exchange in the join."""
+    path = scratch_path(spark, "bucketed")
+    fact, dimensions = workload.stage_star(
+        supplier_facts(spark, folder),
+        supplier_dimensions(spark, folder),
+        ["row_id"],
+        f"star_{path[-32:]}",
+        path,
+        buckets=8,
+        salts=2,
+    )
+    return workload.bucketed_star_join(fact, dimensions)
+
+
 @query(
     "write_parquet_roundtrip",
     "SELECT count(*) AS n_rows, sum(l_suppkey)::BIGINT AS key_sum "
@@ -124,6 +140,23 @@ def write_parquet_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return key_sum(written)
 
 
+@query(
+    "write_staged_fact",
+    "SELECT count(*) AS n_rows, sum(l_suppkey)::BIGINT AS key_sum "
+    "FROM lineitem JOIN supplier ON l_suppkey = s_suppkey",
+)
+def write_staged_fact(spark: SparkSession, folder: str) -> DataFrame:
+    """The run whose fact comes from files: staged as Parquet, joined from there."""
+    path = scratch_path(spark, "run")
+    written = workload.run_workload(
+        supplier_facts(spark, folder),
+        supplier_dimensions(spark, folder),
+        f"{path}/joined",
+        staging_path=f"{path}/fact",
+    )
+    return key_sum(written)
+
+
 STAR_JOIN = """
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, s_name, p_name, l_extendedprice
 FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey
@@ -288,6 +321,90 @@ def merge_bucket(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(source.schema).parquet(path)
 
 
+@query("merge_concurrent", merged_sql("0, 1"))
+def merge_concurrent(spark: SparkSession, folder: str) -> DataFrame:
+    """Two merges into one table at once, each into its own partition."""
+    path = scratch_path(spark, "at-once")
+    source = merge_source_of(spark, folder)
+    dml.seed_table(target_ids(spark, folder), path)
+    dml.merge_buckets_at_once(spark, path, source, "id", "bucket", dml.CONCURRENT_BUCKETS)
+    return spark.read.schema(source.schema).parquet(path)
+
+
+# One file per part of 500 ids; statements touch some parts' files only.
+PART_IDS = 500
+
+
+def parted(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("part", F.expr(f"id div {PART_IDS}"))
+
+
+def seed_parts(spark: SparkSession, folder: str, path: str) -> DataFrame:
+    """The seeded target as one file a part, and the files it has."""
+    seeded = parted(target_of(spark, folder))
+    seeded.repartition("part").write.partitionBy("part").parquet(path)
+    return staged(file_names(spark, path, seeded), "files-before")
+
+
+def file_names(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+    return spark.read.schema(like.schema).parquet(path).select("part", F.col("_metadata.file_name").alias("file")).distinct()
+
+
+def file_account(spark: SparkSession, path: str, before: DataFrame, schema) -> DataFrame:
+    """Per part: rows, rows changed, and how many of its files are the old ones."""
+    now = spark.read.schema(schema).parquet(path)
+    rows = now.groupBy("part").agg(
+        F.count("*").alias("n_rows"), F.count_if(F.col("status") != "seed").alias("n_changed")
+    )
+    kept = file_names(spark, path, now).join(before, ["part", "file"]).groupBy("part").agg(F.count("*").alias("n_kept"))
+    return rows.join(kept, "part", "left").select(
+        "part", "n_rows", "n_changed", F.coalesce("n_kept", F.lit(0)).cast("long").alias("n_kept")
+    )
+
+
+@query(
+    "merge_files",
+    f"""
+WITH source AS (
+  SELECT o_orderkey AS id FROM orders WHERE o_orderkey % 5 = 0 AND o_orderkey % 7000 < 900
+  UNION ALL SELECT o_orderkey + {ORDERS_N} FROM orders WHERE o_orderkey < {ORDERS_N} // 10),
+merged AS (SELECT coalesce(s.id, o_orderkey) // {PART_IDS} AS part, s.id IS NOT NULL AS changed,
+    s.id IS NOT NULL AND o_orderkey IS NOT NULL AS matched, o_orderkey IS NOT NULL AS old
+  FROM orders FULL OUTER JOIN source s ON s.id = o_orderkey)
+SELECT part, count(*) AS n_rows, count(*) FILTER (changed) AS n_changed,
+  CASE WHEN bool_or(old) AND NOT bool_or(matched) THEN 1 ELSE 0 END::BIGINT AS n_kept FROM merged GROUP BY part
+""",
+)
+def merge_files(spark: SparkSession, folder: str) -> DataFrame:
+    """A merge that touches few files of a table and leaves the others in place."""
+    path = scratch_path(spark, "parts")
+    before = seed_parts(spark, folder, path)
+    n = target_ids(spark, folder).count()
+    source = parted(merge_source_of(spark, folder)).where(f"id >= {n} OR id % 7000 < 900")
+    rewrite.merge_files(spark, path, source, ["id", "part"], ["part"])
+    return file_account(spark, path, before, source.schema)
+
+
+@query(
+    "rewrite_files",
+    f"""
+WITH updated AS (SELECT o_orderkey AS id, o_orderkey // {PART_IDS} AS part, o_orderkey % 2500 < 10 AS changed FROM orders),
+parts AS (SELECT part, bool_or(changed) OR bool_or(id % 3000 < 300) AS touched FROM updated GROUP BY part)
+SELECT part, count(*) AS n_rows, count(*) FILTER (changed) AS n_changed,
+  CASE WHEN bool_or(touched) THEN 0 ELSE 1 END::BIGINT AS n_kept
+FROM updated JOIN parts USING (part) WHERE id % 3000 >= 300 GROUP BY part
+""",
+)
+def rewrite_files(spark: SparkSession, folder: str) -> DataFrame:
+    """An update and a delete that each rewrite the files with matching rows only."""
+    path = scratch_path(spark, "parts")
+    before = seed_parts(spark, folder, path)
+    schema = parted(target_of(spark, folder)).schema
+    rewrite.update_files(spark, path, schema, "id % 2500 < 10", ASSIGN, ["part"])
+    rewrite.delete_files(spark, path, schema, "id % 3000 < 300", ["part"])
+    return file_account(spark, path, before, schema)
+
+
 @query("merge_pinned", merged_sql("0, 1"))
 def merge_pinned(spark: SparkSession, folder: str) -> DataFrame:
     return dml.merge(
@@ -325,33 +442,33 @@ def delete_where(spark: SparkSession, folder: str) -> DataFrame:
     f"""
 WITH n AS (SELECT count(*) AS n FROM orders),
 ids AS ({MERGE_IDS}),
+merged AS (SELECT s.id IS NOT NULL AS merged, coalesce(s.id, o_orderkey) AS id
+  FROM orders FULL OUTER JOIN ids s ON s.id = o_orderkey),
+updated AS (SELECT CASE WHEN o_orderkey % 10 = 0 THEN 'updated' ELSE 'seed' END AS status FROM orders),
 checks AS (
-  SELECT 'merge total' AS check_name, n + n // 10 AS expected,
-         n + (SELECT count(*) FROM ids WHERE id NOT IN (SELECT o_orderkey FROM orders)) AS actual FROM n
-  UNION ALL SELECT 'merge merged', (n + 4) // 5 + n // 10, (SELECT count(*) FROM ids) FROM n
-  UNION ALL SELECT 'update total', n, n FROM n
-  UNION ALL SELECT 'update updated', (n + 9) // 10,
-         (SELECT count(*) FROM orders WHERE o_orderkey % 10 = 0) FROM n
+  SELECT 'merge total' AS check_name, n + n // 10 AS expected, (SELECT count(*) FROM merged) AS actual FROM n
+  UNION ALL SELECT 'merge merged', (n + 4) // 5 + n // 10, (SELECT count(*) FILTER (merged) FROM merged) FROM n
+  UNION ALL SELECT 'update total', n, (SELECT count(*) FROM updated) FROM n
+  UNION ALL SELECT 'update updated', (n + 9) // 10, (SELECT count(*) FILTER (status = 'updated') FROM updated) FROM n
   UNION ALL SELECT 'delete total', n - (n + 3) // 4,
          (SELECT count(*) FROM orders WHERE o_orderkey % 4 <> 0) FROM n
-  UNION ALL SELECT 'concurrent merged', (SELECT count(*) FROM ids WHERE id % 4 IN (0, 1)),
-         (SELECT count(*) FROM ids WHERE id % 4 IN (0, 1)) FROM n)
+  UNION ALL SELECT 'concurrent merged',
+         (n + 19) // 20 + (n + 14) // 20 + (n + n // 10 + 3) // 4 - (n + 3) // 4 + (n + n // 10 + 2) // 4 - (n + 2) // 4,
+         (SELECT count(*) FILTER (merged AND id % 4 IN (0, 1)) FROM merged) FROM n)
 SELECT check_name, expected::BIGINT AS expected, actual::BIGINT AS actual,
        expected = actual AS ok FROM checks
 """,
 )
 def dml_postconditions(spark: SparkSession, folder: str) -> DataFrame:
+    """Each statement's result written once, its rows counted by the write itself."""
     target, source = target_of(spark, folder), merge_source_of(spark, folder)
     merged = dml.merge(target, source, "id")
     pinned = dml.merge(target, source, "id", pin={"bucket": dml.CONCURRENT_BUCKETS})
-    updated = update_where(spark, folder)
-    deleted = delete_where(spark, folder)
-    actual = [
-        dml.named_counts(merged, {"merge total": "true", "merge merged": "status = 'merged'"}),
-        dml.named_counts(updated, {"update total": "true", "update updated": "status = 'updated'"}),
-        dml.named_counts(deleted, {"delete total": "true"}),
-        dml.named_counts(
-            pinned, {"concurrent merged": "status = 'merged' AND (bucket = 0 OR bucket = 1)"}
-        ),
+    wanted = [
+        (merged, {"merge total": "true", "merge merged": "status = 'merged'"}),
+        (update_where(spark, folder), {"update total": "true", "update updated": "status = 'updated'"}),
+        (delete_where(spark, folder), {"delete total": "true"}),
+        (pinned, {"concurrent merged": "status = 'merged' AND (bucket = 0 OR bucket = 1)"}),
     ]
+    actual = [dml.observed_write(df, scratch_path(spark, "counted"), checks) for df, checks in wanted]
     return dml.check_counts(actual, dml.expected_counts(target))
