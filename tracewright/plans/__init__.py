@@ -10,6 +10,8 @@ _MODULES = (
     "catalog_queries",
     "matrix_queries",
     "detector_queries",
+    "stream_queries",
+    "corpus_queries",
 )
 
 
