@@ -17,8 +17,8 @@ is retained if it shares that many, and its link is confirmed on the full sets.
   than ``SKETCH`` bits, make no pair; that loses a pair of similarity 0.8 about once in
   100,000, and keeps about one in 240 pairs of similarity 0.1.
 - *Copies* with equal sets are one class, posted once.
-- *Hot lists.* A list's documents are compared with one centre, not with each
-  other; of two centres each. Confirmed links make components.
+- *Hot lists.* A list's documents are compared with two of them, its centres, not with
+  each other. Confirmed links make components.
 - *Teams.* Documents that were retained with a common centre, linked or not, are a team.
   A team that spans components is compared whole, on its full sets, as matrix products of
   parts of about ``ROOM`` shingles inside tasks. What leaves a task joins each document
@@ -48,7 +48,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tracewright.llm.common import fresh, hold, id_and_text, record_batch
 from tracewright.llm.components import components, first_connected
-from tracewright.session import map_in_arrow
+from tracewright.session import map_in_arrow, planned_bytes
 
 K = 64
 MATCHES = 36
@@ -59,6 +59,8 @@ SKETCH = 18
 _CLASS = 1.2501
 #: Shingles of a part of a team, and the least that a document counts for.
 ROOM, LEAST_WEIGHT = 1 << 17, 150
+#: Bytes of keys, as written, that are broadcast to fetch their texts.
+LIGHT = 64 << 20
 #: Columns of a matrix of shingles multiplied at once.
 _COLUMNS = 2048
 #: Links join documents with PERCENT * union <= 100 * intersection.
@@ -289,6 +291,8 @@ def _all_across(posted: DataFrame, percent: int) -> DataFrame:
 def _with_texts(nodes: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
     """``node, text`` of the classes ``nodes(doc_id)``, one of their rows' texts each."""
     asked = hold(reps.select("doc_id", "key").join(nodes, "doc_id").withColumnRenamed("doc_id", "node"), "asked")
+    # Few keys travel to the texts; many meet them in a shuffle.
+    asked = F.broadcast(asked) if planned_bytes(asked) <= LIGHT else asked
     return hold(docs.join(asked, "key").groupBy("node").agg(F.min("text").alias("text")), "texts")
 
 
@@ -395,35 +399,31 @@ def link_components(
         "classes",
     )
     posted = hold(postings(reps.select("doc_id", "n_shingles", "sketch", "signature"), k, matches), "postings")
-    links = labels = near = None
-    for centre in ("smallest", "hashed"):
-        posted = hold(_open_lists(_labelled(posted.drop("label"), labels)), "open")
-        if posted.isEmpty():
-            break
-        pairs = hold(_ordered(_with_centre(posted, centre, percent)), "pairs")
-        retained = hold(_retained(pairs, reps, matches, percent), "retained")
-        near = retained if near is None else near.union(retained)
-        texts = _with_texts(_ends(retained), reps, docs)
-        confirmed = hold(_confirmed(retained, texts, width, percent), "links")
-        links = confirmed if links is None else links.union(confirmed)
+    labels = None
+    lists = hold(_open_lists(_labelled(posted, None)), "lists")
+    if not lists.isEmpty():
+        starred = _with_centre(lists, "smallest", percent).union(_with_centre(lists, "hashed", percent))
+        near = hold(_retained(hold(_ordered(starred), "pairs"), reps, matches, percent), "retained")
+        # The texts are fetched once, for the links to centres and for the teams.
+        texts = _with_texts(_ends(near), reps, docs)
+        links = hold(_confirmed(near, texts, width, percent), "links")
         labels = components(links)
-    if links is not None:
         teams = components(near).withColumnRenamed("label", "team")
         members = teams.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
         spans = members.groupBy("team").agg(F.min("label").alias("low"), F.max("label").alias("high"))
         sizes = reps.select(F.col("doc_id").alias("node"), "n_shingles")
         members = hold(members.join(spans.where("low < high").select("team"), "team").join(sizes, "node"), "members")
-        texts = _with_texts(members.select(F.col("node").alias("doc_id")), reps, docs)
-        links = links.union(hold(_within_teams(members, texts, width, percent), "links"))
-        labels = components(links)
-        posted = _open_lists(_labelled(posted.drop("label"), labels))
+        if not members.isEmpty():
+            links = links.union(hold(_within_teams(members, texts, width, percent), "links"))
+            labels = components(links)
         teams = teams.withColumnRenamed("node", "doc")
-        posted = hold(posted.join(teams, "doc", "left").withColumn("team", F.coalesce("team", "doc")), "open")
-        pairs = hold(_ordered(_all_across(posted, percent)), "pairs")
+        apart = _open_lists(_labelled(posted, labels)).join(teams, "doc", "left")
+        apart = hold(apart.withColumn("team", F.coalesce("team", "doc")), "apart")
+        pairs = hold(_ordered(_all_across(apart, percent)), "pairs")
         retained = hold(_retained(pairs, reps, matches, percent), "retained")
-        confirmed = _confirmed(retained, _with_texts(_ends(retained), reps, docs), width, percent)
-        links = links.union(hold(confirmed, "links"))
-        labels = components(links)
+        if not retained.isEmpty():
+            more = _confirmed(retained, _with_texts(_ends(retained), reps, docs), width, percent)
+            labels = components(links.union(hold(more, "links")))
     classes = reps.select("digest", "low", F.col("doc_id").alias("node"))
     if labels is None:
         return signed, classes.select("digest", F.col("node").alias("team"), F.col("low").alias("component_id"))
