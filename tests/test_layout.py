@@ -1,6 +1,7 @@
 import hashlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.encode import zstd
 from tracewright.functions.text import codec_of, path_parts, stem
@@ -126,3 +127,20 @@ def test_directory_checksum_sees_changes(spark, tmp_path, change):
     after = listing.log_checksums(listing.list_logs(spark, [str(root)])).collect()
     changed = {r.log_id for r in set(before) ^ set(after)}
     assert changed == {"eventlog_v2_app"}
+
+
+def test_many_files_are_listed_hashed_and_copied(spark, tmp_path):
+    """More files than tasks, so that a task filters a batch of several."""
+    for n in range(60):
+        (tmp_path / "in" / f"dir{n % 3}").mkdir(parents=True, exist_ok=True)
+        (tmp_path / "in" / f"log{n}").write_text(f"log {n}\n" * (n % 4))
+        (tmp_path / "in" / f"dir{n % 3}" / f"part{n}").write_text(f"part {n}\n")
+    listed = listing.list_logs(spark, [str(tmp_path / "in")]).repartition(2)
+    rows = listed.collect()
+    assert len(rows) == 120 and sum(r.is_dir_log for r in rows) == 60
+    assert {r.length for r in rows if r.name == "log3"} == {3 * len("log 3\n")}
+    hashed = {r.name: r.digest for r in listing.with_digests(listed).collect()}
+    assert hashed["part7"] == hashlib.sha256(b"part 7\n").hexdigest()
+    stored = listing.store_files(listed.withColumn("dest", F.concat(F.lit("to/"), "name")), str(tmp_path / "out"))
+    assert {r.name: r.digest for r in stored.collect()} == hashed
+    assert len(list((tmp_path / "out" / "to").iterdir())) == 120

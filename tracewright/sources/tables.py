@@ -71,7 +71,7 @@ _CONF = "`Spark Properties` MAP<STRING, STRING>"
 
 _REMOVED = "Timestamp LONG, `Executor ID` STRING"
 
-#: Below these nodes a plan describes work that the execution did not do itself.
+#: Below these nodes a plan describes how a cached table came to be.
 CACHED_NODES = ("InMemoryTableScan",)
 _ROOTS = r"\[(.*)\]\s*$"
 
@@ -269,11 +269,10 @@ def plan_nodes(lines: DataFrame, order: str = "seq") -> DataFrame:
 
 
 def file_scans(lines: DataFrame, order: str = "seq") -> DataFrame:
-    """One row per SQL execution and root path that its last plan scans. Adaptive
-    updates replace an execution's plan; what only fills a cached table is not
-    scanned again by those who read the table."""
+    """One row per SQL execution and root path that its last plan scans, also where the
+    scan fills a cached table. Adaptive updates replace an execution's plan."""
     nodes = plan_nodes(lines, order)
-    scans = F.col("name").startswith("Scan ") & F.col("location").isNotNull() & ~F.col("cached")
+    scans = F.col("name").startswith("Scan ") & F.col("location").isNotNull()
     # Every plan has a row, if only one without a node; their texts stay behind.
     last = nodes.groupBy("log_id", "execution_id").agg(F.max("seq").alias("seq"))
     found = nodes.where(scans).join(last, ["log_id", "execution_id", "seq"])
