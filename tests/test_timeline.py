@@ -83,3 +83,13 @@ def test_every_log_has_every_outcome(spark):
     assert {t for t, (fires, _) in tags.items() if fires is not None} == {"INCMP"}
     assert tags["UTIL"] == (None, "0/0")
     assert all(sum(r.log_id == log for r in found) == len(d.TAGS) for log in {r.log_id for r in found})
+
+
+def test_tasks_follow_the_size(spark, tmp_path):
+    """Moments are dealt to more tasks as they grow, not merged into large ones."""
+    from tracewright.operators import timeline
+
+    small, large = (spark.range(n).selectExpr("'a' AS log_id", "id AS at_ms") for n in (1000, 20_000_000))
+    least = spark.sparkContext.defaultParallelism
+    assert timeline._parts(small) == least
+    assert timeline._parts(large) > 8 * least
