@@ -55,3 +55,18 @@ def test_nodes_know_their_parents(spark):
 def test_damaged_plans(spark):
     events = [event(1, 1, "text"), event(2, 2, [1]), event(3, 3, {"nodeName": 4, "children": 5, "metadata": 6})]
     assert scans(spark, events) == set()
+
+
+def test_plans_are_walked_once(spark, capsys):
+    """Of tied last plans all scans count; the plans pass one Python stage."""
+    def line(execution, location):
+        leaf = {"nodeName": "Scan parquet", "metadata": {"Location": f"InMemoryFileIndex(1 paths)[{location}]"}}
+        event = "org.apache.spark.sql.execution.ui.SparkListenerSQLExecutionStart"
+        return json.dumps({"Event": event, "executionId": execution, "sparkPlanInfo": leaf})
+
+    rows = [("a", 1, line(1, "/old")), ("a", 2, line(1, "/x")), ("a", 2, line(1, "/y")), (None, 1, line(1, "/z"))]
+    rows.append(("a", 3, f"[{line(1, '/list')}]"))
+    found = tables.file_scans(spark.createDataFrame(rows, "log_id string, seq long, value string"))
+    found.explain()
+    assert capsys.readouterr().out.count("MapInArrow") == 1
+    assert sorted(map(tuple, found.collect())) == [("a", 1, "/x"), ("a", 1, "/y")]
