@@ -106,3 +106,15 @@ def test_counts_come_with_the_write(spark, tmp_path):
     counted = dml.observed_write(dml.seed_rows(ids), str(tmp_path / "t"), {"all": "true", "even": "id % 2 = 0"})
     assert {r.check_name: r.n for r in counted.collect()} == {"all": 1000, "even": 500}
     assert spark.read.parquet(str(tmp_path / "t")).where(F.col("id") % 2 == 0).count() == 500
+
+
+def test_tasks_move_and_delete_the_files(spark, table, monkeypatch):
+    """The driver asks Hadoop for the pending folder and the note only, not for each file."""
+    schema, asked = spark.createDataFrame([], SCHEMA).schema, []
+    found = rewrite.hadoop_path
+    monkeypatch.setattr(rewrite, "hadoop_path", lambda s, path: asked.append(path) or found(s, path))
+    done = rewrite.update_files(spark, str(table), schema, "id % 100 = 0", {"status": "'updated'"})
+    assert len(done.replaced) == 50 and len(asked) < 10
+    assert len(rows(spark, table)) == 5000
+    # Nor do checksums of old files stay behind.
+    assert not [name for name in done.replaced if (table / f".{name}.crc").exists()]

@@ -14,20 +14,28 @@ statements that touch the same files must not run at once.
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Mapping, Sequence
+import posixpath
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 from urllib.parse import unquote
 from uuid import uuid4
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from tracewright.operators import dml
-from tracewright.session import hadoop_path, qualified, staged
+from tracewright.session import hadoop_path, map_in_arrow, qualified, staged, task_count
+from tracewright.storage import resolve
 
 _PENDING = "_rewrite-"
 _NOTE = "_replaced.json"
 _FILE = "_file"
+#: Names that one task moves or deletes.
+NAMES_A_TASK = 256
+#: Tasks move their files in themselves; else the driver does, one by one.
+COMMIT_IN_TASKS = {"mapreduce.fileoutputcommitter.algorithm.version": "2"}
 
 
 @dataclass(frozen=True)
@@ -57,26 +65,25 @@ def _rows_of(spark: SparkSession, path: str, files: Sequence[str], schema: Struc
     return spark.read.schema(schema).option("basePath", path).parquet(*files)
 
 
-def _listed(filesystem, folder) -> list[str]:
+def _listed(folder: str) -> list[str]:
     """Data files below ``folder``, hidden ones left out, relative to it."""
-    root = filesystem.makeQualified(folder).toUri().getPath()
-    found, files = [], filesystem.listFiles(folder, True)
-    while files.hasNext():
-        name = files.next().getPath().toUri().getPath()[len(root) + 1 :]
-        if not any(part.startswith(("_", ".")) for part in name.split("/")):
-            found.append(name)
-    return sorted(found)
+    filesystem, base = resolve(folder)
+    found = filesystem.get_file_info(fs.FileSelector(base, recursive=True))
+    names = [i.path[len(base) :].lstrip("/") for i in found if i.is_file]
+    return sorted(n for n in names if not any(part.startswith(("_", ".")) for part in n.split("/")))
 
 
 def _replace(new: DataFrame, path: str, files: Sequence[str], partition_by: Sequence[str]) -> Rewritten:
     """Write ``new`` and let it take the place of ``files``."""
     spark = new.sparkSession
     pending = f"{path}/{_PENDING}{uuid4().hex}"
-    new.write.partitionBy(*partition_by).parquet(pending)
-    filesystem, folder = hadoop_path(spark, pending)
-    written = _listed(filesystem, folder)
+    # Nothing counts before the note, so tasks may move their files in as they end.
+    new.write.partitionBy(*partition_by).options(**COMMIT_IN_TASKS).parquet(pending)
+    filesystem, _ = hadoop_path(spark, pending)
+    written = _listed(qualified(spark, pending))
     base = qualified(spark, path).rstrip("/") + "/"
-    replaced = [qualified(spark, f).removeprefix(base) for f in files]
+    plain = resolve(base)[1].rstrip("/") + "/"
+    replaced = [resolve(f)[1].removeprefix(plain) for f in files]
     # Complete only under its final name: the statement counts from then on.
     draft, note = (hadoop_path(spark, f"{pending}/{name}")[1] for name in (f".{_NOTE}", _NOTE))
     stream = filesystem.create(draft)
@@ -89,16 +96,38 @@ def _replace(new: DataFrame, path: str, files: Sequence[str], partition_by: Sequ
 
 
 def _move_in(spark: SparkSession, path: str, pending: str, replaced: Sequence[str], written: Sequence[str]) -> None:
-    """New files in, old ones out, and the folder last; may be repeated."""
+    """New files in, old ones out, and the folder last; may be repeated. Tasks move and
+    delete, as there may be very many files."""
+    root = qualified(spark, path).rstrip("/")
+    inner = f"{root}/{pending.rstrip('/').rsplit('/', 1)[1]}"
+
+    def mover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        filesystem, base = resolve(root)
+        beside = resolve(inner)[1]
+        for batch in batches:
+            for name in batch.column("name").to_pylist():
+                if filesystem.get_file_info(f"{beside}/{name}").type != fs.FileType.NotFound:
+                    filesystem.create_dir(posixpath.dirname(f"{base}/{name}"), recursive=True)
+                    filesystem.move(f"{beside}/{name}", f"{base}/{name}")
+            yield batch
+
+    def remover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        filesystem, base = resolve(root)
+        for batch in batches:
+            for name in batch.column("name").to_pylist():
+                folder, file = posixpath.split(name)
+                # Hadoop's local filesystem keeps a checksum beside a file.
+                for old in (name, posixpath.join(folder, f".{file}.crc")):
+                    if filesystem.get_file_info(f"{base}/{old}").type != fs.FileType.NotFound:
+                        filesystem.delete_file(f"{base}/{old}")
+            yield batch
+
+    for names, function in ((written, mover), (replaced, remover)):
+        if names:
+            tasks = min(task_count(spark), -(-len(names) // NAMES_A_TASK))
+            rows = spark.createDataFrame(pa.table({"name": pa.array(names, pa.string())})).repartition(tasks)
+            map_in_arrow(rows, function, "name string").write.format("noop").mode("overwrite").save()
     filesystem, folder = hadoop_path(spark, pending)
-    for name in written:
-        source, target = hadoop_path(spark, f"{pending}/{name}")[1], hadoop_path(spark, f"{path}/{name}")[1]
-        if filesystem.exists(source):
-            filesystem.mkdirs(target.getParent())
-            if not filesystem.rename(source, target):
-                raise OSError(f"cannot move {source.toString()}")
-    for name in replaced:
-        filesystem.delete(hadoop_path(spark, f"{path}/{name}")[1], False)
     filesystem.delete(folder, True)
 
 

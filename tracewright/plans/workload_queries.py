@@ -342,7 +342,7 @@ def parted(rows: DataFrame) -> DataFrame:
 def seed_parts(spark: SparkSession, folder: str, path: str) -> DataFrame:
     """The seeded target as one file a part, and the files it has."""
     seeded = parted(target_of(spark, folder))
-    seeded.repartition("part").write.partitionBy("part").parquet(path)
+    seeded.repartition("part").write.partitionBy("part").options(**rewrite.COMMIT_IN_TASKS).parquet(path)
     return staged(file_names(spark, path, seeded), "files-before")
 
 
