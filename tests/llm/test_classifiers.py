@@ -93,3 +93,28 @@ def test_sample_is_bounded(spark):
     labels = table(spark, "/root/testdata/sf0.01", "labels")
     found = features.labelled_sample(docs, labels, "toxic", rows=100).count()
     assert 60 < found < 140
+
+
+def test_every_labelled_row_is_learned_from(spark):
+    """All rows are in pairs, and the cut is the quantile over all of them."""
+    rows = spark.range(30_000).selectExpr(
+        "id AS doc_id", "int(id % 3 = 0) AS label", "array(double(id), double(id) * id) AS scaled"
+    )
+    pairs = preference.paired(rows, 10_000).selectExpr("margin[0] AS far", "margin[1] AS square").collect()
+    assert len(pairs) == 4 * 20_000
+    ends = [(p.square / p.far + p.far, p.square / p.far - p.far) for p in pairs]
+    assert {round(g / 2) for g, _ in ends} == set(range(0, 30_000, 3))
+    assert len({round(b / 2) for _, b in ends}) == 20_000
+    values = rows.selectExpr("doc_id / 7.0D AS strength")
+    assert np.isclose(preference._cut(values, 0.25), np.quantile(np.arange(30_000) / 7, 0.25))
+
+
+def test_rows_beyond_the_old_sample_count(spark, monkeypatch):
+    """The texts that tell the labels apart are few among many labelled rows."""
+    monkeypatch.setattr(features, "SAMPLE_ROWS", 10)
+    docs = spark.range(400).selectExpr("id AS doc_id", "if(id % 2 = 0, 'One fine word after another.', '## || 77 $$ ##') AS text")
+    labels = docs.selectExpr("doc_id", "int(doc_id % 2 = 0) AS quality")
+    seen = features.labelled_features(docs, labels, "quality", lambda: features.quality_features, True)
+    assert seen.count() == 400
+    found = preference.score(docs, preference.fit(docs, labels)).join(labels, "doc_id")
+    assert found.where("predicted = quality").count() == 400

@@ -34,6 +34,18 @@ def labelled_sample(
     return docs.join(F.broadcast(sampled), "doc_id")
 
 
+def labelled_features(
+    docs: DataFrame, labels: DataFrame, label_col: str, of: Callable[[], Callable[[list], np.ndarray]], binary: bool
+) -> DataFrame:
+    """``doc_id, features, label`` of every labelled document. Features travel to the
+    labels, texts stay where they are."""
+    known = labels.select(
+        labels["doc_id"].cast("long").alias("doc_id"), labels[label_col].cast("int").alias("label")
+    ).where("doc_id is not null and label in (0, 1)")
+    known = known.groupBy("doc_id").agg(F.max("label").alias("label"))
+    return featured(docs, of, binary).where("doc_id is not null").join(known, "doc_id")
+
+
 _CLASSES = {
     "upper": b"ABCDEFGHIJKLMNOPQRSTUVWXYZ",
     "lower": b"abcdefghijklmnopqrstuvwxyz",
