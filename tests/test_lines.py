@@ -160,3 +160,18 @@ def test_fuzzed_lines_agree_with_python(spark):
         if model_verdict(line) not in (None, found[i])
     ]
     assert not wrong, wrong[:10]
+
+
+def test_staged_lines_are_packed_with_zstd(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    from tracewright.sources.lines import stage_events
+
+    lines = spark.range(50).selectExpr("'a' AS log_id", "id AS seq", """'{"Event":"x","n":' || id || '}' AS value""")
+    assert stage_events(lines, str(tmp_path / "staged")).count() == 50
+    kinds = {
+        pq.ParquetFile(f).metadata.row_group(0).column(0).compression
+        for f in (tmp_path / "staged").glob("*.parquet")
+        if pq.ParquetFile(f).metadata.num_rows
+    }
+    assert kinds == {"ZSTD"}
