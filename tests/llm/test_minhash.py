@@ -143,6 +143,31 @@ def test_similar_sizes_across_classes(spark):
     assert found == brute(sets, 2)
 
 
+@pytest.mark.parametrize("width, share", [(2, 0.1), (5, 0.06)])
+def test_large_groups_below_the_threshold_make_few_pairs(spark, monkeypatch, width, share):
+    """Documents of one template, half alike: as many pairs as documents, not their square."""
+    made = []
+    rest = minhash._all_across
+
+    def counted(*args):
+        made.append(rest(*args).distinct().count())
+        return rest(*args)
+
+    monkeypatch.setattr(minhash, "_all_across", counted)
+    draw = random.Random(12)
+    words = [f"w{n}" for n in range(150)]
+    rows = []
+    for n in range(240):
+        text = " ".join(f"x{draw.randrange(10**6)}" if draw.random() < share else w for w in words)
+        rows.append((n, text))
+    # Some have a partner that is linked.
+    rows += [(1000 + n, rows[n][1] + " two more words") for n in range(0, 240, 10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = minhash.near_duplicates(docs, width).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute(rows, width)
+    assert sum(made) < 2 * len(rows)
+
+
 def test_components(spark):
     draw = random.Random(3)
     links = [(draw.randrange(300), draw.randrange(300)) for _ in range(150)]

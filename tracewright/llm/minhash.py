@@ -12,20 +12,22 @@ is retained if it shares that many, and its link is confirmed on the full sets.
   for the prefix and are never posted.
 - *Skip.* The long lists beyond the prefix are not merged: the collisions of a pair
   of documents found in the prefix are counted on the two signatures.
-- *Sketch.* A posting carries the size of its document's set and one bit of each
-  coordinate. Documents whose sizes rule a link out, or whose sketches differ in more
-  than ``SKETCH`` bits, make no pair; that loses a pair of similarity 0.8 about once in
-  100,000, and keeps about one in 240 pairs of similarity 0.1.
+- *Sketch.* A posting carries the size of its document's set and four bits of each
+  coordinate. Documents whose sizes rule a link out, or whose sketches show more
+  different coordinates than are allowed, make no pair; that loses no pair with enough
+  collisions, and keeps hardly any other.
 - *Copies* with equal sets are one class, posted once.
 - *Hot lists.* A list's documents are compared with two of them, its centres, not with
   each other. Confirmed links make components.
-- *Teams.* Documents that were retained with a common centre, linked or not, are a team.
-  A team that spans components is compared whole, on its full sets, as matrix products of
-  parts of about ``ROOM`` shingles inside tasks. What leaves a task joins each document
-  with one other, so a large group of documents around the threshold makes no pairs.
-  Parts of one component are not compared with each other.
-- *The rest.* Documents of different teams and components that still share a list are
-  paired in lists cut by size, so that no link goes unseen.
+- *Teams.* Documents that collide with a common centre in two thirds of ``MATCHES``,
+  linked or not, are a team, so that a large group too far apart to be retained with its
+  centres is one as well. A team that spans components is compared whole, on its full
+  sets, as matrix products of parts of about ``ROOM`` shingles inside tasks. What leaves
+  a task joins each document with one other, so a large group of documents around or
+  below the threshold makes no pairs. Parts of one component are not compared with each
+  other.
+- *The rest.* Documents of different teams that still share a list are paired in lists
+  cut by size, so that no link goes unseen.
 
 Defined results: null and empty texts have an empty set, are their own component
 and are kept. Every row counts: rows that share an id and have different texts are
@@ -38,6 +40,7 @@ their component and verdict. Extra columns are ignored, or carried as they are b
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from hashlib import blake2b
 
 import numpy as np
@@ -52,8 +55,8 @@ from tracewright.session import map_in_arrow, planned_bytes
 
 K = 64
 MATCHES = 36
-#: Most sketch bits in which linked documents differ.
-SKETCH = 18
+#: Sketch columns; each has one bit of the first 64 coordinates.
+PLANES = ("sketch0", "sketch1", "sketch2", "sketch3")
 #: Sets of one size class differ by less than this factor, so linked ones are in the
 #: same class or in neighbouring ones (they differ by 1.25 at most).
 _CLASS = 1.2501
@@ -115,7 +118,7 @@ _SIGNED = pa.schema(
         ("key", pa.binary()),
         ("n_shingles", pa.int64()),
         ("digest", pa.binary()),
-        ("sketch", pa.int64()),
+        *[(plane, pa.int64()) for plane in PLANES],
         ("signature", pa.list_(pa.int32())),
     ]
 )
@@ -124,13 +127,13 @@ _TOGETHER = 4 << 20
 
 
 def _signed(texts: list[bytes | None], width: int, flips: np.ndarray, odds: np.ndarray) -> list[list]:
-    """Size, digest, sketch and signature of each text's set."""
+    """Size, digest, sketches and signature of each text's set."""
     known = _Hashes()
     sets = [shingle_hashes(t, width, known) for t in texts]
     sizes = [len(s) for s in sets]
     full = [n for n, size in enumerate(sizes) if size]
     signature: list = [None] * len(sets)
-    sketch: list = [None] * len(sets)
+    planes: list[list] = [[None] * len(sets) for _ in PLANES]
     if full:
         flat = np.concatenate([sets[n] for n in full])
         starts = np.concatenate(([0], np.cumsum([sizes[n] for n in full])[:-1]))
@@ -140,19 +143,22 @@ def _signed(texts: list[bytes | None], width: int, flips: np.ndarray, odds: np.n
             mixed *= odds[c]
             least = np.minimum.reduceat(mixed, starts) >> np.uint64(32)
             rows[:, c] = least.astype(np.uint32).view(np.int32)
-        bits = np.zeros((len(full), 64), np.uint8)
-        bits[:, : min(64, rows.shape[1])] = rows[:, :64] & 1
-        packed = np.packbits(bits, axis=1).view(">i8").ravel()
-        for n, row, short in zip(full, rows, packed.tolist()):
-            signature[n], sketch[n] = row, short
+        for at, plane in enumerate(planes):
+            bits = np.zeros((len(full), 64), np.uint8)
+            bits[:, : min(64, rows.shape[1])] = (rows[:, :64] >> at) & 1
+            packed = np.packbits(bits, axis=1).view(">i8").ravel()
+            for n, short in zip(full, packed.tolist()):
+                plane[n] = short
+        for n, row in zip(full, rows):
+            signature[n] = row
     digests = [blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
-    return [sizes, digests, sketch, signature]
+    return [sizes, digests, *planes, signature]
 
 
 def signatures(docs: DataFrame, width: int, k: int = K, seed: int = 5) -> DataFrame:
-    """``doc_id, key, n_shingles, digest, sketch, signature`` of ``(doc_id, text, key)``;
-    the digest stands for the whole set and is null, as are sketch and signature, if
-    that is empty."""
+    """``doc_id, key, n_shingles, digest``, the sketches and ``signature`` of ``(doc_id,
+    text, key)``; the digest stands for the whole set and is null, as are sketches and
+    signature, if that is empty."""
     flips, odds = coordinates(k, seed)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,7 +173,9 @@ def signatures(docs: DataFrame, width: int, k: int = K, seed: int = 5) -> DataFr
     return map_in_arrow(
         docs,
         task,
-        "doc_id long, key binary, n_shingles long, digest binary, sketch long, signature array<int>",
+        "doc_id long, key binary, n_shingles long, digest binary, "
+        + "".join(f"{plane} long, " for plane in PLANES)
+        + "signature array<int>",
     )
 
 
@@ -199,7 +207,7 @@ def postings(reps: DataFrame, k: int, matches: int) -> DataFrame:
 
 def _retained(pairs: DataFrame, reps: DataFrame, matches: int, percent: int) -> DataFrame:
     """The pairs ``(a, b)`` whose sizes allow a link and whose signatures collide
-    in ``matches`` coordinates or more."""
+    in ``matches`` coordinates or more, and in how many."""
     side = reps.select("doc_id", "n_shingles", "signature")
     a = side.toDF("a", "size_a", "signature_a")
     b = side.toDF("b", "size_b", "signature_b")
@@ -209,8 +217,9 @@ def _retained(pairs: DataFrame, reps: DataFrame, matches: int, percent: int) ->
     return (
         pairs.join(a, "a")
         .join(b, "b")
-        .where((100 * least >= percent * most) & (collisions >= matches))
-        .select("a", "b")
+        .where(100 * least >= percent * most)
+        .select("a", "b", collisions.alias("collisions"))
+        .where(F.col("collisions") >= matches)
     )
 
 
@@ -236,11 +245,13 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) ->
     return map_in_arrow(joined, task, "a long, b long")
 
 
-def _compatible(a: str, b: str, percent: int) -> Column:
-    """Whether sizes and sketches of two postings allow a link."""
+def _compatible(a: str, b: str, percent: int, differing: int) -> Column:
+    """Whether the sizes of two postings allow a link, and their sketches no more than
+    ``differing`` different coordinates."""
     sizes = [F.col(f"{side}n_shingles") for side in (a, b)]
-    differ = F.bit_count(F.col(f"{a}sketch").bitwiseXOR(F.col(f"{b}sketch")))
-    return (100 * F.least(*sizes) >= percent * F.greatest(*sizes)) & (differ <= SKETCH)
+    apart = [F.col(f"{a}{plane}").bitwiseXOR(F.col(f"{b}{plane}")) for plane in PLANES]
+    seen = F.bit_count(reduce(Column.bitwiseOR, apart))
+    return (100 * F.least(*sizes) >= percent * F.greatest(*sizes)) & (seen <= differing)
 
 
 def _labelled(posted: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -257,21 +268,22 @@ def _open_lists(posted: DataFrame) -> DataFrame:
     return posted.join(spans.where("low < high").select("pair"), "pair")
 
 
-def _with_centre(posted: DataFrame, centre: str, percent: int) -> DataFrame:
+def _with_centre(posted: DataFrame, centre: str, percent: int, differing: int) -> DataFrame:
     """Each list's documents paired with one of them."""
     rank = F.col("doc") if centre == "smallest" else F.xxhash64("doc")
-    order = F.struct(rank.alias("rank"), "doc", "label", "n_shingles", "sketch")
+    order = F.struct(rank.alias("rank"), "doc", "label", "n_shingles", *PLANES)
     centres = posted.groupBy("pair").agg(F.min(order).alias("c"))
     paired = posted.join(centres, "pair").where("label <> c.label")
-    return paired.where(_compatible("", "c.", percent)).select(F.col("c.doc").alias("a"), F.col("doc").alias("b"))
+    near = _compatible("", "c.", percent, differing)
+    return paired.where(near).select(F.col("c.doc").alias("a"), F.col("doc").alias("b"))
 
 
-def _all_across(posted: DataFrame, percent: int) -> DataFrame:
-    """The documents of each list that are in different components and teams, in lists
-    of a size class and the one above."""
+def _all_across(posted: DataFrame, percent: int, differing: int) -> DataFrame:
+    """The documents of each list that have different labels, in lists of a size class
+    and the one above."""
     step = F.floor(F.log(F.col("n_shingles")) / float(np.log(_CLASS)))
     sized = posted.withColumn("step", step)
-    names = ["doc", "label", "team", "n_shingles", "sketch"]
+    names = ["doc", "label", "n_shingles", *PLANES]
     home = sized.select("pair", "step", *[F.col(c).alias(f"a_{c}") for c in names])
     other = sized.select(
         "pair",
@@ -283,8 +295,7 @@ def _all_across(posted: DataFrame, percent: int) -> DataFrame:
     asks = (F.col("a_label") < F.col("b_label")) | (
         (F.col("own") < F.col("step")) & (F.col("a_label") != F.col("b_label"))
     )
-    apart = asks & (F.col("a_team") != F.col("b_team"))
-    paired = home.join(other, ["pair", "step"]).where(apart & _compatible("a_", "b_", percent))
+    paired = home.join(other, ["pair", "step"]).where(asks & _compatible("a_", "b_", percent, differing))
     return paired.select(F.col("a_doc").alias("a"), F.col("b_doc").alias("b"))
 
 
@@ -392,35 +403,37 @@ def link_components(
             F.min("doc_id").alias("low"),
             F.min("key").alias("key"),
             F.first("n_shingles").alias("n_shingles"),
-            F.first("sketch").alias("sketch"),
+            *[F.first(plane).alias(plane) for plane in PLANES],
             F.first("signature").alias("signature"),
         )
         .withColumn("doc_id", F.monotonically_increasing_id()),
         "classes",
     )
-    posted = hold(postings(reps.select("doc_id", "n_shingles", "sketch", "signature"), k, matches), "postings")
+    posted = hold(postings(reps.select("doc_id", "n_shingles", *PLANES, "signature"), k, matches), "postings")
     labels = None
     lists = hold(_open_lists(_labelled(posted, None)), "lists")
     if not lists.isEmpty():
-        starred = _with_centre(lists, "smallest", percent).union(_with_centre(lists, "hashed", percent))
-        near = hold(_retained(hold(_ordered(starred), "pairs"), reps, matches, percent), "retained")
+        loose = matches * 2 // 3
+        first, second = (_with_centre(lists, by, percent, k - loose) for by in ("smallest", "hashed"))
+        near = hold(_retained(hold(_ordered(first.union(second)), "pairs"), reps, loose, percent), "near")
         # The texts are fetched once, for the links to centres and for the teams.
         texts = _with_texts(_ends(near), reps, docs)
-        links = hold(_confirmed(near, texts, width, percent), "links")
+        kept = near.where(F.col("collisions") >= matches).select("a", "b")
+        links = hold(_confirmed(kept, texts, width, percent), "links")
         labels = components(links)
-        teams = components(near).withColumnRenamed("label", "team")
-        members = teams.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        teams = components(near)
+        members = teams.withColumnRenamed("label", "team").join(labels, "node", "left")
+        members = members.withColumn("label", F.coalesce("label", "node"))
         spans = members.groupBy("team").agg(F.min("label").alias("low"), F.max("label").alias("high"))
         sizes = reps.select(F.col("doc_id").alias("node"), "n_shingles")
         members = hold(members.join(spans.where("low < high").select("team"), "team").join(sizes, "node"), "members")
         if not members.isEmpty():
             links = links.union(hold(_within_teams(members, texts, width, percent), "links"))
             labels = components(links)
-        teams = teams.withColumnRenamed("node", "doc")
-        apart = _open_lists(_labelled(posted, labels)).join(teams, "doc", "left")
-        apart = hold(apart.withColumn("team", F.coalesce("team", "doc")), "apart")
-        pairs = hold(_ordered(_all_across(apart, percent)), "pairs")
-        retained = hold(_retained(pairs, reps, matches, percent), "retained")
+        # Linked documents are of one team, and all links inside teams are known.
+        apart = hold(_open_lists(_labelled(posted, teams)), "apart")
+        pairs = hold(_ordered(_all_across(apart, percent, k - matches)), "pairs")
+        retained = hold(_retained(pairs, reps, matches, percent).select("a", "b"), "retained")
         if not retained.isEmpty():
             more = _confirmed(retained, _with_texts(_ends(retained), reps, docs), width, percent)
             labels = components(links.union(hold(more, "links")))
