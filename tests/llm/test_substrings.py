@@ -67,6 +67,21 @@ def test_common_prefixes_are_those_of_the_suffixes():
         assert values[n] == min(shared, 6)
 
 
+def test_common_prefixes_of_repeating_texts():
+    """Intervals of one place and of many, up to the least length."""
+    draw = random.Random(7)
+    for letters in (b"ab", b"abcdefgh"):
+        passage = bytes(draw.choice(letters) for _ in range(90))
+        parts = [passage[draw.randrange(40) : draw.randrange(50, 90)] for _ in range(20)]
+        raw = b"|".join(parts) + b"\0"
+        order, bwt = substrings.transform(np.frombuffer(raw, np.uint8).astype(np.uint16), 30)
+        values = substrings.common_prefix_values(bwt, 30)
+        for n in range(1, len(order)):
+            a, b = raw[order[n - 1] :], raw[order[n] :]
+            shared = next((k for k in range(min(len(a), len(b))) if a[k] != b[k]), min(len(a), len(b)))
+            assert values[n] == min(shared, 30)
+
+
 @pytest.mark.parametrize("part", [substrings.PART, 3])
 def test_documents_against_brute_force(spark, monkeypatch, part):
     """Also with hot anchors split over many parts."""

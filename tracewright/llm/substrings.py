@@ -19,7 +19,8 @@ Burrows-Wheeler transform is built from suffixes sorted as deep as ``LEAST``. Co
 prefixes then come by increasing value: a pair of neighbours that start with the same
 byte is the backward extension of the interval between the two suffixes behind that
 byte, so it has common prefix l + 1 once that interval holds one of l. All intervals
-of one level are extended together, breadth first, until the level reaches ``LEAST``;
+of one level are extended together, breadth first, until the level reaches ``LEAST``:
+an interval of one place from that place, the wider ones by a count of the places passed;
 what has no value then shares ``LEAST`` bytes or more. The first of each such group of
 strings stays. For split anchors, strings that are first in their part meet once more
 by a 128-bit digest.
@@ -221,15 +222,26 @@ def common_prefix_values(bwt: np.ndarray, least: int) -> np.ndarray:
     values[border] = 0
     open_ = np.flatnonzero(~border).astype(np.int32)
     left, right = behind[open_ - 1].astype(np.int32), behind[open_].astype(np.int32)
+    # Most intervals are one place: what it gets at one level, its extension gets at the next.
+    wide = right != left + 1
+    extension = np.full(count, -1, np.int32)
+    extension[right[~wide]] = open_[~wide]
+    open_, left, right = open_[wide], left[wide], right[wide]
+    found = np.flatnonzero(border)
     for level in range(1, least):
-        passed = np.cumsum(border, dtype=np.int32)
-        hit = passed[left] != passed[right]
-        if not hit.any():
+        found = extension[found]
+        found = found[found >= 0]
+        if len(open_):
+            passed = np.cumsum(border, dtype=np.int32)
+            hit = passed[left] != passed[right]
+            if hit.any():
+                found = np.concatenate((found, open_[hit]))
+                rest = ~hit
+                open_, left, right = open_[rest], left[rest], right[rest]
+        if not len(found):
             break
-        values[open_[hit]] = level
-        border[open_[hit]] = True
-        rest = ~hit
-        open_, left, right = open_[rest], left[rest], right[rest]
+        values[found] = level
+        border[found] = True
     return values
 
 
