@@ -65,6 +65,20 @@ def test_prefix_finds_every_pair_with_enough_collisions(spark):
             assert any({a, b} <= docs for docs in lists.values())
 
 
+def test_only_numbers_travel_for_each_posted_pair(spark):
+    draw = random.Random(10)
+    signed = [(n, 100 + n, 7 * n, [draw.randrange(3) for _ in range(8)]) for n in range(60)]
+    reps = spark.createDataFrame(signed, "doc_id long, n_shingles long, sketch0 long, signature array<int>")
+    posted = minhash.postings(reps, 8, 5)
+    plan = posted._jdf.queryExecution().optimizedPlan().toString()
+    made = [line for line in plan.splitlines() if "Project [" in line and "AS pair#" in line and "shiftleft" in line]
+    assert made and not any("sketch0" in line or "n_shingles" in line for line in made)
+    rows = posted.collect()
+    bare = minhash.postings(reps.select("doc_id", "signature"), 8, 5).collect()
+    assert sorted((r.pair, r.doc) for r in rows) == sorted((r.pair, r.doc) for r in bare)
+    assert rows and all((r.n_shingles, r.sketch0) == (100 + r.doc, 7 * r.doc) for r in rows)
+
+
 def test_given_documents(spark):
     docs = table(spark, "/root/testdata/sf0.001", "documents")
     rows = [(r.doc_id, r.text) for r in docs.collect()]

@@ -182,33 +182,44 @@ def signatures(docs: DataFrame, width: int, k: int = K, seed: int = 5) -> DataFr
 def postings(reps: DataFrame, k: int, matches: int) -> DataFrame:
     """``pair, doc`` and what else ``reps`` has: every document under the shared pairs
     of its prefix."""
-    own = ["doc", *[c for c in reps.columns if c not in ("doc_id", "signature")]]
-    posted = reps.select(
-        F.col("doc_id").alias("doc"), *own[1:], F.posexplode("signature").alias("place", "value")
-    ).select(
-        *own,
+    own = [c for c in reps.columns if c not in ("doc_id", "signature")]
+    # Only numbers travel for each pair; the rest of a row joins what its prefix keeps.
+    posted = reps.select(F.col("doc_id").alias("doc"), F.posexplode("signature").alias("place", "value")).select(
+        "doc",
         F.shiftleft(F.col("place").cast("long"), 32)
         .bitwiseOR(F.col("value").cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))
         .alias("pair"),
     )
     shared = posted.groupBy("pair").count().where("count > 1")
     prefix = k - matches + 1
+    # Dealt by document before they are collected: lists of one pair would be larger.
     ordered = (
         posted.join(shared, "pair")
-        .groupBy(*own)
+        .repartition("doc")
+        .groupBy("doc")
         .agg(F.sort_array(F.collect_list(F.struct("count", "pair"))).alias("pairs"))
     )
     # The pairs of one document alone come first in its order.
     room = prefix - (k - F.size("pairs"))
-    return ordered.where(room > 0).select(
-        *own, F.explode(F.slice("pairs", F.lit(1), room)).alias("p")
-    ).select(F.col("p.pair").alias("pair"), *own)
+    kept = ordered.where(room > 0).select("doc", F.slice("pairs", F.lit(1), room).alias("pairs"))
+    if own:
+        kept = kept.join(reps.select(F.col("doc_id").alias("doc"), *own), "doc")
+    return kept.select("doc", *own, F.explode("pairs").alias("p")).select(
+        F.col("p.pair").alias("pair"), "doc", *own
+    )
+
+
+def _light(df: DataFrame) -> DataFrame:
+    """``df`` for a join with a larger table: broadcast up to ``LIGHT``, which spares
+    that table a shuffle."""
+    return F.broadcast(df) if planned_bytes(df) <= LIGHT else df
 
 
 def _retained(pairs: DataFrame, reps: DataFrame, matches: int, percent: int) -> DataFrame:
     """The pairs ``(a, b)`` whose sizes allow a link and whose signatures collide
     in ``matches`` coordinates or more, and in how many."""
-    side = reps.select("doc_id", "n_shingles", "signature")
+    ends = _light(hold(_ends(pairs), "ends"))
+    side = hold(reps.select("doc_id", "n_shingles", "signature").join(ends, "doc_id"), "signatures")
     a = side.toDF("a", "size_a", "signature_a")
     b = side.toDF("b", "size_b", "signature_b")
     least, most = F.least("size_a", "size_b"), F.greatest("size_a", "size_b")
@@ -303,8 +314,7 @@ def _with_texts(nodes: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame
     """``node, text`` of the classes ``nodes(doc_id)``, one of their rows' texts each."""
     asked = hold(reps.select("doc_id", "key").join(nodes, "doc_id").withColumnRenamed("doc_id", "node"), "asked")
     # Few keys travel to the texts; many meet them in a shuffle.
-    asked = F.broadcast(asked) if planned_bytes(asked) <= LIGHT else asked
-    return hold(docs.join(asked, "key").groupBy("node").agg(F.min("text").alias("text")), "texts")
+    return hold(docs.join(_light(asked), "key").groupBy("node").agg(F.min("text").alias("text")), "texts")
 
 
 def shared_counts(first: list[np.ndarray], second: list[np.ndarray]) -> np.ndarray:
@@ -342,6 +352,7 @@ def _within_teams(members: DataFrame, texts: DataFrame, width: int, percent: int
         .join(room, ["team", "whose"])
         .select("node", "team", "label", "whose", F.pmod(F.xxhash64("node"), "parts").alias("part"))
     )
+    placed = _light(hold(placed, "placed"))
     name = ["team", "whose", "part"]
     parts = hold(
         placed.join(texts, "node").groupBy(*name).agg(F.collect_list(F.struct("node", "label", "text")).alias("held")),
