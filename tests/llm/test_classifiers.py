@@ -118,3 +118,14 @@ def test_rows_beyond_the_old_sample_count(spark, monkeypatch):
     assert seen.count() == 400
     found = preference.score(docs, preference.fit(docs, labels)).join(labels, "doc_id")
     assert found.where("predicted = quality").count() == 400
+
+
+def test_features_are_computed_of_little_text_at_a_time(spark):
+    texts = spark.range(400).selectExpr("id AS doc_id", "repeat('word ', 1600) AS text").coalesce(1)
+
+    def together():
+        return lambda found: np.full((len(found), 1), float(sum(map(len, found))))
+
+    most = max(r.features[0] for r in features.featured(texts, together, binary=True).collect())
+    # Above the limit by one text at most: 8,000 bytes here.
+    assert most <= features.TOGETHER + 8_000 <= 1 << 20

@@ -45,8 +45,8 @@ def share(column: Column) -> Column:
     return F.pmod(F.xxhash64(column), F.lit(1 << 30)) / float(1 << 30)
 
 
-def chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
-    """Ids and texts of the first two columns, about ``CHUNK_BYTES`` at a time."""
+def chunks(batches: Iterable[pa.RecordBatch], most: int = CHUNK_BYTES) -> Iterator[tuple[list, list]]:
+    """Ids and texts of the first two columns, about ``most`` bytes of text at a time."""
     for batch in batches:
         ids, texts, size = [], [], 0
         for key, text in zip(batch.column(0), batch.column(1)):
@@ -54,7 +54,7 @@ def chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
             ids.append(key.as_py())
             texts.append(text)
             size += len(text) if text is not None else 0
-            if size >= CHUNK_BYTES:
+            if size >= most:
                 yield ids, texts
                 ids, texts, size = [], [], 0
         if ids:

@@ -18,6 +18,9 @@ from tracewright.session import map_in_arrow
 SAMPLE_ROWS = 12_000
 #: Words whose properties a worker keeps at most.
 KEPT = 300_000
+#: Bytes of text that features are computed of together. Word lists and suffix arrays take
+#: some fifty times that, and a worker keeps the memory that its largest step took.
+TOGETHER = 1 << 19
 
 
 def labelled_sample(
@@ -109,7 +112,7 @@ def featured(
         function = of()
         for batch in batches:
             done = 0
-            for keys, texts in chunks([batch]):
+            for keys, texts in chunks([batch], TOGETHER):
                 rows = function(texts)
                 offsets = np.arange(0, rows.size + 1, rows.shape[1], dtype=np.int32)
                 columns = [
