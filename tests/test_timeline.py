@@ -93,3 +93,32 @@ def test_tasks_follow_the_size(spark, tmp_path):
     least = spark.sparkContext.defaultParallelism
     assert timeline._parts(small) == least
     assert timeline._parts(large) > 8 * least
+
+
+@pytest.mark.parametrize("bucket", [1, 7, 60_000])
+def test_crowded_logs_are_cut_into_the_same_rows(spark, bucket):
+    """Logs above the limit go by buckets, others and unlisted ones as a whole."""
+    draw = random.Random(bucket)
+    tasks = [(log, at, at + draw.randrange(0, 30)) for log in ("a", "b", "c", None) for at in draw.choices(range(190), k=40)]
+    tasks += [("few", 3, 9), ("few", None, 5), ("late", 500, 600)]
+    executors = [(log, str(n), n + 1, draw.randrange(0, 150)) for log in "abc" for n in range(5)] + [("idle", "1", 2, 30)]
+    removals = [(log, "2", draw.randrange(0, 220)) for log in "ab"]
+    apps = [("a", 10, 200), ("b", 0, None), ("few", 0, 20), ("late", 0, 100), ("idle", 0, 90)]
+    given = frames(spark, tasks, executors, apps, removals)
+    found = {
+        limit: sorted(map(tuple, core_timeline(*given, bucket, limit).collect())) for limit in (0, 5, 44, 45, 1000)
+    }
+    assert found[0] and {log for log, *_ in found[0]} == {"a", "b", "c", "few", "late", "idle"}
+    assert all(rows == found[0] for rows in found.values())
+
+
+def test_whole_logs_need_no_sums_over_buckets(spark):
+    """Where no log is crowded, the sums over buckets and their join are left out."""
+    tasks = spark.range(500).selectExpr("concat('app-', id % 9) AS log_id", "id AS launch_ms", "id + 5 AS finish_ms")
+    executors = spark.createDataFrame([("app-1", "1", 4, 0)], EXECUTORS)
+    used = d.core_use(core_timeline(tasks, executors, spark.createDataFrame([("app-1", 0, 9000)], APPS)), 0.5)
+    assert used.count() == 9
+    used.collect()
+    final = used._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    # One for the running sums inside a log; buckets would have a window of their own.
+    assert final.count("Window [") == 1
