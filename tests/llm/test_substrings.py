@@ -2,6 +2,7 @@ import random
 from hashlib import sha256
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm.rows import empty, odd, odd_rows
@@ -159,3 +160,56 @@ def test_texts_without_an_id_of_their_own(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     assert result(docs) == sorted(wanted)
     assert sum(r[2] for r in wanted) > 1500
+
+
+def test_the_table_grows_with_the_repeated_anchors(spark, monkeypatch):
+    """A full table marks every anchor, so that all contexts travel."""
+    monkeypatch.setattr(substrings, "BITS", 10)
+    counted = spark.range(20_000).selectExpr("xxhash64(id) AS anchor")
+    table = substrings._bit_table(counted)
+    known = np.array([r.anchor for r in counted.collect()], np.int64).view(np.uint64)
+    assert substrings._marked(table, known).all()
+    others = np.random.default_rng(1).integers(0, 1 << 64, 20_000, np.uint64)
+    assert substrings._marked(table, others).mean() < 0.05
+
+
+def test_contexts_that_only_share_an_anchor_are_not_compared(monkeypatch):
+    """Compared are those that agree around the anchor as far as a string would."""
+    draw = random.Random(3)
+    gram = b"sixteen bytes ok"
+    random_bytes = lambda n: bytes(draw.choice(b"abcdefgh") for _ in range(n))
+    shared = random_bytes(70) + gram + random_bytes(70)
+    alone = [random_bytes(70) + gram + random_bytes(70) for _ in range(30)]
+    partly = [shared[20:120] + random_bytes(36), random_bytes(26) + shared[26:130] + random_bytes(26)]
+    contexts = [*alone, shared, *partly]
+    n = len(contexts)
+    rows = pa.table(
+        {
+            "anchor": pa.array([7] * n), "part": pa.array([0] * n, pa.int32()), "parts": pa.array([1] * n, pa.int32()),
+            "context": list(range(n)), "doc": list(range(n)), "copy": [0] * n, "low": [0] * n,
+            "at": pa.array([c.index(gram) for c in contexts], pa.int32()), "bytes": pa.array(contexts, pa.binary()),
+        }
+    )
+    compared = []
+    real = substrings.repeats
+    monkeypatch.setattr(substrings, "repeats", lambda texts, *a: compared.extend(texts) or real(texts, *a))
+    found = [row for batch in substrings._judged(rows, 100) for row in batch.to_pylist()]
+    assert set(compared) == {shared, *partly}
+    gone = {row["doc"]: (row["starts"], row["ends"]) for row in found if row["starts"]}
+    assert gone == {31: ([0], [100]), 32: ([26], [130])}
+    assert len(found) == n
+
+
+def test_anchors_of_joined_texts_are_those_of_each(monkeypatch):
+    draw = random.Random(5)
+    raws = [bytes(draw.choice(b"abc") for _ in range(draw.choice([0, 99, 100, 101, 400]))) for _ in range(60)]
+    raws[7] = None
+    monkeypatch.setattr(substrings, "STRETCH", 150)
+    number, values, place, low, high = substrings.runs(raws, 100)
+    for n, raw in enumerate(raws):
+        own = number == n
+        for together, apart in zip((values[own], low[own], high[own]), substrings.anchors(raw or b"", 100)):
+            assert together.tolist() == apart.tolist()
+        assert (place[own] >= high[own]).all() and (place[own] <= low[own] + 100 - substrings.GRAM).all()
+        starts = [s for a, b in zip(low[own].tolist(), high[own].tolist()) for s in range(a, b + 1)]
+        assert starts == list(range(max(0, len(raw or b"") - 99)))

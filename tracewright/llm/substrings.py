@@ -8,13 +8,15 @@ on the whole input and never cross documents.
 grams in it, the leftmost of equals, so equal strings have equal anchors. The strings
 of a text that share an anchor start in one run; the bytes they span are its
 context. Contexts are dealt out by anchor, so all occurrences of a string meet. First
-the anchors alone are counted; anchors that occur once go no further, by a bit table of
-fixed size (``BITS``), which lets some through needlessly and none get lost. Equal
+the anchors alone are counted; anchors that occur once go no further, by a bit table
+that grows with the number of the others up to a limit (``MOST_BITS``). It lets some
+through needlessly and none get lost. Equal
 contexts are one class, combined before the shuffle; all its occurrences but the first
 are repeats as a whole. Anchors with many occurrences are split over several tasks by a
 hash of the context.
 
-*Comparing.* The distinct contexts of a block of anchors are joined to one text, whose
+*Comparing.* Contexts that differ from all others of their anchor so near to it that
+they share no string with one are done. The rest of a block of anchors are joined to one text, whose
 Burrows-Wheeler transform is built from suffixes sorted as deep as ``LEAST``. Common
 prefixes then come by increasing value: a pair of neighbours that start with the same
 byte is the backward extension of the interval between the two suffixes behind that
@@ -47,14 +49,22 @@ from tracewright.session import map_in_arrow
 
 LEAST = 100
 GRAM = 16
-BITS = 26
+#: The table of repeated anchors has 2**BITS bits, or ROOM and more for each of them up to
+#: 2**MOST_BITS (64 MB), beyond which more contexts travel.
+BITS, MOST_BITS, ROOM = 26, 29, 32
 #: Occurrences of an anchor that one part takes, about.
 PART = 4_000
 #: Bytes of contexts compared together.
-BLOCK_BYTES = 300_000
+BLOCK_BYTES = 30_000
 #: Texts longer than this are read in overlapping stretches.
 STRETCH = 1 << 20
+#: Bytes of short texts whose anchors are looked for together.
+JOINED = 1 << 16
+#: Classes of strings by where their anchor lies, for :func:`_may_repeat`.
+SIDES = 4
 _NO_ID = -(1 << 63)
+#: Texts whose removed bytes are worked out together.
+_ROWS = 64
 _A, _B, _C = (
     np.uint64(0x9E3779B97F4A7C15),
     np.uint64(0xC2B2AE3D27D4EB4F),
@@ -74,7 +84,11 @@ def _gram_hashes(text: np.ndarray) -> np.ndarray:
     return mixed ^ (mixed >> np.uint64(29))
 
 
-def _stretch_anchors(text: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _joined_runs(pieces: list[bytes], least: int) -> tuple[np.ndarray, ...]:
+    """Piece, anchor hash, place of the anchor, first and last start of each run of
+    strings that share an anchor; the pieces lie behind each other, and places count
+    from the first one's start."""
+    text = np.frombuffer(b"".join(pieces), np.uint8)
     hashes = _gram_hashes(text)
     width = least - GRAM + 1
     count = len(hashes)
@@ -86,46 +100,95 @@ def _stretch_anchors(text: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarr
         span *= 2
     starts = count - width + 1
     place = (np.minimum(low[:starts], low[width - span : width - span + starts]) & _LOW).astype(np.int64)
-    first = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
+    sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+    ends = np.cumsum(sizes)
+    new = np.concatenate(([True], place[1:] != place[:-1]))
+    new[(ends - sizes)[1:]] = True
+    first = np.flatnonzero(new)
     last = np.concatenate((first[1:], [starts])) - 1
+    # No string lies in two pieces.
+    piece = np.searchsorted(ends, first, "right")
+    final = ends[piece] - least
+    piece, first, last, final = (c[first <= final] for c in (piece, first, last, final))
+    place = place[first]
     # Smallest hashes are small: spread them over all bits again.
-    values = hashes[place[first]] * _B
+    values = hashes[place] * _B
     values ^= values >> np.uint64(32)
-    return values * _A, first, last
+    return piece, values * _A, place, first, np.minimum(last, final)
 
 
-def anchors(raw: bytes, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Anchor hash, first and last start of the strings of ``least`` bytes that share it.
+def runs(raws: list[bytes | None], least: int) -> tuple[np.ndarray, ...]:
+    """Of all texts the runs of strings of ``least`` bytes that share an anchor: the
+    text's number, the anchor's hash and place, first and last start.
 
     Runs end at fixed multiples of ``STRETCH`` as well, which parts a context but
-    loses no string.
+    loses no string. Short texts are worked on together, ``JOINED`` bytes or more.
     """
-    if len(raw) < least:
-        empty = np.empty(0, np.int64)
-        return empty.astype(np.uint64), empty, empty
-    text = np.frombuffer(raw, np.uint8)
-    parts = []
-    for begin in range(0, len(text) - least + 1, STRETCH):
-        found = _stretch_anchors(text[begin : begin + STRETCH + least - 1], least)
-        parts.append((found[0], found[1] + begin, found[2] + begin))
-    return tuple(np.concatenate(c) for c in zip(*parts))
+    empty = np.empty(0, np.int64)
+    found = [(empty, empty.astype(np.uint64), empty, empty, empty)]
+    pieces: list[tuple[int, int, bytes]] = []
+    size = 0
+
+    def work() -> None:
+        piece, values, *places = _joined_runs([p[2] for p in pieces], least)
+        lengths = np.array([len(p[2]) for p in pieces])
+        # From places among the pieces to places in their texts.
+        shift = (np.array([p[1] for p in pieces]) - np.cumsum(lengths) + lengths)[piece]
+        found.append((np.array([p[0] for p in pieces])[piece], values, *[c + shift for c in places]))
+
+    for n, raw in enumerate(raws):
+        for begin in range(0, len(raw or b"") - least + 1, STRETCH):
+            pieces.append((n, begin, raw[begin : begin + STRETCH + least - 1]))
+            size += len(pieces[-1][2])
+            if size >= JOINED:
+                work()
+                pieces, size = [], 0
+    if pieces:
+        work()
+    return tuple(np.concatenate(c) for c in zip(*found))
+
+
+def anchors(raw: bytes, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Anchor hash, first and last start of the strings of one text that share it."""
+    _, values, _, first, last = runs([raw], least)
+    return values, first, last
 
 
 def _marked(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    spot = (hashes >> np.uint64(64 - BITS)).astype(np.int64)
+    bits = len(table).bit_length() + 2
+    spot = (hashes >> np.uint64(64 - bits)).astype(np.int64)
     return (table[spot >> 3] >> (spot & 7).astype(np.uint8)) & 1 == 1
 
 
+_PAGE_BITS = 13
+
+
 def _bit_table(counted: DataFrame) -> np.ndarray:
-    """``2**BITS`` bits, set for each ``anchor``; at most ``2**(BITS-6)`` rows reach
-    the driver, however many anchors there are."""
-    spot = F.shiftrightunsigned("anchor", 64 - BITS)
-    bit = F.expr(f"shiftleft(1L, cast(shiftrightunsigned(anchor, {64 - BITS}) & 63 as int))")
-    cells = counted.groupBy(F.shiftright(spot, 6).alias("cell")).agg(F.bit_or(bit).alias("bits"))
-    found = cells.toArrow()
-    table = np.zeros(1 << (BITS - 6), np.int64)
-    table[found["cell"].to_numpy()] = found["bits"].to_numpy()
-    return table.view(np.uint8)
+    """A table with a bit set for each ``anchor``. Tasks make its pages, so what reaches
+    the driver is the table."""
+    bits = min(max(BITS, (ROOM * counted.count() - 1).bit_length()), MOST_BITS)
+    page_bits = min(_PAGE_BITS, bits)
+    schema = pa.schema([("page", pa.int64()), ("bits", pa.binary())])
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pages: dict[int, np.ndarray] = {}  # packed
+        for batch in batches:
+            spots = np.unique(batch.column("spot").to_numpy())
+            edges = np.flatnonzero(np.diff(spots >> page_bits)) + 1
+            for own in np.split(spots, edges) if len(spots) else ():
+                page = np.zeros(1 << page_bits, bool)
+                page[own & (1 << page_bits) - 1] = True
+                packed, number = np.packbits(page, bitorder="little"), int(own[0]) >> page_bits
+                pages[number] = pages[number] | packed if number in pages else packed
+        yield record_batch(schema, [list(pages), [page.tobytes() for page in pages.values()]])
+
+    spot = F.shiftrightunsigned("anchor", 64 - bits).alias("spot")
+    spots = counted.select(spot).repartition(F.shiftright("spot", page_bits))
+    found = map_in_arrow(spots, task, "page long, bits binary").toArrow()
+    table = np.zeros((1 << (bits - page_bits), 1 << (page_bits - 3)), np.uint8)
+    for page, packed in zip(found["page"].to_pylist(), found["bits"]):
+        table[page] = np.frombuffer(packed.as_buffer(), np.uint8)
+    return table.ravel()
 
 
 def _anchor_rows(texts: DataFrame, least: int) -> DataFrame:
@@ -133,8 +196,7 @@ def _anchor_rows(texts: DataFrame, least: int) -> DataFrame:
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, raws in chunks(batches):
-            found = [anchors(raw or b"", least)[0] for raw in raws]
-            values, uses = np.unique(np.concatenate(found), return_counts=True)
+            values, uses = np.unique(runs(raws, least)[1], return_counts=True)
             yield record_batch(schema, [values.view(np.int64), uses])
 
     return map_in_arrow(texts, task, "anchor long, uses long")
@@ -147,6 +209,7 @@ _CONTEXTS = pa.schema(
         ("doc", pa.int64()),
         ("copy", pa.int64()),
         ("low", pa.int64()),
+        ("at", pa.int32()),
         ("bytes", pa.binary()),
     ]
 )
@@ -163,51 +226,56 @@ def _context_rows(texts: DataFrame, table: np.ndarray, least: int) -> DataFrame:
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for keys, raws in chunks(batches):
-            found: dict[tuple[int, int], tuple[int, int, int, bytes]] = {}
-            for key, raw in zip(keys, raws):
-                if raw is None:
-                    continue
-                doc, copy = _NO_ID if key is None else key, copy_of(raw)
-                values, low, high = anchors(raw, least)
-                on = _marked(table, values)
-                columns = values[on].view(np.int64), low[on], high[on] + least
-                for anchor, begin, end in zip(*(c.tolist() for c in columns)):
-                    bytes_ = raw[begin:end]
-                    name = anchor, xxhash.xxh3_64_intdigest(bytes_)
-                    before = found.get(name)
-                    if before is None or (doc, copy, begin) < before[:3]:
-                        found[name] = doc, copy, begin, bytes_
+            found: dict[tuple[int, int], tuple[int, int, int, int, bytes]] = {}
+            owners = [
+                (_NO_ID if key is None else key, copy_of(raw)) if raw is not None else None
+                for key, raw in zip(keys, raws)
+            ]
+            number, values, place, low, high = runs(raws, least)
+            on = _marked(table, values)
+            columns = number[on], values[on].view(np.int64), place[on], low[on], high[on] + least
+            for n, anchor, at, begin, end in zip(*(c.tolist() for c in columns)):
+                bytes_ = raws[n][begin:end]
+                name = anchor, xxhash.xxh3_64_intdigest(bytes_)
+                before = found.get(name)
+                if before is None or (*owners[n], begin) < before[:3]:
+                    found[name] = *owners[n], begin, at - begin, bytes_
             rows = list(found.values())
             context = np.array([name[1] for name in found], np.uint64).view(np.int64)
-            columns = [[row[i] for row in rows] for i in range(4)]
+            columns = [[row[i] for row in rows] for i in range(5)]
             yield record_batch(_CONTEXTS, [[name[0] for name in found], context, *columns])
 
     return map_in_arrow(
-        texts, task, "anchor long, context long, doc long, copy long, low long, bytes binary"
+        texts, task, "anchor long, context long, doc long, copy long, low long, at int, bytes binary"
     )
 
 
 def transform(symbols: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """Suffix order, right to ``depth`` symbols at least (in any order beyond), and
-    the Burrows-Wheeler transform that belongs to it."""
+    the Burrows-Wheeler transform that belongs to it. A sort joins as many ranks as
+    64 bits hold: four of a block's usual size, so three sorts reach 112 symbols."""
     count = len(symbols)
-    padded = np.concatenate((symbols, np.zeros(7, symbols.dtype))).astype(np.int64)
-    keys = np.zeros(count, np.int64)
-    for n in range(7):
-        keys = keys << 9 | padded[n : n + count]
-    known = 7
+    padded = np.concatenate((symbols, np.zeros(7, symbols.dtype))).astype(np.uint64)
+    keys = padded[:count].copy()
+    for n in range(1, 7):
+        keys <<= np.uint64(9)
+        keys |= padded[n : n + count]
+    known, bits = 7, count.bit_length()
     order = np.argsort(keys)
     while True:
         found = keys[order]
         new = np.concatenate(([True], found[1:] != found[:-1]))
         if known >= depth or new.all():
             break
-        rank = np.empty(count + known, np.int64)
-        rank[order] = np.cumsum(new)
-        rank[count:] = 0
-        keys = rank[:count] * (count + 1) + rank[known : known + count]
+        joined = min(64 // bits, -(-depth // known))
+        rank = np.zeros(count + known * (joined - 1), np.uint64)
+        rank[order] = np.cumsum(new, dtype=np.uint64)
+        keys = rank[:count].copy()
+        for n in range(1, joined):
+            keys <<= np.uint64(bits)
+            keys |= rank[n * known : n * known + count]
         order = np.argsort(keys)
-        known *= 2
+        known *= joined
     return order, symbols[order - 1]
 
 
@@ -323,13 +391,44 @@ def _changes(table: pa.Table, *names: str) -> np.ndarray:
     return np.flatnonzero(new)
 
 
+def _may_repeat(contexts: pa.ChunkedArray, at: np.ndarray, group: np.ndarray, least: int) -> np.ndarray:
+    """Contexts that agree with another one of their group around the anchor ``at``, as
+    far as all strings of some class reach: the others share no string of ``least``
+    bytes. A string has its anchor ``d`` bytes behind its start, the same ``d`` wherever
+    it occurs; class ``n`` are those with ``d`` in the ``n``-th of ``SIDES`` equal
+    parts. Contexts whose windows only have equal hashes are let through."""
+    array = contexts.combine_chunks()
+    offsets = np.frombuffer(array.buffers()[1], np.int32)[array.offset : array.offset + len(array) + 1]
+    flat = np.frombuffer(array.buffers()[2] or b"", np.uint8)
+    begins, sizes = offsets[:-1].astype(np.int64), np.diff(offsets)
+    free = least - GRAM
+    shared = np.zeros(len(array), bool)
+    for n in range(SIDES):
+        left = -(-n * free // SIDES)
+        length = left + GRAM + free - (n + 1) * free // SIDES
+        has = np.flatnonzero((at >= left) & (at - left + length <= sizes))
+        if not len(has):
+            continue
+        length -= length % 8
+        windows = np.lib.stride_tricks.as_strided(flat, (len(flat) - length + 1, length), (1, 1))
+        words = windows[begins[has] + at[has] - left].view(np.uint64)
+        hashes = group[has].astype(np.uint64) * _A
+        for word in words.T:
+            hashes = (hashes ^ word) * _C
+            hashes ^= hashes >> np.uint64(32)
+        _, same, counts = np.unique(hashes, return_inverse=True, return_counts=True)
+        shared[has] |= counts[same] > 1
+    return shared
+
+
 def _judged(table: pa.Table, least: int) -> Iterator[pa.RecordBatch]:
     """As :func:`_judge`, of whole groups."""
     firsts = table.take(pa.array(_changes(table, "anchor", "part", "context")))
     group = _changes(firsts, "anchor", "part")
     classes = np.diff(np.append(group, len(firsts)))
     several = firsts["parts"].to_numpy() > 1
-    alone = np.repeat(classes == 1, classes) & ~several
+    number = np.repeat(np.arange(len(group)), classes)
+    alone = ~several & ~_may_repeat(firsts["bytes"], firsts["at"].to_numpy(), number, least)
     docs, copies, lows = (firsts[c].to_numpy() for c in ("doc", "copy", "low"))
     if alone.any():
         none = np.empty(0, np.int64)
@@ -339,7 +438,7 @@ def _judged(table: pa.Table, least: int) -> Iterator[pa.RecordBatch]:
         return
     # Blocks of whole groups.
     sizes = pc.binary_length(firsts["bytes"]).to_numpy()[left]
-    number = np.repeat(np.arange(len(group)), classes)[left]
+    number = number[left]
     filled = (np.cumsum(sizes) - sizes) // BLOCK_BYTES
     begins = np.flatnonzero(np.concatenate(([True], number[1:] != number[:-1])))
     block = np.repeat(filled[begins], np.diff(np.append(begins, len(left))))
@@ -412,13 +511,11 @@ def _spans(begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def _removed(
-    raw: bytes, firsts: pa.StructArray | None, more: list[int], table: np.ndarray, least: int
+    low: np.ndarray, high: np.ndarray, firsts: pa.StructArray | None, more: list[int], least: int
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Maximal runs of removed bytes: whole contexts that are no first occurrence,
-    the repeating runs of those that are, and ``more`` single strings."""
-    values, low, high = anchors(raw, least)
-    on = _marked(table, values)
-    low, high = low[on], high[on] + least
+    """Maximal runs of removed bytes of a text: whole contexts (``low`` to ``high``) that
+    are no first occurrence, the repeating runs of those that are, and ``more`` single
+    strings."""
     begins, ends = [np.array(more, np.int64)], [np.array(more, np.int64) + least]
     if firsts is not None and len(firsts):
         known = firsts.field("low").to_numpy(zero_copy_only=False)
@@ -445,23 +542,28 @@ _RESULT = pa.schema(
 
 
 def _cut(joined: DataFrame, table: np.ndarray, least: int) -> DataFrame:
+    def rows(batch: pa.RecordBatch) -> Iterator[tuple]:
+        raws = [raw or b"" for raw in batch.column(1).to_pylist()]
+        number, values, _, low, high = runs(raws, least)
+        on = _marked(table, values)
+        number, low, high = number[on], low[on], high[on] + least
+        cut = np.searchsorted(number, np.arange(len(raws) + 1)).tolist()
+        keys, firsts, more = batch.column(0).to_pylist(), batch.column(2), batch.column(3)
+        for n, raw in enumerate(raws):
+            own = slice(cut[n], cut[n + 1])
+            begins, ends = _removed(low[own], high[own], firsts[n].values, more[n].as_py() or [], least)
+            kept, at = [], 0
+            for begin, end in zip(begins.tolist(), ends.tolist()):
+                kept.append(raw[at:begin])
+                at = end
+            kept.append(raw[at:])
+            left = b"".join(kept)
+            yield keys[n], len(raw), len(raw) - len(left), len(begins), sha256(left).hexdigest(), left
+
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list] = [[] for _ in _RESULT]
-            for key, raw, firsts, more in zip(*batch.columns):
-                raw = raw.as_py() or b""
-                begins, ends = _removed(raw, firsts.values, more.as_py() or [], table, least)
-                spans = list(zip(begins.tolist(), ends.tolist()))
-                kept, at = [], 0
-                for begin, end in spans:
-                    kept.append(raw[at:begin])
-                    at = end
-                kept.append(raw[at:])
-                left = b"".join(kept)
-                row = (key.as_py(), len(raw), len(raw) - len(left), len(spans), sha256(left).hexdigest(), left)
-                for column, cell in zip(out, row):
-                    column.append(cell)
-            yield record_batch(_RESULT, out)
+            found = [row for at in range(0, len(batch), _ROWS) for row in rows(batch.slice(at, _ROWS))]
+            yield record_batch(_RESULT, list(zip(*found)) or [[] for _ in _RESULT])
 
     return map_in_arrow(
         joined,
@@ -496,7 +598,7 @@ def remove_repeats(
         "anchor",
         F.pmod(F.col("context"), parts.cast("long")).cast("int").alias("part"),
         parts.alias("parts"),
-        "context", "doc", "copy", "low", "bytes",
+        "context", "doc", "copy", "low", "at", "bytes",
     )
     dealt = dealt.repartition("anchor", "part").sortWithinPartitions(
         "anchor", "part", "context", "doc", "copy", "low"
