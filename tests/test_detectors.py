@@ -174,3 +174,26 @@ def test_failed_jobs_and_stages(spark):
     assert {r.log_id: (r.n_finished, r.fires) for r in d.detect_job_failures(jobs).collect()} == {"a": (2, True), "b": (0, False)}
     stages = spark.createDataFrame([("a", "boom"), ("b", None)], "log_id string, failure_reason string")
     assert {r.log_id: r.fires for r in d.detect_stage_failures(stages).collect()} == {"a": True, "b": False}
+
+
+def test_skew_and_stragglers_share_their_quantiles(spark, monkeypatch):
+    """Stage quantiles are the costliest pass over the tasks: one for both, one for hosts."""
+    from tracewright.sources.tables import LogTables
+
+    of = tasks(spark, *[{"duration_ms": 1000}] * 17, *[{"duration_ms": 9000}] * 3)
+    empty = {
+        "stages": "log_id string, stage_id long, stage_attempt long, name string, n_tasks long, submitted_ms long, completed_ms long, failure_reason string",
+        "jobs": "log_id string, job_id long, submitted_ms long, completed_ms long, result string",
+        "executors": "log_id string, executor_id string, host string, cores long, added_ms long",
+        "scans": "log_id string, execution_id long, location string",
+        "updates": "log_id string, rdd_id long, partition long, seq long, in_memory boolean, on_disk boolean",
+    }
+    rest = {name: spark.createDataFrame([], schema) for name, schema in empty.items()}
+    apps = spark.createDataFrame([("a", 0, 10_000, 1)], "log_id string, started_ms long, ended_ms long, n_ends long")
+    asked = []
+    real = d.grouped_quantiles
+    monkeypatch.setattr(d, "grouped_quantiles", lambda rows, keys, *a: asked.append(tuple(keys)) or real(rows, keys, *a))
+    found = {r.tag: (r.fires, r.evidence) for r in d.findings(LogTables(tasks=of, applications=apps, **rest)).collect()}
+    assert asked == [d.STAGE, (*d.STAGE, "host")]
+    assert found["SKEW"] == (fires(d.detect_skew(of)), "1/1")
+    assert found["STRAG"] == (fires(d.detect_straggler(of)), "1/1")
